@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources import standins
 from . import sales_analytics as sa
 from . import sales_basic as sb
+from . import star
+from ..sources.checks import foreign_key_violations, key_violations
 from .sales_fact import VIEW_COLUMNS, v_fact_sale
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,7 +83,81 @@ def _basic(fn, **kw):
     return lambda spark, sf_dir: fn(_sales(spark, sf_dir), **kw)
 
 
+# Fixed value: the one-day report's date, 2017-07-21 moved to the driver range.
+REPORT_DAY = "1998-07-21"
+
+
+def _star(spark, sf_dir):
+    qa = standins.qa_tables(spark, sf_dir)
+    qt = star.question_tags(qa)
+    dim_date = star.date_dimension(qa)
+    dim_tags = star.tag_dimension(qt)
+    return qa, qt, dim_date, dim_tags
+
+
+def r04(spark, sf_dir):
+    return _star(spark, sf_dir)[2]
+
+
+def r05(spark, sf_dir):
+    return _star(spark, sf_dir)[1]
+
+
+def r06(spark, sf_dir):
+    return _star(spark, sf_dir)[3]
+
+
+def r07(spark, sf_dir):
+    qa, qt, dd, dt = _star(spark, sf_dir)
+    return star.fact_detail(qt, dd, dt, with_fact_id=False)
+
+
+def r08(spark, sf_dir):
+    qa, qt, dd, dt = _star(spark, sf_dir)
+    return star.fact_cube(star.fact_detail(qt, dd, dt))
+
+
+def r09(spark, sf_dir):
+    qa, qt, dd, dt = _star(spark, sf_dir)
+    cube = star.fact_cube(star.fact_detail(qt, dd, dt)).drop("grouping_id")
+    return star.day_tag_report(cube, dd, dt, day=REPORT_DAY)
+
+
+def r10(spark, sf_dir):
+    qa, qt, dd, dt = _star(spark, sf_dir)
+    return star.missing_synonym_targets(qa, dt)
+
+
+def r11(spark, sf_dir):
+    return star.untagged_questions(_star(spark, sf_dir)[1])
+
+
+def s10_tags(spark, sf_dir):
+    return key_violations(_star(spark, sf_dir)[3], ["dim_tag_id"])
+
+
+def s10_tag_names(spark, sf_dir):
+    return key_violations(_star(spark, sf_dir)[3], ["tag_name"])
+
+
+def s11_fact_dates(spark, sf_dir):
+    qa, qt, dd, dt = _star(spark, sf_dir)
+    detail = star.fact_detail(qt, dd, dt, with_fact_id=False)
+    return foreign_key_violations(detail, "d_date_id", dd, "dim_date_id")
+
+
 QUERIES: dict[str, Query] = {
+    "r04_date_dimension": r04,
+    "r05_question_tags": r05,
+    "r06_tag_dimension": r06,
+    "r07_fact_detail": r07,
+    "r08_fact_cube": r08,
+    "r09_day_tag_report": r09,
+    "r10_missing_synonym_targets": r10,
+    "r11_untagged_questions": r11,
+    "s10_dim_tags_key_check": s10_tags,
+    "s10_dim_tags_name_check": s10_tag_names,
+    "s11_fact_date_fk_check": s11_fact_dates,
     "r12_all_orders": _basic(sb.all_orders),
     "r13_orders_after": _basic(sb.orders_after, day="1996-01-01"),
     "r14_orders_between": _basic(sb.orders_between, after="1996-01-01", before="1996-07-15"),
