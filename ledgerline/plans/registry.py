@@ -14,6 +14,8 @@ from ..sources import standins
 from . import sales_analytics as sa
 from . import sales_basic as sb
 from . import star
+from . import experts as ex
+from .tree_report import tree_report
 from ..sources.checks import foreign_key_violations, key_violations
 from .sales_fact import VIEW_COLUMNS, v_fact_sale
 
@@ -146,7 +148,38 @@ def s11_fact_dates(spark, sf_dir):
     return foreign_key_violations(detail, "d_date_id", dd, "dim_date_id")
 
 
+# The topic and location lists moved onto the driver tables
+# (order priorities stand for tags, nation names for user locations).
+TOPIC = "URGENT"
+LOCATIONS = ["nation_1", "nation_7"]
+LOCATIONS_SMALL = ["nation_2", "nation_22"]
+
+
+def _experts(spark, sf_dir):
+    return standins.expert_posts(spark, sf_dir), standins.expert_users(spark, sf_dir)
+
+
+def r01(spark, sf_dir):
+    return ex.topic_experts_sql_form(*_experts(spark, sf_dir), topic=TOPIC, locations=LOCATIONS)
+
+
+def r02(spark, sf_dir):
+    return ex.topic_experts(*_experts(spark, sf_dir), topic=TOPIC, locations=LOCATIONS)
+
+
+def r03(spark, sf_dir):
+    return ex.topic_experts(*_experts(spark, sf_dir), topic=TOPIC, locations=LOCATIONS_SMALL)
+
+
+def r32(spark, sf_dir):
+    return tree_report(standins.file_system(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "r01_topic_experts_sql_form": r01,
+    "r02_topic_experts": r02,
+    "r03_topic_experts_small_list": r03,
+    "r32_tree_report": r32,
     "r04_date_dimension": r04,
     "r05_question_tags": r05,
     "r06_tag_dimension": r06,
