@@ -60,17 +60,20 @@ def walk_from_roots(nodes: DataFrame, sep: str = "\\", check_cycles: bool = True
     for lv in levels[1:]:
         walked = walked.unionByName(lv)
     if check_cycles and max_levels is None:
-        ids = edges.select(F.col("id").alias("_known"))
-        orphan_tops = (edges.filter(F.col("parent_id").isNotNull())
-                       .join(ids, F.col("parent_id") == F.col("_known"), "left_anti")
-                       .select("id", "parent_id", F.lit(1).alias("level"), F.lit("").alias("path")))
-        reached = walked.select("id")
-        for lv in _walk(edges, orphan_tops, sep, None):
-            reached = reached.unionByName(lv.select("id"))
-        stuck = edges.join(reached, "id", "left_anti")
-        if not stuck.isEmpty():
-            raise CycleError("hierarchy has a cycle; e.g. node ids "
-                             + ", ".join(str(r.id) for r in stuck.select("id").limit(5).collect()))
+        unreached = edges.join(walked.select("id"), "id", "left_anti")
+        if not unreached.isEmpty():
+            # Unreached nodes hang under a missing parent or on a cycle; walk
+            # down from the tops of the orphan subtrees and see what is left.
+            ids = edges.select(F.col("id").alias("_known"))
+            orphan_tops = (unreached.filter(F.col("parent_id").isNotNull())
+                           .join(ids, F.col("parent_id") == F.col("_known"), "left_anti")
+                           .select("id", "parent_id", F.lit(1).alias("level"), F.lit("").alias("path")))
+            stuck = unreached
+            for lv in _walk(edges, orphan_tops, sep, None):
+                stuck = stuck.join(lv.select("id"), "id", "left_anti")
+            if not stuck.isEmpty():
+                raise CycleError("hierarchy has a cycle; e.g. node ids "
+                                 + ", ".join(str(r.id) for r in stuck.select("id").limit(5).collect()))
     return walked
 
 

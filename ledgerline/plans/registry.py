@@ -121,8 +121,7 @@ def r08(spark, sf_dir):
 
 def r09(spark, sf_dir):
     qa, qt, dd, dt = _star(spark, sf_dir)
-    cube = star.fact_cube(star.fact_detail(qt, dd, dt)).drop("grouping_id")
-    return star.day_tag_report(cube, dd, dt, day=REPORT_DAY)
+    return star.day_tag_report_from_detail(star.fact_detail(qt, dd, dt), dd, dt, day=REPORT_DAY)
 
 
 def r10(spark, sf_dir):

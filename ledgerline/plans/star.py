@@ -105,6 +105,21 @@ def day_tag_report(fact: DataFrame, dim_date: DataFrame, dim_tags: DataFrame, da
                     F.col("score").alias("avg_score"))
 
 
+def day_tag_report_from_detail(detail: DataFrame, dim_date: DataFrame, dim_tags: DataFrame,
+                               day="2017-07-21") -> DataFrame:
+    """R9 computed from the detail rows without a materialised cube.
+
+    The report keeps only cube cells whose date key is the day's and whose
+    tag key is non-NULL, and such a cell aggregates exactly the detail rows
+    of that (date, tag).  So the detail rows are restricted to the day's
+    date ids *before* the cube - the filter Catalyst cannot push through
+    the join and the Expand by itself - and the result is unchanged."""
+    day_ids = dim_date.filter(F.col("date_val") == F.lit(as_date(day))).select(
+        F.col("dim_date_id").alias("_day_id"))
+    todays = detail.join(F.broadcast(day_ids), detail.d_date_id == day_ids._day_id, "left_semi")
+    return day_tag_report(fact_cube(todays).drop("grouping_id"), dim_date, dim_tags, day)
+
+
 def missing_synonym_targets(qa: dict[str, DataFrame], dim_tags: DataFrame) -> DataFrame:   # R10
     return qa["tagsynonyms"].join(dim_tags, qa["tagsynonyms"].targettagname == dim_tags.tag_name, "left_anti")
 

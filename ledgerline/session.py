@@ -55,9 +55,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Eager checkpoint to the shared checkpoint folder (never localCheckpoint):
-    cuts lineage and freezes nondeterministic partition assignments."""
+    cuts lineage and freezes nondeterministic partition assignments.
+
+    The input is persisted for the duration of the call: an eager checkpoint
+    runs one job to count and a second to write, and without the cache the
+    second would recompute the whole plan."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist(blocking=False)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
