@@ -61,39 +61,51 @@ def top_k_by_rank(df: DataFrame, group_by: list[str], value: str, k: int,
     return out.drop(*[prefix + c for c in [*group_by, value]])
 
 
+def exclusive_prefix_sum(df: DataFrame, order_col: str, weight: str, out: str,
+                         num_ranges: int | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` over all rows strictly before this one
+    in the global order of ``order_col`` (values must be distinct).
+
+    Rows are range-partitioned on the order column (sampled bounds, so every
+    range holds about 1/num_ranges of the rows) and checkpointed so the range
+    assignment is fixed.  Per-range sums become per-range offsets - one row
+    per range, a table bounded by ``num_ranges`` that is broadcast - and each
+    row adds the running sum inside its own range.  No step sorts the whole
+    input in one task, unlike ``Window.orderBy`` without a partition.
+    """
+    spark = df.sparkSession
+    ranges = num_ranges or max(2, shuffle_partitions(spark))
+    ranged = df.repartitionByRange(ranges, F.col(order_col)).withColumn("_range", F.spark_partition_id())
+    ranged = reliable_checkpoint(ranged)
+    per_range = ranged.groupBy("_range").agg(F.sum(weight).alias("_range_sum"))
+    offsets = per_range.select(
+        "_range",
+        F.coalesce(F.sum("_range_sum").over(
+            Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged
+            .withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+            .join(F.broadcast(offsets), "_range")
+            .withColumn(out, F.col("_offset") + F.col("_local"))
+            .drop("_range", "_offset", "_local"))
+
+
 def global_percent_rank(df: DataFrame, value: str, out: str,
                         num_ranges: int | None = None) -> DataFrame:
     """``PERCENT_RANK() OVER (ORDER BY value)`` = (rank - 1) / (n - 1), with
     Oracle's ascending NULLS LAST (NULL values rank after every number).
 
-    Distinct values with their multiplicity are range-partitioned (equal
-    values always share a range), checkpointed so the range assignment is
-    fixed, counted per range, and turned into per-range offsets: one row per
-    range, a bounded table that is broadcast.  Each value's count of smaller
-    rows is then offset + a running sum inside its own range.
+    rank - 1 is the number of rows with a smaller value: distinct values
+    with their multiplicity (a partial aggregation, so a value repeated a
+    billion times is one row) get an :func:`exclusive_prefix_sum` of the
+    multiplicities, and the result is joined back by value.
     """
-    spark = df.sparkSession
-    ranges = num_ranges or max(2, shuffle_partitions(spark))
     n_rows = df.select(F.count(F.lit(1))).scalar()
-
+    non_null_rows = df.select(F.count(F.col(value))).scalar()
     distinct_values = (df.filter(F.col(value).isNotNull())
                        .groupBy(value).agg(F.count(F.lit(1)).alias("_mult")))
-    ranged = (distinct_values.repartitionByRange(ranges, F.col(value))
-              .withColumn("_range", F.spark_partition_id()))
-    ranged = reliable_checkpoint(ranged)
-
-    per_range = ranged.groupBy("_range").agg(F.sum("_mult").alias("_range_rows"))
-    offsets = per_range.select(
-        "_range",
-        F.coalesce(F.sum("_range_rows").over(
-            Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    below = (ranged
-             .withColumn("_local_below", F.coalesce(F.sum("_mult").over(inside), F.lit(0)))
-             .join(F.broadcast(offsets), "_range")
-             .select(F.col(value).alias("_pr_value"),
-                     (F.col("_offset") + F.col("_local_below")).alias("_below")))
-    non_null_rows = df.select(F.count(F.col(value))).scalar()
+    below = (exclusive_prefix_sum(distinct_values, value, "_mult", "_below", num_ranges)
+             .select(F.col(value).alias("_pr_value"), "_below"))
     joined = df.join(below, df[value] == below["_pr_value"], "left")
     smaller = F.when(F.col(value).isNull(), non_null_rows).otherwise(F.col("_below"))
     pct = F.when(n_rows > 1, smaller.cast("double") / (n_rows - 1).cast("double")).otherwise(F.lit(0.0))

@@ -1,15 +1,19 @@
-"""Adjacency-list hierarchy operators (H1-H7), level by level.
+"""Adjacency-list hierarchy operators (H1-H7) in O(log depth) Spark rounds.
 
-``walk_from_roots`` is the top-down walk (START WITH parent IS NULL CONNECT
-BY PRIOR id = parent_id): each round joins the current frontier to its
-children and carries level and path.  Each level is checkpointed to the
-shared checkpoint folder, so the lineage stays one level deep, a lost
-executor recomputes one join, and depth is not limited by a recursion cap.
+``walk_from_roots`` is START WITH parent IS NULL CONNECT BY PRIOR id =
+parent_id by pointer jumping: every node keeps a pointer to an ancestor and
+the path segment below it; each round joins every node to its pointer's row
+and concatenates the two segments, so the known path doubles per round and
+a depth-D tree needs about log2(D) rounds, each one equi-join over the
+nodes.  Each round is checkpointed to the shared checkpoint folder (lineage
+stays one round deep; a lost executor recomputes one join).  A node on or
+under a cycle never reaches a top: its segment outgrows the node count and
+:class:`CycleError` is raised (CONNECT BY without NOCYCLE fails as well).
 
-``subtree_totals`` sums a measure over every node's subtree bottom-up, one
-level per round: a node's total is its own value plus the totals of its
-children, aggregated by parent.  Work is proportional to the number of
-nodes; it never materialises (ancestor, descendant) pairs.
+``subtree_totals`` uses the path of ancestor ids as a pre-order key: the
+subtree of x is exactly the keys in [path(x), path(x) ++ [MAX]), so its
+total is the difference of two global prefix sums.  A constant number of
+jobs, and no (ancestor, descendant) pairs are ever materialised.
 """
 
 from __future__ import annotations
@@ -18,87 +22,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
+from .rank import exclusive_prefix_sum
 
+MAX_ID = 9223372036854775807   # sorts after every real id in a pre-order key
 
-class CycleError(ValueError):
-    """The hierarchy has a cycle (CONNECT BY without NOCYCLE fails too)."""
-
-
-def _walk(edges: DataFrame, start: DataFrame, sep: str, max_levels: int | None) -> list[DataFrame]:
-    levels = []
-    frontier = reliable_checkpoint(start)
-    depth = 1
-    while not frontier.isEmpty():
-        levels.append(frontier)
-        if max_levels is not None and depth >= max_levels:
-            break
-        parents = frontier.select(F.col("id").alias("_pid"), F.col("level").alias("_plevel"),
-                                  F.col("path").alias("_ppath"))
-        children = edges.join(parents, edges.parent_id == parents._pid, "inner").select(
-            "id", "parent_id", (F.col("_plevel") + 1).alias("level"),
-            F.concat(F.col("_ppath"), F.lit(sep), F.coalesce(F.col("name"), F.lit(""))).alias("path"))
-        frontier = reliable_checkpoint(children)
-        depth += 1
-    return levels
 
+class CycleError(ValueError):
+    """The hierarchy has a cycle."""
 
-def walk_from_roots(nodes: DataFrame, sep: str = "\\", check_cycles: bool = True,
-                    max_levels: int | None = None) -> DataFrame:
-    """(id, parent_id, level, path) for every node reachable from a root.
 
-    ``path`` is SYS_CONNECT_BY_PATH(name, sep): ``sep`` before every name.
-    Nodes under a missing parent are not reachable and not returned (D26).
-    With ``check_cycles`` a node that is neither reachable from a root nor
-    from a node whose parent is missing must sit on or under a cycle, and
-    :class:`CycleError` is raised."""
+def walk_from_roots(nodes: DataFrame, sep: str = "\\") -> DataFrame:
+    """(id, parent_id, level, path, path_ids) for every node reachable from a
+    root (parent_id NULL).  ``path`` is SYS_CONNECT_BY_PATH(name, sep);
+    ``path_ids`` the ids from the root down to the node; ``level`` the
+    LEVEL pseudo-column.  Nodes under a missing parent are not reachable and
+    are not returned (D26).  Ids must be unique (see ``key_violations``)."""
     edges = nodes.select("id", "parent_id", "name")
-    start = edges.filter(F.col("parent_id").isNull()).select(
-        "id", "parent_id", F.lit(1).alias("level"),
-        F.concat(F.lit(sep), F.coalesce(F.col("name"), F.lit(""))).alias("path"))
-    levels = _walk(edges, start, sep, max_levels)
-    walked = levels[0]
-    for lv in levels[1:]:
-        walked = walked.unionByName(lv)
-    if check_cycles and max_levels is None:
-        unreached = edges.join(walked.select("id"), "id", "left_anti")
-        if not unreached.isEmpty():
-            # Unreached nodes hang under a missing parent or on a cycle; walk
-            # down from the tops of the orphan subtrees and see what is left.
-            ids = edges.select(F.col("id").alias("_known"))
-            orphan_tops = (unreached.filter(F.col("parent_id").isNotNull())
-                           .join(ids, F.col("parent_id") == F.col("_known"), "left_anti")
-                           .select("id", "parent_id", F.lit(1).alias("level"), F.lit("").alias("path")))
-            stuck = unreached
-            for lv in _walk(edges, orphan_tops, sep, None):
-                stuck = stuck.join(lv.select("id"), "id", "left_anti")
-            if not stuck.isEmpty():
-                raise CycleError("hierarchy has a cycle; e.g. node ids "
-                                 + ", ".join(str(r.id) for r in stuck.select("id").limit(5).collect()))
-    return walked
+    known = edges.select(F.col("id").alias("_known"))
+    cur = (edges.join(known, edges.parent_id == known._known, "left")
+           .select("id", "parent_id",
+                   F.col("_known").alias("anc"),
+                   F.when(F.col("parent_id").isNull(), F.lit(True))
+                    .when(F.col("_known").isNull(), F.lit(False)).alias("rooted"),
+                   F.concat(F.lit(sep), F.coalesce(F.col("name"), F.lit(""))).alias("path"),
+                   F.array(F.col("id")).alias("path_ids"),
+                   F.lit(1).alias("level")))
+    cur = reliable_checkpoint(cur)
+    n_nodes = None
+    while True:
+        stats = cur.agg(F.count(F.lit(1)).alias("n"), F.count("anc").alias("open"),
+                        F.max(F.when(F.col("anc").isNotNull(), F.col("level"))).alias("longest")).first()
+        n_nodes = stats.n if n_nodes is None else n_nodes
+        if stats.open == 0:
+            break
+        if stats.longest > n_nodes:
+            stuck = cur.filter(F.col("anc").isNotNull()).select("id").limit(5).collect()
+            raise CycleError("hierarchy has a cycle; e.g. node ids " + ", ".join(str(r.id) for r in stuck))
+        up = cur.select(F.col("id").alias("_uid"), F.col("anc").alias("_uanc"), F.col("rooted").alias("_urooted"),
+                        F.col("path").alias("_upath"), F.col("path_ids").alias("_uids"),
+                        F.col("level").alias("_ulevel"))
+        done = F.col("anc").isNull()
+        cur = reliable_checkpoint(cur.join(up, cur.anc == up._uid, "left").select(
+            "id", "parent_id",
+            F.when(done, F.col("anc")).otherwise(F.col("_uanc")).alias("anc"),
+            F.when(done, F.col("rooted")).otherwise(F.col("_urooted")).alias("rooted"),
+            F.when(done, F.col("path")).otherwise(F.concat(F.col("_upath"), F.col("path"))).alias("path"),
+            F.when(done, F.col("path_ids")).otherwise(F.concat(F.col("_uids"), F.col("path_ids"))).alias("path_ids"),
+            F.when(done, F.col("level")).otherwise(F.col("_ulevel") + F.col("level")).alias("level")))
+    return cur.filter(F.col("rooted")).select("id", "parent_id", "level", "path", "path_ids")
 
 
 def subtree_totals(walked: DataFrame, values: DataFrame, value: str, out: str) -> DataFrame:
     """(id, out): sum of ``value`` (NULL as 0) over each walked node's subtree,
     itself included.  ``values`` carries (id, value)."""
     sized = walked.join(values.select("id", value), "id", "left").select(
-        "id", "parent_id", "level", F.coalesce(F.col(value), F.lit(0)).alias("_own"))
-    sized = reliable_checkpoint(sized)
-    max_level = sized.agg(F.max("level")).first()[0]
-    if max_level is None:
-        return sized.select("id", F.col("_own").alias(out)).limit(0)
-    pieces = []
-    below = None
-    for level in range(max_level, 0, -1):
-        rows = sized.filter(F.col("level") == level)
-        if below is not None:
-            rows = rows.join(below, rows.id == below._child_parent, "left").select(
-                "id", "parent_id", (F.col("_own") + F.coalesce(F.col("_child_sum"), F.lit(0))).alias("_own"))
-        else:
-            rows = rows.select("id", "parent_id", "_own")
-        rows = reliable_checkpoint(rows)
-        pieces.append(rows.select("id", F.col("_own").alias(out)))
-        below = rows.groupBy(F.col("parent_id").alias("_child_parent")).agg(F.sum("_own").alias("_child_sum"))
-    result = pieces[0]
-    for p in pieces[1:]:
-        result = result.unionByName(p)
-    return result
+        "id", "path_ids", F.coalesce(F.col(value), F.lit(0)).cast("long").alias("_w"))
+    node_keys = sized.select(F.col("path_ids").alias("_key"), "_w",
+                             F.col("id").alias("_start_of"), F.lit(None).cast("long").alias("_end_of"))
+    end_keys = sized.select(F.concat(F.col("path_ids"), F.array(F.lit(MAX_ID))).alias("_key"),
+                            F.lit(0).cast("long").alias("_w"),
+                            F.lit(None).cast("long").alias("_start_of"), F.col("id").alias("_end_of"))
+    prefix = exclusive_prefix_sum(node_keys.unionByName(end_keys), "_key", "_w", "_before")
+    starts = prefix.filter(F.col("_start_of").isNotNull()).select(F.col("_start_of").alias("id"),
+                                                                  F.col("_before").alias("_s"))
+    ends = prefix.filter(F.col("_end_of").isNotNull()).select(F.col("_end_of").alias("id"),
+                                                              F.col("_before").alias("_e"))
+    return starts.join(ends, "id").select("id", (F.col("_e") - F.col("_s")).alias(out))
