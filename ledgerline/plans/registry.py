@@ -174,7 +174,24 @@ def r32(spark, sf_dir):
     return tree_report(standins.file_system(spark, sf_dir))
 
 
+def r26_variant(spark, sf_dir):
+    return sa.product_growth(_sales(spark, sf_dir), start="1995-12-01", end="1996-06-30",
+                             first_month="1995-12-01", filter_after_lag=True)
+
+
+def r30_variant(spark, sf_dir):
+    return sa.monthly_price_extremes(_sales(spark, sf_dir), start="1996-01-01", end="1996-12-31",
+                                     distinct_products=True)
+
+
+def r31_variant(spark, sf_dir):
+    return sa.monthly_profit(_sales(spark, sf_dir), start="1996-01-01", end="1996-12-31", keep_manager=True)
+
+
 QUERIES: dict[str, Query] = {
+    "r26v_product_growth_filter_after_lag": r26_variant,
+    "r30v_monthly_price_extremes_distinct_products": r30_variant,
+    "r31v_monthly_profit_per_manager_salary": r31_variant,
     "r01_topic_experts_sql_form": r01,
     "r02_topic_experts": r02,
     "r03_topic_experts_small_list": r03,

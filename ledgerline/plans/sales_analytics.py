@@ -112,17 +112,24 @@ def office_year_share(t, start="2013-01-01", end="2014-12-31", n_months=24) -> D
 
 
 # --------------------------------------------------------------- R26 ----
-def product_growth(t, start="2013-12-01", end="2014-06-30", first_month="2013-12-01") -> DataFrame:
+def product_growth(t, start="2013-12-01", end="2014-06-30", first_month="2013-12-01",
+                   filter_after_lag: bool = False) -> DataFrame:
     """Median month-over-previous-month sales ratio per product.  As written
-    (D9): months not after ``first_month`` are removed before LAG, and LAG
-    takes the previous row even across a month without sales (D10)."""
+    (D9): months not after ``first_month`` are removed before LAG, so the
+    first reported month never gets a ratio; ``filter_after_lag=True`` is the
+    repaired variant that lets it compare with ``first_month``.  LAG takes
+    the previous row even across a month without sales (D10)."""
     monthly = (sale_lines(t).filter(in_period("sale_date", start, end))
                .groupBy("product_id", trunc_month("sale_date").alias("month"))
-               .agg(F.sum("sale_amount").alias("month_amount"))
-               .filter(F.col("month") > F.lit(as_date(first_month))))
+               .agg(F.sum("sale_amount").alias("month_amount")))
+    after_first = F.col("month") > F.lit(as_date(first_month))
+    if not filter_after_lag:
+        monthly = monthly.filter(after_first)
     prev = F.lag("month_amount").over(Window.partitionBy("product_id").orderBy("month"))
-    trend = (monthly.withColumn("trend", safe_ratio(F.col("month_amount"), prev))
-             .filter(F.col("trend").isNotNull()))
+    trend = monthly.withColumn("trend", safe_ratio(F.col("month_amount"), prev))
+    if filter_after_lag:
+        trend = trend.filter(after_first)
+    trend = trend.filter(F.col("trend").isNotNull())
     medians = trend.groupBy("product_id").agg(F.median("trend").alias("trend_median"))
     return attach_product(medians, t).select("product_id", "product_name", "trend_median")
 
