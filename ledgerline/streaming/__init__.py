@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming source, sink, trigger, watermark or state
+(its jobs are batch reads of XML dumps and SQL over tables), so there is
+nothing to re-express with Structured Streaming.  Every operator in this
+package takes and returns a DataFrame and uses no batch-only action in its
+plan, so the stateless ones can be applied to a streaming DataFrame as they
+are; nothing here is built beyond that.
+"""
