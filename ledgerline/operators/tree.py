@@ -5,8 +5,10 @@ parent_id by pointer jumping: every node keeps a pointer to an ancestor and
 the path segment below it; each round joins every node to its pointer's row
 and concatenates the two segments, so the known path doubles per round and
 a depth-D tree needs about log2(D) rounds, each one equi-join over the
-nodes.  Each round is checkpointed to the shared checkpoint folder (lineage
-stays one round deep; a lost executor recomputes one join).  A node on or
+nodes.  Every round is checkpointed to the shared checkpoint folder: a round
+joins the previous round with itself, so without the cut the logical plan
+would double in size per round; with it, lineage is one join deep and a lost
+executor recomputes one round.  A node on or
 under a cycle never reaches a top: its segment outgrows the node count and
 :class:`CycleError` is raised (CONNECT BY without NOCYCLE fails as well).
 
@@ -31,16 +33,18 @@ class CycleError(ValueError):
     """The hierarchy has a cycle."""
 
 
-def walk_from_roots(nodes: DataFrame, sep: str = "\\") -> DataFrame:
+def walk_from_roots(nodes: DataFrame, sep: str = "\\", carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, parent_id, level, path, path_ids) for every node reachable from a
     root (parent_id NULL).  ``path`` is SYS_CONNECT_BY_PATH(name, sep);
     ``path_ids`` the ids from the root down to the node; ``level`` the
     LEVEL pseudo-column.  Nodes under a missing parent are not reachable and
-    are not returned (D26).  Ids must be unique (see ``key_violations``)."""
-    edges = nodes.select("id", "parent_id", "name")
+    are not returned (D26).  Ids must be unique (see ``key_violations``).
+    ``carry`` names node columns passed through to the result."""
+    carry = list(carry)
+    edges = nodes.select("id", "parent_id", "name", *carry)
     known = edges.select(F.col("id").alias("_known"))
     cur = (edges.join(known, edges.parent_id == known._known, "left")
-           .select("id", "parent_id",
+           .select("id", "parent_id", *carry,
                    F.col("_known").alias("anc"),
                    F.when(F.col("parent_id").isNull(), F.lit(True))
                     .when(F.col("_known").isNull(), F.lit(False)).alias("rooted"),
@@ -63,28 +67,30 @@ def walk_from_roots(nodes: DataFrame, sep: str = "\\") -> DataFrame:
                         F.col("level").alias("_ulevel"))
         done = F.col("anc").isNull()
         cur = reliable_checkpoint(cur.join(up, cur.anc == up._uid, "left").select(
-            "id", "parent_id",
+            "id", "parent_id", *carry,
             F.when(done, F.col("anc")).otherwise(F.col("_uanc")).alias("anc"),
             F.when(done, F.col("rooted")).otherwise(F.col("_urooted")).alias("rooted"),
             F.when(done, F.col("path")).otherwise(F.concat(F.col("_upath"), F.col("path"))).alias("path"),
             F.when(done, F.col("path_ids")).otherwise(F.concat(F.col("_uids"), F.col("path_ids"))).alias("path_ids"),
             F.when(done, F.col("level")).otherwise(F.col("_ulevel") + F.col("level")).alias("level")))
-    return cur.filter(F.col("rooted")).select("id", "parent_id", "level", "path", "path_ids")
+    return cur.filter(F.col("rooted")).select("id", "parent_id", "level", "path", "path_ids", *carry)
 
 
-def subtree_totals(walked: DataFrame, values: DataFrame, value: str, out: str) -> DataFrame:
-    """(id, out): sum of ``value`` (NULL as 0) over each walked node's subtree,
-    itself included.  ``values`` carries (id, value)."""
-    sized = walked.join(values.select("id", value), "id", "left").select(
-        "id", "path_ids", F.coalesce(F.col(value), F.lit(0)).cast("long").alias("_w"))
-    node_keys = sized.select(F.col("path_ids").alias("_key"), "_w",
-                             F.col("id").alias("_start_of"), F.lit(None).cast("long").alias("_end_of"))
-    end_keys = sized.select(F.concat(F.col("path_ids"), F.array(F.lit(MAX_ID))).alias("_key"),
-                            F.lit(0).cast("long").alias("_w"),
-                            F.lit(None).cast("long").alias("_start_of"), F.col("id").alias("_end_of"))
-    prefix = exclusive_prefix_sum(node_keys.unionByName(end_keys), "_key", "_w", "_before")
-    starts = prefix.filter(F.col("_start_of").isNotNull()).select(F.col("_start_of").alias("id"),
-                                                                  F.col("_before").alias("_s"))
-    ends = prefix.filter(F.col("_end_of").isNotNull()).select(F.col("_end_of").alias("id"),
-                                                              F.col("_before").alias("_e"))
-    return starts.join(ends, "id").select("id", (F.col("_e") - F.col("_s")).alias(out))
+def subtree_totals(walked: DataFrame, value: str, out: str) -> DataFrame:
+    """``walked`` (from :func:`walk_from_roots`, carrying ``value``) plus
+    ``out``: the sum of ``value`` (NULL as 0) over each node's subtree,
+    itself included.  All walked columns ride along with the node's key, so
+    no join back to the nodes is needed."""
+    payload = [c for c in walked.columns if c != "path_ids"]
+    nodes = walked.select(F.col("path_ids").alias("_key"),
+                          F.coalesce(F.col(value), F.lit(0)).cast("long").alias("_w"),
+                          F.lit(False).alias("_is_end"), *payload)
+    ends = walked.select(F.concat(F.col("path_ids"), F.array(F.lit(MAX_ID))).alias("_key"),
+                         F.lit(0).cast("long").alias("_w"), F.lit(True).alias("_is_end"),
+                         *[F.col("id") if c == "id" else F.lit(None).cast(walked.schema[c].dataType).alias(c)
+                           for c in payload])
+    prefix = exclusive_prefix_sum(nodes.unionByName(ends), "_key", "_w", "_before")
+    starts = prefix.filter(~F.col("_is_end")).select(*payload, F.col("_before").alias("_s"))
+    stops = prefix.filter(F.col("_is_end")).select(F.col("id").alias("_end_id"), F.col("_before").alias("_e"))
+    return (starts.join(stops, starts.id == stops._end_id)
+            .select(*payload, (F.col("_e") - F.col("_s")).alias(out)))

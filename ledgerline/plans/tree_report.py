@@ -12,11 +12,9 @@ from ..operators.windows import ratio_to_report
 
 
 def tree_report(file_system: DataFrame, sep: str = "\\") -> DataFrame:
-    walked = walk_from_roots(file_system, sep=sep)
-    sizes = subtree_totals(walked, file_system, "file_size", "dir_size")
-    types = file_system.select("id", "type")
-    rows = walked.join(sizes, "id").join(types, "id", "left")
-    shared = ratio_to_report(rows, "dir_size", ["parent_id"], "dir_ratio")
+    walked = walk_from_roots(file_system, sep=sep, carry=("type", "file_size"))
+    sized = subtree_totals(walked, "file_size", "dir_size")
+    shared = ratio_to_report(sized, "dir_size", ["parent_id"], "dir_ratio")
     return (shared.select("id", "dir_size", "type", "parent_id", "dir_ratio",
                           F.concat(indent("level"), F.col("path")).alias("full_name"))
             .orderBy("id"))

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.ui.enabled": "false",
+    # checkpoints and cached RDD blocks are written with this serializer
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
