@@ -126,21 +126,16 @@ def qa_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                 .select(F.col("l_orderkey").cast("long").alias("postid"),
                         _brand_number(F.col("p_brand")).alias("tagid"))
                 .distinct())
-    brands = part.select(_brand_number(F.col("p_brand")).alias("id"),
-                         F.col("p_brand").alias("tagname")).distinct()
-    tags = brands
+    tags = part.select(_brand_number(F.col("p_brand")).alias("id"),
+                       F.col("p_brand").alias("tagname")).distinct()
     n = F.col("id")
-
-    def syn(cond, target_no):
-        return brands.filter(cond).select(
-            F.col("tagname").alias("sourcetagname"),
-            F.concat(F.lit("Brand#"), target_no.cast("string")).alias("targettagname"))
-
     # Fixed stand-in rules: 21-25 are synonyms of 1-5; 24-25 also of 14-15
     # (a source with two targets); 19-20 point at tags that do not exist.
-    tagsynonyms = (syn(n > 20, n - 20)
-                   .unionByName(syn(n > 23, n - 10))
-                   .unionByName(syn(n.between(19, 20), n + 100)))
+    targets = F.array(F.when(n > 20, n - 20), F.when(n > 23, n - 10), F.when(n.between(19, 20), n + 100))
+    tagsynonyms = (tags.select(F.col("tagname").alias("sourcetagname"),
+                               F.explode(F.filter(targets, lambda x: x.isNotNull())).alias("_target"))
+                   .select("sourcetagname",
+                           F.concat(F.lit("Brand#"), F.col("_target").cast("string")).alias("targettagname")))
     return {"posts": posts, "posttags": posttags, "tags": tags, "tagsynonyms": tagsynonyms}
 
 
