@@ -36,20 +36,35 @@ def best_manager_bonus(t, grid_start="2013-10-01", n_months=15, period_start="20
                        rate=Decimal("0.05")) -> DataFrame:
     """Monthly bonus = rate x the best sales over the three previous months.
 
-    Grid: every manager of the view x ``n_months`` months (generated per row,
-    no cross join).  Monthly sums are aggregated before they meet the grid;
-    the 3-previous-months RANGE frame runs per manager over <= n_months rows;
-    the per-month best is a grouped max joined back (ties kept)."""
+    Plan: one pass over the view's lines (lineitem LEFT JOIN orders) with a
+    partial aggregation per (manager, month), the period applied as a
+    conditional sum - so the same join yields both the manager list and the
+    monthly sums.  The grid (every manager x ``n_months`` months, generated
+    per row: no cross join) and the monthly sums are unioned and meet in the
+    one shuffle the RANGE window needs (per manager: <= 2 x n_months rows);
+    this replaces the grid LEFT JOIN + GROUP BY of the original, because a
+    grid cell's window value is the same whether its month's sum sits on the
+    cell or on a sibling row.  The per-month best is a grouped max joined
+    back (ties kept)."""
+    months = month_series(grid_start, n_months)
     lines = sale_lines(t)
-    managers = attach_manager(lines.select("manager_id").distinct(), t).select(*MANAGER_NAMES)
-    grid = densify(managers, month_series(grid_start, n_months), "sale_month")
-    monthly = (lines.filter(in_period("sale_date", period_start, period_end))
-               .groupBy("manager_id", trunc_month("sale_date").alias("sale_month"))
-               .agg(F.sum("sale_amount").alias("s_sale_amount")))
-    filled = grid.join(monthly, ["manager_id", "sale_month"], "left")
+    monthly = (lines.groupBy("manager_id", trunc_month("sale_date").alias("sale_month"))
+               .agg(F.sum(F.when(in_period("sale_date", period_start, period_end), F.col("sale_amount")))
+                    .alias("s_sale_amount")))
+    managers = attach_manager(monthly.select("manager_id").distinct(), t).select(*MANAGER_NAMES)
+    grid = densify(managers, months, "sale_month").select(
+        *MANAGER_NAMES, "sale_month", F.lit(None).cast("decimal(38,4)").alias("s_sale_amount"),
+        F.lit(True).alias("_cell"))
+    # the equi-join of the original never matches a NULL manager
+    sums = monthly.filter(F.col("manager_id").isNotNull() & F.col("s_sale_amount").isNotNull()
+                          & F.array_contains(months, F.col("sale_month"))).select(
+        "manager_id", F.lit(None).cast("string").alias("manager_first_name"),
+        F.lit(None).cast("string").alias("manager_last_name"), "sale_month", "s_sale_amount",
+        F.lit(False).alias("_cell"))
     prev3 = (Window.partitionBy("manager_id").orderBy(month_index("sale_month")).rangeBetween(-3, -1))
-    scored = (filled.withColumn("prev_sale_amount", F.sum("s_sale_amount").over(prev3))
-                    .filter(F.col("sale_month") >= F.lit(as_date(report_from))))
+    scored = (grid.unionByName(sums)
+              .withColumn("prev_sale_amount", F.sum("s_sale_amount").over(prev3))
+              .filter(F.col("_cell") & (F.col("sale_month") >= F.lit(as_date(report_from)))))
     best = argmax_rows(scored, ["sale_month"], "prev_sale_amount", bounded_groups=True)
     return best.select(*MANAGER_NAMES, "sale_month",
                        _money(F.col("prev_sale_amount") * F.lit(rate)).alias("bonus"))
