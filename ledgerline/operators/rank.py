@@ -61,7 +61,7 @@ def top_k_by_rank(df: DataFrame, group_by: list[str], value: str, k: int,
     return out.drop(*[prefix + c for c in [*group_by, value]])
 
 
-def exclusive_prefix_sum(df: DataFrame, order_col: str, weight: str, out: str,
+def exclusive_prefix_sum(df: DataFrame, order_col: str, weight, out,
                          num_ranges: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows strictly before this one
     in the global order of ``order_col`` (values must be distinct).
@@ -72,22 +72,29 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, weight: str, out: str,
     per range, a table bounded by ``num_ranges`` that is broadcast - and each
     row adds the running sum inside its own range.  No step sorts the whole
     input in one task, unlike ``Window.orderBy`` without a partition.
+    ``weight`` and ``out`` may be lists of equal length (several sums in one
+    pass).
     """
+    weights = [weight] if isinstance(weight, str) else list(weight)
+    outs = [out] if isinstance(out, str) else list(out)
     spark = df.sparkSession
     ranges = num_ranges or max(2, shuffle_partitions(spark))
     ranged = df.repartitionByRange(ranges, F.col(order_col)).withColumn("_range", F.spark_partition_id())
     ranged = reliable_checkpoint(ranged)
-    per_range = ranged.groupBy("_range").agg(F.sum(weight).alias("_range_sum"))
+    per_range = ranged.groupBy("_range").agg(*[F.sum(w).alias(f"_range_sum{i}") for i, w in enumerate(weights)])
+    before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
-        "_range",
-        F.coalesce(F.sum("_range_sum").over(
-            Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+        "_range", *[F.coalesce(F.sum(f"_range_sum{i}").over(before_range), F.lit(0)).alias(f"_offset{i}")
+                    for i in range(len(weights))])
     inside = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged
-            .withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-            .join(F.broadcast(offsets), "_range")
-            .withColumn(out, F.col("_offset") + F.col("_local"))
-            .drop("_range", "_offset", "_local"))
+    out_df = ranged
+    for i, w in enumerate(weights):
+        out_df = out_df.withColumn(f"_local{i}", F.coalesce(F.sum(w).over(inside), F.lit(0)))
+    out_df = out_df.join(F.broadcast(offsets), "_range")
+    for i, o in enumerate(outs):
+        out_df = out_df.withColumn(o, F.col(f"_offset{i}") + F.col(f"_local{i}"))
+    return out_df.drop("_range", *[f"_offset{i}" for i in range(len(weights))],
+                       *[f"_local{i}" for i in range(len(weights))])
 
 
 def global_percent_rank(df: DataFrame, value: str, out: str,

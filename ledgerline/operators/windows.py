@@ -69,3 +69,51 @@ def argmax_rows(df: DataFrame, group_by: list[str], value: str,
         maxes = F.broadcast(maxes)
     cond = _keys_equal(df, maxes, group_by, prefix) & (df[value] == maxes["_max_value"])
     return df.join(maxes, cond, "left_semi")
+
+
+def trailing_range_sum(df: DataFrame, keys: list[str], order: str, value: str, lower: Column,
+                       out: str) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY keys ORDER BY order RANGE BETWEEN
+    <lower> PRECEDING AND CURRENT ROW)`` for a DataFrame with one row per
+    (keys, order) - e.g. after summing by (key, timestamp); ``lower`` is the
+    frame's lower bound as an expression of ``order`` (``order - INTERVAL
+    1 MONTH``).  NULL when the frame holds no non-NULL value.
+
+    A window would sort all rows of a key in one task.  Instead every row
+    contributes its value at key (keys, order) to one global order, and two
+    zero-weight probes per row read the prefix sums just after (keys, order)
+    and just before (keys, lower): the frame sum is their difference.  The
+    prefix sums are range-partitioned on the full key, so a hot key is split
+    across ranges.
+    """
+    from .rank import exclusive_prefix_sum
+    w = F.coalesce(F.col(value), F.lit(0)).cast(df.schema[value].dataType)
+    c = F.col(value).isNotNull().cast("long")
+    zero_w = F.lit(0).cast(df.schema[value].dataType)
+
+    def key(at: Column, kind: int) -> Column:
+        return F.struct(*[F.col(k) for k in keys], at.alias("_at"), F.lit(kind).alias("_kind"),
+                        F.col(order).alias("_row"))
+
+    rows = df.select(*keys, order, value, lower.alias("_lower"))
+    events = (rows.select(key(F.col(order), 0).alias("_key"), w.alias("_w"), c.alias("_c"),
+                          F.lit(0).alias("_probe"))
+              .unionByName(rows.select(key(F.col(order), 1).alias("_key"), zero_w.alias("_w"),
+                                       F.lit(0).cast("long").alias("_c"), F.lit(1).alias("_probe")))
+              .unionByName(rows.select(key(F.col("_lower"), -1).alias("_key"), zero_w.alias("_w"),
+                                       F.lit(0).cast("long").alias("_c"), F.lit(-1).alias("_probe"))))
+    prefixed = exclusive_prefix_sum(events, "_key", ["_w", "_c"], ["_pw", "_pc"])
+    probe_cols = [F.col(f"_key.{k}").alias(k) for k in keys] + [F.col("_key._row").alias(order)]
+    upper = prefixed.filter(F.col("_probe") == 1).select(*probe_cols, "_pw", "_pc")
+    below = prefixed.filter(F.col("_probe") == -1).select(
+        *[F.col(f"_key.{k}").alias(f"_b_{k}") for k in keys], F.col("_key._row").alias("_b_row"),
+        F.col("_pw").alias("_bw"), F.col("_pc").alias("_bc"))
+    cond = reduce(lambda a, b: a & b, [upper[k].eqNullSafe(below[f"_b_{k}"]) for k in keys]
+                  + [upper[order] == below["_b_row"]])
+    sums = upper.join(below, cond).select(
+        *keys, order,
+        F.when(F.col("_pc") - F.col("_bc") > 0, F.col("_pw") - F.col("_bw")).alias(out))
+    back = sums.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col(order).alias("_s_order"), out)
+    cond_back = reduce(lambda a, b: a & b, [df[k].eqNullSafe(back[f"_s_{k}"]) for k in keys]
+                       + [df[order] == back["_s_order"]])
+    return df.join(back, cond_back).drop(*[f"_s_{k}" for k in keys], "_s_order")

@@ -20,7 +20,7 @@ from ..functions.dates import as_date, month_index, month_series, trunc_month, t
 from ..functions.text import oracle_concat
 from ..operators.densify import densify
 from ..operators.rank import global_percent_rank, top_k_by_rank
-from ..operators.windows import argmax_rows, ratio_to_report
+from ..operators.windows import argmax_rows, ratio_to_report, trailing_range_sum
 from .sales_fact import attach_manager, attach_office, attach_product, in_period, sale_lines
 
 MANAGER_NAMES = ["manager_id", "manager_first_name", "manager_last_name"]
@@ -81,9 +81,8 @@ def best_manager_bonus_first_version(t, after="2013-09-30", before="2015-01-01",
     peers share one frame value, so the max per month is unchanged."""
     lines = sale_lines(t).filter((F.col("sale_date") > ts_lit(after)) & (F.col("sale_date") < ts_lit(before)))
     per_ts = lines.groupBy("manager_id", "sale_date").agg(F.sum("sale_amount").alias("ts_amount"))
-    trailing = per_ts.withColumn("sum_per_month", F.expr(
-        "sum(ts_amount) OVER (PARTITION BY manager_id ORDER BY sale_date "
-        "RANGE BETWEEN INTERVAL '1' MONTH PRECEDING AND CURRENT ROW)"))
+    trailing = trailing_range_sum(per_ts, ["manager_id"], "sale_date", "ts_amount",
+                                  F.col("sale_date") - F.expr("INTERVAL 1 MONTH"), "sum_per_month")
     monthly = (trailing.groupBy("manager_id", trunc_month("sale_date").alias("month"))
                .agg(F.max("sum_per_month").alias("sum_per_month")))
     prev3 = Window.partitionBy("manager_id").orderBy(month_index("month")).rangeBetween(-3, -1)

@@ -105,3 +105,34 @@ def test_text_helpers(spark):
     got2 = df2.select(oracle_concat("a", "b").alias("c"), indent("lvl").alias("i")).collect()
     assert [r.c for r in got2] == ["a", None, "xy"]
     assert [r.i for r in got2] == ["", "    ", "        "]
+
+
+def test_trailing_range_sum_matches_interval_window(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from ledgerline.operators.windows import trailing_range_sum
+    rnd = random.Random(3)
+    days = [dt.datetime(2014, 1, 1) + dt.timedelta(days=d, hours=rnd.choice([0, 0, 13])) for d in range(0, 150, 2)]
+    days += [dt.datetime(2014, 3, 31), dt.datetime(2014, 2, 28), dt.datetime(2014, 3, 28)]
+    rows = set()
+    for i in range(600):
+        m = 1 if i % 3 == 0 else rnd.choice([2, 3, None])
+        rows.add((m, rnd.choice(days)))
+    data = [(m, d, None if rnd.random() < 0.05 else Decimal(rnd.randint(1, 500)) / 4) for m, d in sorted(rows, key=str)]
+    df = spark.createDataFrame(data, "m long, d timestamp_ntz, v decimal(20,2)")
+    got = trailing_range_sum(df, ["m"], "d", "v", F.col("d") - F.expr("INTERVAL 1 MONTH"), "s")
+
+    def minus_month(d):   # calendar month back, day clamped to the month's end
+        y, m = (d.year, d.month - 1) if d.month > 1 else (d.year - 1, 12)
+        last = (dt.date(y + (m == 12), m % 12 + 1, 1) - dt.timedelta(days=1)).day
+        return d.replace(year=y, month=m, day=min(d.day, last))
+
+    # Brute force of the frame definition.  Spark's own RANGE window is not
+    # used as the reference: its frame start only moves forward, and
+    # "minus one month" is not monotonic (Mar 30 13:00 -> Feb 28 13:00, but
+    # Mar 31 00:00 -> Feb 28 00:00), so it drops rows the definition keeps.
+    want = []
+    for m, d, _ in data:
+        vals = [v for m2, d2, v in data if m2 == m and minus_month(d) <= d2 <= d and v is not None]
+        want.append((m, d, sum(vals) if vals else None))
+    assert sorted(((r.m, r.d, r.s) for r in got.collect()), key=str) == sorted(want, key=str)
