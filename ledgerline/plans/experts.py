@@ -65,3 +65,22 @@ def run_expert_job(spark: SparkSession, posts_path: str, users_path: str, output
     users = read_rows_xml(spark, users_path, USERS_XML)
     write_rows_xml(topic_experts(posts, users, topic, locations), output_path,
                    root_tag="users", row_tag="row")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m ledgerline.plans.experts POSTS USERS OUTPUT [--topic T]
+    [--locations a,b,...]``: the job's three positional paths."""
+    import argparse
+    p = argparse.ArgumentParser(description="Topic experts by location, XML in and out")
+    p.add_argument("posts")
+    p.add_argument("users")
+    p.add_argument("output")
+    p.add_argument("--topic", default="brewing")
+    p.add_argument("--locations", default=",".join(LOCATIONS_JOB))
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("topic-experts").getOrCreate()
+    run_expert_job(spark, a.posts, a.users, a.output, a.topic, [x for x in a.locations.split(",") if x])
+
+
+if __name__ == "__main__":
+    main()

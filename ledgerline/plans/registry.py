@@ -97,6 +97,10 @@ def _star(spark, sf_dir):
     return qa, qt, dim_date, dim_tags
 
 
+def a16(spark, sf_dir):
+    return star.date_profile(standins.qa_tables(spark, sf_dir))
+
+
 def r04(spark, sf_dir):
     return _star(spark, sf_dir)[2]
 
@@ -196,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "r02_topic_experts": r02,
     "r03_topic_experts_small_list": r03,
     "r32_tree_report": r32,
+    "a16_post_date_profile": a16,
     "r04_date_dimension": r04,
     "r05_question_tags": r05,
     "r06_tag_dimension": r06,

@@ -23,6 +23,14 @@ NO_TAG_NAME = "no_tag"  # fixed value: unknown tag member
 CUBE_FACT_ID = -5       # fixed value: marks cube rows in the fact table
 
 
+def date_profile(qa: dict[str, DataFrame]) -> DataFrame:                      # A16
+    """MIN/MAX profile of the question dates: the range the calendar must
+    cover (one global aggregate, partial per task)."""
+    return qa["posts"].agg(F.min("creationdate").alias("min_creationdate"),
+                           F.max("creationdate").alias("max_creationdate"),
+                           F.count(F.lit(1)).alias("n_posts"))
+
+
 def date_dimension(qa: dict[str, DataFrame]) -> DataFrame:                    # R4
     return calendar_covering(qa["posts"], "creationdate")
 

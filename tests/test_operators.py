@@ -136,3 +136,14 @@ def test_trailing_range_sum_matches_interval_window(spark):
         vals = [v for m2, d2, v in data if m2 == m and minus_month(d) <= d2 <= d and v is not None]
         want.append((m, d, sum(vals) if vals else None))
     assert sorted(((r.m, r.d, r.s) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_oracle_date_formats_and_truncation(spark):
+    import datetime as dt
+    from ledgerline.functions.dates import parse_dmy_dots, parse_ymd_dots, trunc_day, trunc_quarter
+    df = spark.createDataFrame([("2016.01.31", "21.07.2017", dt.datetime(2014, 8, 15, 23, 59))],
+                               "a string, b string, t timestamp_ntz")
+    r = df.select(parse_ymd_dots("a").alias("a"), parse_dmy_dots("b").alias("b"),
+                  trunc_day("t").alias("d"), trunc_quarter("t").alias("q")).first()
+    assert (r.a, r.b, r.d, r.q) == (dt.date(2016, 1, 31), dt.date(2017, 7, 21), dt.date(2014, 8, 15),
+                                    dt.date(2014, 7, 1))
