@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, trunc_day
 from ..operators.calendar import calendar_covering
-from ..operators.cube import cube_agg, rounded_avg
+from ..operators.cube import combined_rounded_avg, cube_agg
 from ..sources.tables import write_table
 
 NO_TAG_ID = -1          # fixed value: unknown tag member
@@ -89,12 +89,21 @@ def fact_detail(question_tag: DataFrame, dim_date: DataFrame, dim_tags: DataFram
 
 
 def fact_cube(detail: DataFrame) -> DataFrame:                                   # R8
-    """CUBE(date, tag) over the detail rows only (the snapshot, S12)."""
-    c = cube_agg(detail, ["d_date_id", "d_tag_id"], {
-        "views_amount": rounded_avg("views_amount"),
-        "answers_amount": F.sum("answers_amount"),
-        "total_amount": F.sum("total_amount"),
-        "score": rounded_avg("score"),
+    """CUBE(date, tag) over the detail rows only (the snapshot, S12).
+
+    The detail rows are first reduced to one row per (date, tag) carrying
+    sums and counts, so the 4x expansion of the cube runs over groups, not
+    fact rows; the cube then combines them (an average is sum / count of
+    the combined parts, exactly the average of the rows)."""
+    pre = detail.groupBy("d_date_id", "d_tag_id").agg(
+        F.sum("views_amount").alias("_views_sum"), F.count("views_amount").alias("_views_n"),
+        F.sum("answers_amount").alias("_answers"), F.sum("total_amount").alias("_total"),
+        F.sum("score").alias("_score_sum"), F.count("score").alias("_score_n"))
+    c = cube_agg(pre, ["d_date_id", "d_tag_id"], {
+        "views_amount": combined_rounded_avg("_views_sum", "_views_n"),
+        "answers_amount": F.sum("_answers"),
+        "total_amount": F.sum("_total"),
+        "score": combined_rounded_avg("_score_sum", "_score_n"),
     })
     return c.select("d_date_id", "d_tag_id", F.lit(CUBE_FACT_ID).cast("long").alias("fact_id"),
                     "views_amount", "answers_amount", "total_amount", "score", "grouping_id")
