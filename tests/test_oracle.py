@@ -73,3 +73,23 @@ def test_date_filter_reaches_the_orders_scan(spark):
 def test_topic_filter_is_pushed_as_string_contains(spark):
     plan = E.queries()["r02_topic_experts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "StringContains(o_orderpriority,URGENT)" in plan
+
+
+# Windows without PARTITION BY run in one task.  They are allowed only over
+# inputs whose size is fixed by the report, not by the data: the months of
+# a year (R27), the calendar (its date range) and the per-range offsets of
+# the distributed prefix sums (one row per range).
+BOUNDED_ORDER_KEYS = ("sale_month", "sale_quarter", "date_val", "_range")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_unpartitioned_windows_only_over_bounded_inputs(spark, name):
+    import re
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        m = re.search(r"Window \[.*\], \[([^\]]*)\]$", line.strip())
+        if m and "windowspecdefinition" in line:
+            spec = line[line.index("windowspecdefinition(") + len("windowspecdefinition("):]
+            first = spec.split(",")[0].strip()
+            if " ASC " in first or " DESC " in first:   # no partition column before the order
+                assert first.split("#")[0] in BOUNDED_ORDER_KEYS, line
