@@ -7,11 +7,29 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOADED: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """One Parquet table.  Column pruning and filter pushdown are left to
     Catalyst: later ``select``/``filter`` calls narrow the scan's ReadSchema
-    and become PushedFilters."""
-    return spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
+    and become PushedFilters.
+
+    The loaded (lazy, data-free) DataFrame is kept per session and path, so
+    a run of reports lists files and reads Parquet footers once per table
+    instead of once per report; :func:`forget_tables` drops them."""
+    path = os.path.join(base_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    hit = _LOADED.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _LOADED[key] = (spark, df)
+    return df
+
+
+def forget_tables() -> None:
+    _LOADED.clear()
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
