@@ -28,10 +28,13 @@ def date_lit(value) -> Column:
 
 
 def ts_lit(value) -> Column:
-    """Midnight of a date as a TIMESTAMP_NTZ literal (matches NTZ columns
-    without a zone conversion)."""
+    """Midnight of a date as a TIMESTAMP_NTZ literal.  Built from text, so it
+    does not depend on the session or Python time zone (a Python datetime
+    literal is a zoned TIMESTAMP and would shift against NTZ columns under a
+    non-UTC session zone); it folds to a constant and reaches the scan as a
+    pushed filter."""
     d = as_date(value)
-    return F.lit(_dt.datetime(d.year, d.month, d.day))
+    return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def parse_ymd_dots(s: Column | str) -> Column:

@@ -93,3 +93,20 @@ def test_unpartitioned_windows_only_over_bounded_inputs(spark, name):
             first = spec.split(",")[0].strip()
             if " ASC " in first or " DESC " in first:   # no partition column before the order
                 assert first.split("#")[0] in BOUNDED_ORDER_KEYS, line
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Tokyo"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for name in ["r13_orders_after", "r14_orders_between", "r20_quantity_sold", "r22_best_managers",
+                     "r31_monthly_profit"]:
+            df = E.queries()[name](spark, SF)
+            rel = duck.sql(E.oracle_sql()[name])
+            order = [rel.columns.index(c) for c in df.columns]
+            got = sorted(repr(tuple(_norm(x) for x in r)) for r in df.collect())
+            want = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rel.fetchall())
+            assert got == want, name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
