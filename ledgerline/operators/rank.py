@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint, shuffle_partitions
+from ..session import materialize, shuffle_partitions
 
 
 def _null_safe_join_cond(left: DataFrame, right: DataFrame, cols: list[str], prefix: str) -> Column:
@@ -67,10 +67,11 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, weight, out,
     in the global order of ``order_col`` (values must be distinct).
 
     Rows are range-partitioned on the order column (sampled bounds, so every
-    range holds about 1/num_ranges of the rows) and checkpointed so the range
-    assignment is fixed.  Per-range sums become per-range offsets - one row
-    per range, a table bounded by ``num_ranges`` that is broadcast - and each
-    row adds the running sum inside its own range.  No step sorts the whole
+    range holds about 1/num_ranges of the rows) and written as a table in
+    the shared checkpoint folder, so the range assignment is fixed data.
+    Per-range sums become per-range offsets - one row per range, a table
+    bounded by ``num_ranges`` that is broadcast - and each row adds the
+    running sum inside its own range.  No step sorts the whole
     input in one task, unlike ``Window.orderBy`` without a partition.
     ``weight`` and ``out`` may be lists of equal length (several sums in one
     pass).
@@ -80,7 +81,7 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, weight, out,
     spark = df.sparkSession
     ranges = num_ranges or max(2, shuffle_partitions(spark))
     ranged = df.repartitionByRange(ranges, F.col(order_col)).withColumn("_range", F.spark_partition_id())
-    ranged = reliable_checkpoint(ranged)
+    ranged = materialize(ranged)
     per_range = ranged.groupBy("_range").agg(*[F.sum(w).alias(f"_range_sum{i}") for i, w in enumerate(weights)])
     before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(

@@ -5,10 +5,11 @@ parent_id by pointer jumping: every node keeps a pointer to an ancestor and
 the path segment below it; each round joins every node to its pointer's row
 and concatenates the two segments, so the known path doubles per round and
 a depth-D tree needs about log2(D) rounds, each one equi-join over the
-nodes.  Every round is checkpointed to the shared checkpoint folder: a round
-joins the previous round with itself, so without the cut the logical plan
-would double in size per round; with it, lineage is one join deep and a lost
-executor recomputes one round.  A node on or
+nodes.  Every round is written as a table in the shared checkpoint folder
+(``spark.checkpoint.dir``) and read back: a round joins the previous round
+with itself, so without the cut the logical plan would double in size per
+round; with it, lineage is one join deep and a lost executor recomputes
+one round.  A node on or
 under a cycle never reaches a top: its segment outgrows the node count and
 :class:`CycleError` is raised (CONNECT BY without NOCYCLE fails as well).
 
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import materialize
 from .rank import exclusive_prefix_sum
 
 MAX_ID = 9223372036854775807   # sorts after every real id in a pre-order key
@@ -51,7 +52,7 @@ def walk_from_roots(nodes: DataFrame, sep: str = "\\", carry: tuple[str, ...] =
                    F.concat(F.lit(sep), F.coalesce(F.col("name"), F.lit(""))).alias("path"),
                    F.array(F.col("id")).alias("path_ids"),
                    F.lit(1).alias("level")))
-    cur = reliable_checkpoint(cur)
+    cur = materialize(cur)
     n_nodes = None
     while True:
         stats = cur.agg(F.count(F.lit(1)).alias("n"), F.count("anc").alias("open"),
@@ -66,7 +67,7 @@ def walk_from_roots(nodes: DataFrame, sep: str = "\\", carry: tuple[str, ...] =
                         F.col("path").alias("_upath"), F.col("path_ids").alias("_uids"),
                         F.col("level").alias("_ulevel"))
         done = F.col("anc").isNull()
-        cur = reliable_checkpoint(cur.join(up, cur.anc == up._uid, "left").select(
+        cur = materialize(cur.join(up, cur.anc == up._uid, "left").select(
             "id", "parent_id", *carry,
             F.when(done, F.col("anc")).otherwise(F.col("_uanc")).alias("anc"),
             F.when(done, F.col("rooted")).otherwise(F.col("_urooted")).alias("rooted"),
