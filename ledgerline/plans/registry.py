@@ -234,3 +234,7 @@ QUERIES: dict[str, Query] = {
     "r31_monthly_profit": r31,
     "r33_sales_fact_view": r33,
 }
+
+# Registry order: by name (profile, reports r01-r33 with variants next to
+# their report, then the data checks).
+QUERIES = dict(sorted(QUERIES.items(), key=lambda kv: (kv[0][0] == "s", kv[0])))
