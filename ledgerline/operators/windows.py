@@ -77,7 +77,8 @@ def trailing_range_sum(df: DataFrame, keys: list[str], order: str, value: str, l
     <lower> PRECEDING AND CURRENT ROW)`` for a DataFrame with one row per
     (keys, order) - e.g. after summing by (key, timestamp); ``lower`` is the
     frame's lower bound as an expression of ``order`` (``order - INTERVAL
-    1 MONTH``).  NULL when the frame holds no non-NULL value.
+    1 MONTH``).  Returns (keys, order, out); ``out`` is NULL when the frame
+    holds no non-NULL value.  The input is read once.
 
     A window would sort all rows of a key in one task.  Instead every row
     contributes its value at key (keys, order) to one global order, and two
@@ -96,12 +97,13 @@ def trailing_range_sum(df: DataFrame, keys: list[str], order: str, value: str, l
                         F.col(order).alias("_row"))
 
     rows = df.select(*keys, order, value, lower.alias("_lower"))
-    events = (rows.select(key(F.col(order), 0).alias("_key"), w.alias("_w"), c.alias("_c"),
-                          F.lit(0).alias("_probe"))
-              .unionByName(rows.select(key(F.col(order), 1).alias("_key"), zero_w.alias("_w"),
-                                       F.lit(0).cast("long").alias("_c"), F.lit(1).alias("_probe")))
-              .unionByName(rows.select(key(F.col("_lower"), -1).alias("_key"), zero_w.alias("_w"),
-                                       F.lit(0).cast("long").alias("_c"), F.lit(-1).alias("_probe"))))
+    # one pass over the input: each row emits its value and its two probes
+    events = rows.select(F.explode(F.array(
+        F.struct(key(F.col(order), 0).alias("_key"), w.alias("_w"), c.alias("_c"), F.lit(0).alias("_probe")),
+        F.struct(key(F.col(order), 1).alias("_key"), zero_w.alias("_w"), F.lit(0).cast("long").alias("_c"),
+                 F.lit(1).alias("_probe")),
+        F.struct(key(F.col("_lower"), -1).alias("_key"), zero_w.alias("_w"), F.lit(0).cast("long").alias("_c"),
+                 F.lit(-1).alias("_probe")))).alias("_e")).select("_e.*")
     prefixed = exclusive_prefix_sum(events, "_key", ["_w", "_c"], ["_pw", "_pc"])
     probe_cols = [F.col(f"_key.{k}").alias(k) for k in keys] + [F.col("_key._row").alias(order)]
     upper = prefixed.filter(F.col("_probe") == 1).select(*probe_cols, "_pw", "_pc")
@@ -113,7 +115,4 @@ def trailing_range_sum(df: DataFrame, keys: list[str], order: str, value: str, l
     sums = upper.join(below, cond).select(
         *keys, order,
         F.when(F.col("_pc") - F.col("_bc") > 0, F.col("_pw") - F.col("_bw")).alias(out))
-    back = sums.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col(order).alias("_s_order"), out)
-    cond_back = reduce(lambda a, b: a & b, [df[k].eqNullSafe(back[f"_s_{k}"]) for k in keys]
-                       + [df[order] == back["_s_order"]])
-    return df.join(back, cond_back).drop(*[f"_s_{k}" for k in keys], "_s_order")
+    return sums

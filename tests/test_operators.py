@@ -135,6 +135,7 @@ def test_trailing_range_sum_matches_interval_window(spark):
     for m, d, _ in data:
         vals = [v for m2, d2, v in data if m2 == m and minus_month(d) <= d2 <= d and v is not None]
         want.append((m, d, sum(vals) if vals else None))
+    assert got.columns == ["m", "d", "s"]
     assert sorted(((r.m, r.d, r.s) for r in got.collect()), key=str) == sorted(want, key=str)
 
 
