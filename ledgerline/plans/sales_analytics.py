@@ -21,7 +21,7 @@ from ..functions.text import oracle_concat
 from ..operators.densify import densify
 from ..operators.rank import global_percent_rank, top_k_by_rank
 from ..operators.windows import argmax_rows, ratio_to_report, trailing_range_sum
-from ..session import materialize
+from ..session import reuse
 from .sales_fact import attach_manager, attach_office, attach_product, in_period, sale_lines
 
 MANAGER_NAMES = ["manager_id", "manager_first_name", "manager_last_name"]
@@ -49,11 +49,12 @@ def best_manager_bonus(t, grid_start="2013-10-01", n_months=15, period_start="20
     back (ties kept)."""
     months = month_series(grid_start, n_months)
     lines = sale_lines(t)
-    # group-sized (managers x months); written once so the manager list and
-    # the sums read it instead of aggregating the fact twice
-    monthly = materialize(lines.groupBy("manager_id", trunc_month("sale_date").alias("sale_month"))
-                          .agg(F.sum(F.when(in_period("sale_date", period_start, period_end),
-                                            F.col("sale_amount"))).alias("s_sale_amount")))
+    # group-sized (managers x months), used by the manager list and the sums:
+    # on a large fact it is written once instead of aggregating the fact twice
+    monthly = reuse(lines.groupBy("manager_id", trunc_month("sale_date").alias("sale_month"))
+                    .agg(F.sum(F.when(in_period("sale_date", period_start, period_end),
+                                      F.col("sale_amount"))).alias("s_sale_amount")),
+                    t["sales_order_line"])
     managers = attach_manager(monthly.select("manager_id").distinct(), t).select(*MANAGER_NAMES)
     grid = densify(managers, months, "sale_month").select(
         *MANAGER_NAMES, "sale_month", F.lit(None).cast("decimal(38,4)").alias("s_sale_amount"),
@@ -108,10 +109,11 @@ def office_year_share(t, start="2013-01-01", end="2014-12-31", n_months=24) -> D
     lines = sale_lines(t).filter(in_period("sale_date", start, end))
     per_manager = (lines.groupBy("manager_id", trunc_year("sale_date").alias("sale_year"))
                    .agg(F.sum("sale_amount").alias("amount")))
-    # offices x years: tiny; written once so the office list, the grid join
-    # and the year totals do not each aggregate the fact again
-    per_office = materialize(attach_manager(per_manager, t)
-                             .groupBy("office_id", "sale_year").agg(F.sum("amount").alias("amount")))
+    # offices x years: tiny; on a large fact written once so the office list,
+    # the grid join and the year totals do not each aggregate the fact again
+    per_office = reuse(attach_manager(per_manager, t)
+                       .groupBy("office_id", "sale_year").agg(F.sum("amount").alias("amount")),
+                       t["sales_order_line"])
     offices = attach_office(per_office.filter(F.col("office_id").isNotNull())
                             .select("office_id").distinct(), t) \
         .select("office_id", "office_name", "city_name", "country")
@@ -173,11 +175,13 @@ def running_totals(t, start="2014-01-01", end="2014-12-31") -> DataFrame:
 def price_tail_share(t, start="2014-01-01", end="2014-12-31", low=0.1, high=0.9) -> DataFrame:
     """Share of total sales of products whose median price lies in the
     cheapest or dearest tail (percent_rank outside [low, high])."""
-    # product-sized; written once: the rank, its counts and the total all read it
-    per_product = materialize(sale_lines(t).filter(in_period("sale_date", start, end))
-                              .groupBy("product_id")
-                              .agg(F.median(F.col("sale_price").cast("double")).alias("med_sale_price"),
-                                   F.sum("sale_amount").alias("sale_amount_product")))
+    # product-sized; the rank, its counts and the total all read it (written
+    # once on a large fact)
+    per_product = reuse(sale_lines(t).filter(in_period("sale_date", start, end))
+                        .groupBy("product_id")
+                        .agg(F.median(F.col("sale_price").cast("double")).alias("med_sale_price"),
+                             F.sum("sale_amount").alias("sale_amount_product")),
+                        t["sales_order_line"])
     ranked = global_percent_rank(per_product, "med_sale_price", "percntle_product_price")
     total = per_product.select(F.sum("sale_amount_product")).scalar()
     out = (ranked.filter(~F.col("percntle_product_price").between(low, high))
@@ -223,13 +227,15 @@ def monthly_price_extremes(t, start="2014-01-01", end="2014-12-31",
     # one pass selects the lines at either extreme of their month (the
     # per-month extremes are bounded by the report's months: broadcast);
     # the result - products at the extremes, with line counts - is written
-    # once, so both sides read it rather than each re-running the pass
+    # once on a large fact, so both sides read it rather than each re-running
+    # the pass
     ext = F.broadcast(extremes.select(F.col("sale_month").alias("_m"), "highest_price", "lowest_price"))
-    hits = materialize(
+    hits = reuse(
         data.join(ext, (F.col("sale_month") == F.col("_m"))
                   & ((F.col("sale_price") == F.col("highest_price")) | (F.col("sale_price") == F.col("lowest_price"))))
         .groupBy("sale_month", "product_id", "sale_price", "highest_price", "lowest_price")
-        .agg(F.count(F.lit(1)).alias("_n")))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        t["sales_order_line"])
     high = hits.filter(F.col("sale_price") == F.col("highest_price")).select(
         "sale_month", F.col("product_id").alias("expensv_prod_id"), "highest_price", F.col("_n").alias("n_high"))
     low = hits.filter(F.col("sale_price") == F.col("lowest_price")).select(

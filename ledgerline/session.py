@@ -89,3 +89,26 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{base.rstrip('/')}/ledgerline-table-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+MATERIALIZE_MIN_BYTES = "ledgerline.materialize.minBytes"
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of ``df`` from its scan statistics (file sizes
+    from the file index already listed for the scan); use it on a plain
+    scan or projection, where the estimate is the bytes to be read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def reuse(df: DataFrame, basis: DataFrame) -> DataFrame:
+    """An intermediate read several times by one report.
+
+    When ``basis`` (the fact it is computed from) is at least
+    ``ledgerline.materialize.minBytes`` (default 1 GiB) the intermediate is
+    written once (:func:`materialize`), so every use reads the small result
+    instead of re-reading the fact - plans whose branches differ after
+    column pruning do not share shuffles by themselves.  Below the threshold
+    recomputing is cheaper than a write and a read, and ``df`` is returned."""
+    threshold = int(df.sparkSession.conf.get(MATERIALIZE_MIN_BYTES, str(1 << 30)))
+    return materialize(df) if scan_bytes(basis) >= threshold else df
