@@ -118,7 +118,7 @@ def test_written_intermediates_path_matches_oracle(spark, duck):
     spark.conf.set(MATERIALIZE_MIN_BYTES, "0")
     try:
         for name in ["r23_best_manager_bonus", "r25_office_year_share", "r28_price_tail_share",
-                     "r30_monthly_price_extremes"]:
+                     "r30_monthly_price_extremes", "r07_fact_detail", "r09_day_tag_report"]:
             df = E.queries()[name](spark, SF)
             plan = df._jdf.queryExecution().executedPlan().toString()
             assert "FileScan parquet [l_" not in plan, name      # the fact is read only by the write
