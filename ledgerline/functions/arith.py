@@ -1,4 +1,5 @@
-"""Arithmetic with the reference's NULL / zero behaviour."""
+"""Arithmetic with the reference's NULL / zero behaviour (F15-F17); NVL and COALESCE are
+plain ``F.coalesce`` in the reports."""
 
 from __future__ import annotations
 
@@ -16,13 +17,3 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
     Inputs are cast to double first so the quotient does not depend on
     decimal scale rules (they differ between engines)."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
-
-
-def nvl(c: Column | str, default) -> Column:
-    return F.coalesce(_c(c), F.lit(default))
-
-
-def round_half_away(c: Column | str, scale: int = 0) -> Column:
-    """Oracle rounding on insert into an integer column (half away from zero);
-    Spark's ``round`` is HALF_UP, which is the same rule."""
-    return F.round(_c(c), scale)

@@ -21,12 +21,6 @@ def as_date(value) -> _dt.date:
     return _dt.date.fromisoformat(str(value))
 
 
-def date_lit(value) -> Column:
-    """A DATE literal; comparing a timestamp column with it compares against
-    midnight, so ``between(a, b)`` keeps nothing after 00:00 on day ``b``."""
-    return F.lit(as_date(value))
-
-
 def ts_lit(value) -> Column:
     """Midnight of a date as a TIMESTAMP_NTZ literal.  Built from text, so it
     does not depend on the session or Python time zone (a Python datetime

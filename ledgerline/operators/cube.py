@@ -15,14 +15,9 @@ def cube_agg(df: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFra
                               F.grouping_id().cast("long").alias("grouping_id"))
 
 
-def rounded_avg(c: str) -> Column:
-    """AVG stored into an integer column: rounded half away from zero, as an
-    Oracle insert does (a bare cast would truncate)."""
-    return F.round(F.avg(c), 0).cast("long")
-
-
 def combined_rounded_avg(sum_col: str, count_col: str) -> Column:
-    """:func:`rounded_avg` over pre-aggregated parts: sum of sums / sum of
-    counts (NULL when no non-NULL value), rounded half away from zero."""
+    """AVG stored into an integer column, over pre-aggregated parts: sum of
+    sums / sum of counts (NULL when no non-NULL value), rounded half away
+    from zero as an Oracle insert does (a bare cast would truncate)."""
     avg = F.try_divide(F.sum(sum_col).cast("double"), F.sum(count_col).cast("double"))
     return F.round(avg, 0).cast("long")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,10 +74,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     read it back: cuts lineage like :func:`reliable_checkpoint`, and the
