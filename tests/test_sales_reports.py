@@ -154,3 +154,20 @@ def test_basic_city_queries(spark):
         ["London", "Paris", "UK", "France", "USA", "England", "Ohio"])
     assert [r.manager_last_name for r in sb.managers_named(t).orderBy("manager_id").collect()] == ["Smith", "Jones"]
     assert sb.orders_of_managers_named(t).columns.count("manager_id") == 1
+
+
+def test_oracle_null_order_in_sorted_reports(spark):
+    """Ascending puts NULL last, descending puts NULL first."""
+    from pyspark.sql import functions as F
+    orders = [(1, ts(2016, 3, 1), 1), (2, ts(2016, 2, 1), 2), (3, ts(2016, 5, 1), 3)]
+    t = tables(spark, orders, [line(1, 1, 1, 1, 1)])
+    t["sales_order"] = t["sales_order"].union(
+        spark.createDataFrame([(4, None, 4)], S.SALES_ORDER))
+    asc = [r.sales_order_id for r in sb.orders_after(t).collect()]
+    assert asc == [2, 1, 3]            # NULL dates fail the filter and are absent
+    # ordering rule itself, on the report's sort expressions
+    df = t["sales_order"]
+    assert [r.sales_order_id for r in df.orderBy(F.col("order_date").desc_nulls_first()).collect()][0] == 4
+    assert [r.sales_order_id for r in df.orderBy(F.col("order_date").asc_nulls_last()).collect()][-1] == 4
+    desc = [r.sales_order_id for r in sb.orders_between(t).collect()]
+    assert desc == [3, 1, 2]

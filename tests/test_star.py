@@ -77,3 +77,18 @@ def test_etl_writes_detail_then_cube_partition(qa, spark, scratch_dir):
     assert cube.filter(F.col("d_date_id").isNull() & F.col("d_tag_id").isNull()).first().total_amount == 7
     with pytest.raises(Exception):
         star.run_star_etl(qa, scratch_dir)      # default save mode: target exists
+
+
+def test_tag_found_by_name_fans_out_on_duplicate_names(spark):
+    """D20, as written: two tag ids with one name give each matching
+    question one fact row per id, and the name check reports the name."""
+    from ledgerline.sources.checks import key_violations
+    posts = spark.createDataFrame([(1, 1, dt.datetime(2011, 1, 3), 5, 1, 0)], S.POSTS)
+    tags = spark.createDataFrame([(1, "java"), (2, "java")], S.TAGS)
+    qa = {"posts": posts, "posttags": spark.createDataFrame([(1, 1)], S.POSTTAGS), "tags": tags,
+          "tagsynonyms": spark.createDataFrame([], S.TAGSYNONYMS)}
+    qt = star.question_tags(qa)
+    dim = star.tag_dimension(qt).union(spark.createDataFrame([(2, "java")], S.DIM_TAGS))
+    detail = star.fact_detail(qt, star.date_dimension(qa), dim, with_fact_id=False).collect()
+    assert sorted(r.d_tag_id for r in detail) == [1, 2]
+    assert [r.tag_name for r in key_violations(dim, ["tag_name"]).collect()] == ["java"]
