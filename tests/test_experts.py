@@ -66,3 +66,16 @@ def test_sql_form_counts_answers_and_exact_tag_variant(spark, scratch_dir):
     assert [(r.display_name, r.sum_scr, r.answered_num) for r in exact] == [("Ivan", 7, 1)]
     english = ex.topic_experts(posts, users, topic="brewing", locations=ex.LOCATIONS_DEBUG).collect()
     assert [(r._DisplayName, r.sum_score) for r in english] == [("Bob", 3)]
+
+
+def test_job_form_has_no_type_filter(spark):
+    """The DataFrame job takes any post whose tags contain the topic; the
+    SQL form only questions (type 1)."""
+    posts = spark.createDataFrame(
+        [(1, 2, None, 20, 1, "<brewing>"),      # an answer that carries the tag
+         (2, 2, 1, 20, 6, None)],               # a reply to that answer
+        POSTS_XML)
+    users = spark.createDataFrame([(20, "Ivan", "Moscow", 200)], USERS_XML)
+    job = ex.topic_experts(posts, users, topic="brewing").collect()
+    assert [(r._DisplayName, r.sum_score) for r in job] == [("Ivan", 6)]
+    assert ex.topic_experts_sql_form(posts, users, topic="brewing").collect() == []
