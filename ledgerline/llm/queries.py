@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +15,13 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="largest")
 
 
+def op4_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_groups(_documents(spark, sf_dir), shingle_words=3, radius=3)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
 ORACLE = {
