@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, simhash, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _fold(of: int, column: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo ``of``."""
+    return F.crc32(F.col(column).cast("string")) % of
+
+
 def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="largest")
 
 
+def op3_toxicity(spark, sf_dir):
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, train_rows=_fold(5) != 0)
+    return toxicity.scores(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_simhash_near_dedup(spark, sf_dir):
     return simhash.near_groups(_documents(spark, sf_dir), shingle_words=3, radius=3)
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
