@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash, toxicity
+from . import bpe, exact_dedup, mixing, simhash, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,13 +17,18 @@ def _fold(of: int, column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string")) % of
 
 
+def training_rows() -> Column:
+    """The rows whose labels the toxicity model may learn from."""
+    return _fold(5) != 0
+
+
 def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="largest")
 
 
 def op3_toxicity(spark, sf_dir):
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.train(docs, labels, train_rows=_fold(5) != 0)
+    model = toxicity.train(docs, labels, train_rows=training_rows())
     return toxicity.scores(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
@@ -31,10 +36,34 @@ def op4_simhash_near_dedup(spark, sf_dir):
     return simhash.near_groups(_documents(spark, sf_dir), shingle_words=3, radius=3)
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of the queries."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_mixing(spark, sf_dir):
+    return mixing.Mix(_documents(spark, sf_dir)).taken()
+
+
+def op10_bpe(spark, sf_dir):
+    path = tokenizer_path()
+    return token_digests(bpe.decode(bpe.encode(_documents(spark, sf_dir), path), path))
+
+
+def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """The digest columns of encoded and decoded rows."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"), *more)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op9_mixing": op9_mixing,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE = {
