@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, simhash, toxicity
+from . import bpe, exact_dedup, mixing, simhash, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,12 +36,23 @@ def op4_simhash_near_dedup(spark, sf_dir):
     return simhash.near_groups(_documents(spark, sf_dir), shingle_words=3, radius=3)
 
 
+# Fixed value: ids of the queries' tokenizer file.
+VOCABULARY = 49408
+
+
 def tokenizer_path() -> str:
     """The tokenizer file of the queries."""
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op8_token_files(spark, sf_dir):
+    tokens = token_files.token_ids(_documents(spark, sf_dir), tokenizer_path(), VOCABULARY, end_id=2)
+    blocks = token_files.write_blocks(tokens, VOCABULARY)
+    return token_files.read_documents(blocks).select(
+        F.col("id").alias("doc_id"), "start", F.size("tokens").cast("long").alias("n_tokens"), "ids_crc32")
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.Mix(_documents(spark, sf_dir)).taken()
 
@@ -62,6 +73,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
 }
