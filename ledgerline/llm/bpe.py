@@ -65,7 +65,7 @@ class PairMerger:
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 if it has none."""
-        key = a << 32 | b
+        key = a.astype(np.int64) << 32 | b
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.order[at], -1)
 
@@ -73,10 +73,10 @@ class PairMerger:
         """Ids of each word, as (starts, flat)."""
         vocab, suffix = self.vocab, self.suffix
         starts, flat = ragged([[*(vocab[c] for c in w[:-1]), vocab[w[-1] + suffix]] for w in words])
-        sym = flat.astype(np.int64)
+        sym = flat.copy()
         n = len(sym)
-        word = np.repeat(np.arange(len(words)), starts[1:] - starts[:-1])
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), starts[1:] - starts[:-1])
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         after[starts[1:] - 1] = -1
         before[starts[:-1]] = -1
         occurrences: dict[int, list[np.ndarray]] = {}
@@ -97,7 +97,7 @@ class PairMerger:
                     occurrences[rank] = [part]
                     heapq.heappush(heap, rank)
 
-        index(np.flatnonzero(after >= 0))
+        index(np.flatnonzero(after >= 0).astype(np.int32))
         while heap:
             r = heapq.heappop(heap)
             lists = occurrences.pop(r)
@@ -127,18 +127,16 @@ class PairMerger:
             index(np.unique(np.concatenate([prev[prev >= 0], pos[has]])))
         live = sym >= 0
         ends = np.concatenate([[0], np.cumsum(np.bincount(word[live], minlength=len(words)))])
-        return ends, sym[live].astype(np.int32)
+        return ends, sym[live]
 
 
 class BpeCodec:
-    """Encoder of chunks and decoder of ids for one tokenizer file's text."""
+    """Encoder of chunks for one tokenizer file's text."""
 
     def __init__(self, text: str):
         self.merger = PairMerger(text)
         lib = Tokenizer.from_str(text)
         self.normalise, self.split = lib.normalizer.normalize_str, lib.pre_tokenizer.pre_tokenize_str
-        names = {i: t for t, i in (self.merger.vocab | self.merger.added).items()}
-        self.names = [names.get(i) for i in range(max(names) + 1)]
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.merger.added, key=len, reverse=True))) + ")")
 
     def words(self, chunk: str) -> list[str]:
@@ -167,6 +165,15 @@ class BpeCodec:
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return ends[row_starts], ids
 
+
+class BpeDecoder:
+    """Texts of ids: the library's decode for files without a decoder, tokens joined by a space."""
+
+    def __init__(self, text: str):
+        model = json.loads(text)
+        names = {i: t for t, i in model["model"]["vocab"].items()} | {t["id"]: t["content"] for t in model["added_tokens"]}
+        self.names = [names.get(i) for i in range(max(names) + 1)]
+
     def decode(self, ids) -> str:
         names = self.names
         return " ".join([names[i] for i in ids if i < len(names) and names[i] is not None])
@@ -184,9 +191,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     key = slim.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, kind = BpeCodec(held.value), None
+        codec = BpeCodec(held.value)
         for keys, ids, lengths in encode_batches(batches, codec.encode_chunks):
-            kind = kind or keys[0].type
             yield from id_batches(keys, ids, lengths)
 
     return slim.mapInArrow(run, f"id {key.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
@@ -210,7 +216,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", to_col
 
     @F.pandas_udf("string")
     def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = BpeCodec(held.value)
+        codec = BpeDecoder(held.value)
         for ids in parts:
             yield ids.map(lambda x: "" if x is None else codec.decode(x.tolist()))
 

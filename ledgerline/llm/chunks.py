@@ -19,7 +19,7 @@ def gather(starts: np.ndarray, flat: np.ndarray, which: np.ndarray) -> tuple[np.
     lengths = (starts[1:] - starts[:-1])[which]
     ends = np.cumsum(lengths)
     n = int(ends[-1]) if len(ends) else 0
-    at = np.arange(n) - np.repeat(ends - lengths, lengths) + np.repeat(starts[which], lengths)
+    at = np.arange(n) + np.repeat(starts[which] - ends + lengths, lengths)
     return flat[at], lengths
 
 
@@ -31,40 +31,80 @@ def ragged(rows: list) -> tuple[np.ndarray, np.ndarray]:
     return starts, flat
 
 
-class ChunkedTexts:
-    """Collects texts as references to distinct chunks."""
+class _Places(dict):
+    """Numbers of chunks in the order they are first asked for."""
 
     def __init__(self):
-        self.place: dict[bytes, int] = {}
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        self.new.append(chunk)
+        self[chunk] = at = len(self)
+        return at
+
+
+class ChunkedTexts:
+    """Collects texts as references to distinct chunks.  The ids of chunks met
+    before are kept, so each flush encodes new chunks only; the table starts
+    anew beyond ``chunks_kept``."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], chunks_kept: int = 400_000):
+        self.encode, self.chunks_kept = encode, chunks_kept
+        self._forget()
+
+    def _forget(self):
+        self.place = _Places()
+        self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
         self.refs: list[np.ndarray] = []
         self.size = 0
 
     def add(self, text: str | None) -> None:
-        place = self.place
         words = text.encode("utf-8").split() if text else ()
-        refs = np.fromiter((place.setdefault(w, len(place)) for w in words), np.int32, len(words))
+        refs = np.fromiter(map(self.place.__getitem__, words), np.int32, len(words))
         self.refs.append(refs)
         self.size += len(refs)
 
-    def ids(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after another, number of ids of each text)."""
-        starts, flat = encode([w.decode("utf-8") for w in self.place])
-        refs = np.concatenate([*self.refs, np.empty(0, np.int32)])
-        ids, lengths = gather(starts, flat, refs)
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        cut = np.concatenate([[0], np.cumsum([len(r) for r in self.refs])])
-        return ids, ends[cut[1:]] - ends[cut[:-1]]
+    def flush(self, refs_at_once: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids one after another, number of ids of each text) for runs of the
+        texts added since the last flush, in order."""
+        new = self.place.new
+        if new:
+            starts, flat = self.encode([w.decode("utf-8") for w in new])
+            self.starts = np.concatenate([self.starts, starts[1:] + self.starts[-1]])
+            self.flat = np.concatenate([self.flat, flat])
+            new.clear()
+        part, n = [], 0
+        for k, refs in enumerate(self.refs):
+            part.append(refs)
+            n += len(refs)
+            if n >= refs_at_once or k + 1 == len(self.refs):
+                ids, lengths = gather(self.starts, self.flat, np.concatenate(part))
+                ends = np.concatenate([[0], np.cumsum(lengths)])
+                cut = np.concatenate([[0], np.cumsum([len(r) for r in part])])
+                yield ids, ends[cut[1:]] - ends[cut[:-1]]
+                part, n = [], 0
+        self.refs, self.size = [], 0
+        if len(self.place) > self.chunks_kept:
+            self._forget()
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int = 1 << 22) -> Iterator[tuple]:
+def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int = 1 << 21) -> Iterator[tuple]:
     """Batches of (key, text) -> (keys, ids, lengths) for bounded groups of rows."""
-    held, keys = ChunkedTexts(), []
+    held, keys = ChunkedTexts(encode), []
+
+    def out():
+        at = 0
+        for ids, lengths in held.flush():
+            yield keys[at:at + len(lengths)], ids, lengths
+            at += len(lengths)
+
     for batch in batches:
         for key, text in zip(batch.column(0), batch.column(1)):
             keys.append(key)
             held.add(text.as_py())
             if held.size >= refs_at_once:
-                yield keys, *held.ids(encode)
-                held, keys = ChunkedTexts(), []
+                yield from out()
+                keys = []
     if keys:
-        yield keys, *held.ids(encode)
+        yield from out()

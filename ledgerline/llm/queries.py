@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, simhash, token_files, toxicity
+from . import bpe, exact_dedup, mixing, secrets, simhash, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def secret_report(docs: DataFrame) -> DataFrame:
+    """Spans as text, the base kinds counted and digested."""
+    found = secrets.scan(docs, secrets.train(docs))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
+def op6_secrets(spark, sf_dir):
+    return secret_report(_documents(spark, sf_dir))
+
+
 def op8_token_files(spark, sf_dir):
     tokens = token_files.token_ids(_documents(spark, sf_dir), tokenizer_path(), VOCABULARY, end_id=2)
     blocks = token_files.write_blocks(tokens, VOCABULARY)
@@ -73,6 +88,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_secrets": op6_secrets,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
