@@ -2,7 +2,8 @@
 
 Two models of character pairs are trained on labelled samples of the corpus
 itself, over all documents: "random" from the strings that the base patterns
-mark as secrets, "ordinary" from everything else.  A further run of token
+mark as secrets, "ordinary" from everything else but the long runs with digits
+that the models are to decide.  A further run of token
 characters is a secret if its log-likelihood ratio between the two, in total
 and per character, is over a threshold.  Only the two tables of pair counts
 (a fixed number of cells) come to the driver.
@@ -52,6 +53,13 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
+def ordinary(text: str) -> str:
+    """``text`` without the long runs of token characters that hold a digit."""
+    if not any(len(w) >= TOKEN_LEAST for w in text.split()):
+        return text
+    return TOKEN.sub(lambda m: " " if any(c.isdigit() for c in m[0]) else m[0], text)
+
+
 def pair_counts(raw: bytes) -> np.ndarray:
     """Counts of adjacent symbols, boundaries included, as a SYMBOLS x SYMBOLS table."""
     b = np.frombuffer(raw, np.uint8)
@@ -116,7 +124,7 @@ def train(docs: DataFrame, text_col: str = "text", total: float = 16.0, per_char
                         rest.append(text[at:a])
                     at = max(at, z)
                 rest.append(text[at:])
-                raw = " ".join(rest).encode("utf-8")
+                raw = ordinary(" ".join(rest)).encode("utf-8")
                 for k in range(0, len(raw), SLICE):
                     tables[1] += pair_counts(raw[k:k + SLICE])
         kind, cell = np.nonzero(tables)
