@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, secrets, simhash, token_files, toxicity
+from . import bpe, exact_dedup, language, mixing, secrets, simhash, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_language(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    model = language.train(docs, train_rows=_fold(4) != 2)
+    return language.label(docs, model).select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def secret_report(docs: DataFrame) -> DataFrame:
     """Spans as text, the base kinds counted and digested."""
     found = secrets.scan(docs, secrets.train(docs))
@@ -88,6 +94,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_language": op5_language,
     "op6_secrets": op6_secrets,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
