@@ -49,7 +49,7 @@ class ChunkedTexts:
     before are kept, so each flush encodes new chunks only; the table starts
     anew beyond ``chunks_kept``."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], chunks_kept: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], chunks_kept: int = 300_000):
         self.encode, self.chunks_kept = encode, chunks_kept
         self._forget()
 
@@ -89,7 +89,7 @@ class ChunkedTexts:
             self._forget()
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int = 1 << 21) -> Iterator[tuple]:
+def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int = 1 << 20) -> Iterator[tuple]:
     """Batches of (key, text) -> (keys, ids, lengths) for bounded groups of rows."""
     held, keys = ChunkedTexts(encode), []
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, mixing, secrets, simhash, token_files, toxicity
+from . import bpe, embeddings, exact_dedup, language, mixing, secrets, simhash, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op6_secrets(spark, sf_dir):
     return secret_report(_documents(spark, sf_dir))
 
 
+def op7_embedding_near_dedup(spark, sf_dir):
+    return embeddings.near_links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
+
+
 def op8_token_files(spark, sf_dir):
     tokens = token_files.token_ids(_documents(spark, sf_dir), tokenizer_path(), VOCABULARY, end_id=2)
     blocks = token_files.write_blocks(tokens, VOCABULARY)
@@ -96,6 +100,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language": op5_language,
     "op6_secrets": op6_secrets,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
@@ -111,4 +116,21 @@ ORACLE = {
                doc_id = max(doc_id) over same as kept, text_sha256
         from t window same as (partition by text_sha256)
     """,
+    "op7_embedding_near_dedup": """
+        with recursive v as (
+            select vec_id, label, embedding::double[] as e from embeddings
+            where label is not null and embedding is not null
+              and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+              and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+        link as (
+            select a.vec_id as i, b.vec_id as j from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+            where list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(i, j) as (
+            select i, j from link union select r.i, l.j from reach r join link l on r.j = l.i),
+        first as (select i, min(j) as j from reach group by i),
+        number as (select i, count(*) as n from link group by i)
+        select e.vec_id, coalesce(n.n, 0) as n_links, least(e.vec_id, coalesce(f.j, e.vec_id)) as component_id,
+               least(e.vec_id, coalesce(f.j, e.vec_id)) = e.vec_id as kept
+        from embeddings e left join first f on f.i = e.vec_id left join number n on n.i = e.vec_id
+    """,
 }
