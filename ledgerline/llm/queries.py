@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, exact_dedup, language, mixing, secrets, simhash, token_files, toxicity
+from . import bpe, embeddings, exact_dedup, language, mixing, secrets, simhash, substring_dedup, token_files, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="largest")
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(_documents(spark, sf_dir), window=20)
+
+
 def op3_toxicity(spark, sf_dir):
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, train_rows=training_rows())
@@ -96,6 +100,7 @@ def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language": op5_language,
@@ -116,6 +121,24 @@ ORACLE = {
                doc_id = max(doc_id) over same as kept, text_sha256
         from t window same as (partition by text_sha256)
     """,
+    "op2_substring_dedup": """
+        with w as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from documents),
+        win as (
+            select doc_id, i, array_to_string(words[i:i + 19], ' ') as key
+            from (select doc_id, words, unnest(range(1, len(words) - 18)) as i from w where len(words) >= 20)),
+        again as (
+            select doc_id, i from (select doc_id, i, row_number() over (partition by key order by doc_id, i) as nth from win)
+            where nth > 1),
+        word as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as k from w),
+        gone as (select distinct doc_id, i + d as k from again, range(20) t(d)),
+        kept as (
+            select word.doc_id, string_agg(word.word, ' ' order by word.k) as text, count(*) as n
+            from word anti join gone on word.doc_id = gone.doc_id and word.k = gone.k group by word.doc_id)
+        select w.doc_id, len(words) as n_words, len(words) - coalesce(kept.n, 0) as n_removed,
+               sha256(coalesce(kept.text, '')) as kept_sha256
+        from w left join kept on kept.doc_id = w.doc_id
+    """,
     "op7_embedding_near_dedup": """
         with recursive v as (
             select vec_id, label, embedding::double[] as e from embeddings
