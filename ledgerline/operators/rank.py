@@ -98,6 +98,30 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, weight, out,
                        *[f"_local{i}" for i in range(len(weights))])
 
 
+def group_medians(df: DataFrame, group: str, value: str, n: str, out: str) -> DataFrame:
+    """(group, ``out``): the exact median per group of values with
+    multiplicities (one row per group and value), NULL values left out.
+
+    A ``median`` aggregate gathers all distinct values of a group in one
+    task.  Here the multiplicities get one prefix sum over the global (group,
+    value) order, which splits a hot group over ranges, and the one or two
+    middle rows are picked by their position."""
+    key = F.struct(F.col(group).alias("group"), F.col(value).alias("value"))
+    rows = df.filter(F.col(value).isNotNull()).select(key.alias("_key"), F.col(n).alias("_n"))
+    placed = exclusive_prefix_sum(rows, "_key", "_n", "_before").select(
+        F.col("_key.group").alias("group"), F.col("_key.value").alias("value"), "_n", "_before")
+    totals = placed.groupBy("group").agg(F.sum("_n").alias("_total"), F.min("_before").alias("_base")).withColumnRenamed(
+        "group", "_group")
+    first = F.col("_before") - F.col("_base")
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((first <= position) & (position < first + F.col("_n")), F.col("value")))
+
+    picked = placed.join(totals, placed["group"].eqNullSafe(totals["_group"])).groupBy("group").agg(
+        at(F.expr("(_total - 1) div 2")).alias("_low"), at(F.expr("_total div 2")).alias("_high"))
+    return picked.select("group", (F.col("_low") * 0.5 + F.col("_high") * 0.5).alias(out))
+
+
 def global_percent_rank(df: DataFrame, value: str, out: str,
                         num_ranges: int | None = None) -> DataFrame:
     """``PERCENT_RANK() OVER (ORDER BY value)`` = (rank - 1) / (n - 1), with

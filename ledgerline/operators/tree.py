@@ -1,17 +1,20 @@
 """Adjacency-list hierarchy operators (H1-H7) in O(log depth) Spark rounds.
 
 ``walk_from_roots`` is START WITH parent IS NULL CONNECT BY PRIOR id =
-parent_id by pointer jumping: every node keeps a pointer to an ancestor and
-the path segment below it; each round joins every node to its pointer's row
-and concatenates the two segments, so the known path doubles per round and
-a depth-D tree needs about log2(D) rounds, each one equi-join over the
-nodes.  Every round is written as a table in the shared checkpoint folder
-(``spark.checkpoint.dir``) and read back: a round joins the previous round
-with itself, so without the cut the logical plan would double in size per
-round; with it, lineage is one join deep and a lost executor recomputes
-one round.  A node on or
-under a cycle never reaches a top: its segment outgrows the node count and
-:class:`CycleError` is raised (CONNECT BY without NOCYCLE fails as well).
+parent_id by pointer jumping: every node keeps a pointer to an ancestor; each
+round joins the nodes whose pointer is still open with their pointer's row, so
+the distance covered doubles per round.  Nodes that reached the top are set
+aside and written once; a round only joins and writes the open ones (finished
+nodes would all meet on one NULL key).
+
+The first pass jumps on (id, ancestor) alone.  A node still open after
+log2(nodes) + 1 rounds is on or under a cycle, and :class:`CycleError` is
+raised (CONNECT BY without NOCYCLE fails as well) before any path exists.  The
+second pass, known to end, carries the path segments.
+
+Every round is a table in the shared checkpoint folder, read back: a round
+joins the previous one with itself, so without the cut the plan would double
+per round; with it a lost executor recomputes one join.
 
 ``subtree_totals`` uses the path of ancestor ids as a pre-order key: the
 subtree of x is exactly the keys in [path(x), path(x) ++ [MAX]), so its
@@ -21,6 +24,10 @@ jobs, and no (ancestor, descendant) pairs are ever materialised.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,54 +51,58 @@ def walk_from_roots(nodes: DataFrame, sep: str = "\\", carry: tuple[str, ...] =
     carry = list(carry)
     edges = nodes.select("id", "parent_id", "name", *carry)
     known = edges.select(F.col("id").alias("_known"))
-    cur = (edges.join(known, edges.parent_id == known._known, "left")
-           .select("id", "parent_id", *carry,
-                   F.col("_known").alias("anc"),
-                   F.when(F.col("parent_id").isNull(), F.lit(True))
-                    .when(F.col("_known").isNull(), F.lit(False)).alias("rooted"),
-                   F.concat(F.lit(sep), F.coalesce(F.col("name"), F.lit(""))).alias("path"),
-                   F.array(F.col("id")).alias("path_ids"),
-                   F.lit(1).alias("level")))
-    cur = materialize(cur)
-    n_nodes = None
-    while True:
-        stats = cur.agg(F.count(F.lit(1)).alias("n"), F.count("anc").alias("open"),
-                        F.max(F.when(F.col("anc").isNotNull(), F.col("level"))).alias("longest")).first()
-        n_nodes = stats.n if n_nodes is None else n_nodes
-        if stats.open == 0:
-            break
-        if stats.longest > n_nodes:
-            stuck = cur.filter(F.col("anc").isNotNull()).select("id").limit(5).collect()
-            raise CycleError("hierarchy has a cycle; e.g. node ids " + ", ".join(str(r.id) for r in stuck))
-        up = cur.select(F.col("id").alias("_uid"), F.col("anc").alias("_uanc"), F.col("rooted").alias("_urooted"),
-                        F.col("path").alias("_upath"), F.col("path_ids").alias("_uids"),
-                        F.col("level").alias("_ulevel"))
-        done = F.col("anc").isNull()
-        cur = materialize(cur.join(up, cur.anc == up._uid, "left").select(
-            "id", "parent_id", *carry,
-            F.when(done, F.col("anc")).otherwise(F.col("_uanc")).alias("anc"),
-            F.when(done, F.col("rooted")).otherwise(F.col("_urooted")).alias("rooted"),
-            F.when(done, F.col("path")).otherwise(F.concat(F.col("_upath"), F.col("path"))).alias("path"),
-            F.when(done, F.col("path_ids")).otherwise(F.concat(F.col("_uids"), F.col("path_ids"))).alias("path_ids"),
-            F.when(done, F.col("level")).otherwise(F.col("_ulevel") + F.col("level")).alias("level")))
-    return cur.filter(F.col("rooted")).select("id", "parent_id", "level", "path", "path_ids", *carry)
+    start = materialize(edges.join(known, edges.parent_id == known._known, "left").withColumnRenamed("_known", "anc"))
+
+    pointers = start.select("id", "anc")
+    rounds = math.ceil(math.log2(max(2, pointers.count()))) + 1
+    left = _jump(pointers, lambda low, up: {}, rounds)[1]
+    if left is not None:
+        stuck = left.select("id").limit(5).collect()
+        raise CycleError("hierarchy has a cycle; e.g. node ids " + ", ".join(str(r.id) for r in stuck))
+
+    segments = start.select(
+        "id", "anc",
+        F.when(F.col("parent_id").isNull(), F.lit(True)).when(F.col("anc").isNull(), F.lit(False)).alias("rooted"),
+        F.concat(F.lit(sep), F.coalesce(F.col("name"), F.lit(""))).alias("path"),
+        F.array(F.col("id")).alias("path_ids"), F.lit(1).alias("level"), "parent_id", *carry)
+    walked, _ = _jump(segments, lambda low, up: {
+        "rooted": up("rooted"), "path": F.concat(up("path"), low("path")),
+        "path_ids": F.concat(up("path_ids"), low("path_ids")), "level": up("level") + low("level")}, rounds)
+    return walked.filter(F.col("rooted")).select("id", "parent_id", "level", "path", "path_ids", *carry)
+
+
+def _jump(rows: DataFrame, combine: Callable, rounds: int) -> tuple[DataFrame, DataFrame | None]:
+    """Jump pointers until none is open, ``rounds`` times at most: (finished
+    rows, open rows or None).  ``combine(low, up)`` gives the columns that a
+    row takes from its pointer's row; the others stay its own."""
+    done, open_ = [rows.filter(F.col("anc").isNull())], rows.filter(F.col("anc").isNotNull())
+    taken = [c for c in combine(F.col, F.col)]
+    for _ in range(rounds):
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, done), None
+        above = reduce(DataFrame.unionByName, [*done, open_]).select(
+            F.col("id").alias("_id"), F.col("anc").alias("_anc"), *[F.col(c).alias("_" + c) for c in taken])
+        new = combine(F.col, lambda c: F.col("_" + c))
+        step = materialize(open_.join(above, F.col("anc") == F.col("_id")).select(
+            "id", F.col("_anc").alias("anc"), *[new[c].alias(c) if c in new else F.col(c)
+                                                for c in rows.columns if c not in ("id", "anc")]))
+        done.append(step.filter(F.col("anc").isNull()))
+        open_ = step.filter(F.col("anc").isNotNull())
+    if open_.isEmpty():
+        return reduce(DataFrame.unionByName, done), None
+    return reduce(DataFrame.unionByName, done), open_
 
 
 def subtree_totals(walked: DataFrame, value: str, out: str) -> DataFrame:
     """``walked`` (from :func:`walk_from_roots`, carrying ``value``) plus
     ``out``: the sum of ``value`` (NULL as 0) over each node's subtree,
-    itself included.  All walked columns ride along with the node's key, so
-    no join back to the nodes is needed."""
-    payload = [c for c in walked.columns if c != "path_ids"]
-    nodes = walked.select(F.col("path_ids").alias("_key"),
-                          F.coalesce(F.col(value), F.lit(0)).cast("long").alias("_w"),
-                          F.lit(False).alias("_is_end"), *payload)
-    ends = walked.select(F.concat(F.col("path_ids"), F.array(F.lit(MAX_ID))).alias("_key"),
-                         F.lit(0).cast("long").alias("_w"), F.lit(True).alias("_is_end"),
-                         *[F.col("id") if c == "id" else F.lit(None).cast(walked.schema[c].dataType).alias(c)
-                           for c in payload])
-    prefix = exclusive_prefix_sum(nodes.unionByName(ends), "_key", "_w", "_before")
-    starts = prefix.filter(~F.col("_is_end")).select(*payload, F.col("_before").alias("_s"))
-    stops = prefix.filter(F.col("_is_end")).select(F.col("id").alias("_end_id"), F.col("_before").alias("_e"))
-    return (starts.join(stops, starts.id == stops._end_id)
-            .select(*payload, (F.col("_e") - F.col("_s")).alias(out)))
+    itself included.  Only (key, weight, id) go through the prefix sum; the
+    other columns are joined to the totals once."""
+    event = lambda key, weight, end: F.struct(key.alias("_key"), weight.cast("long").alias("_w"), F.lit(end).alias("_is_end"))
+    ids = F.col("path_ids")
+    events = walked.select("id", F.explode(F.array(
+        event(ids, F.coalesce(F.col(value), F.lit(0)), False),
+        event(F.concat(ids, F.array(F.lit(MAX_ID))), F.lit(0), True))).alias("_e")).select("id", "_e.*")
+    prefix = exclusive_prefix_sum(events, "_key", "_w", "_before")
+    totals = prefix.groupBy("id").agg(F.sum(F.when(F.col("_is_end"), F.col("_before")).otherwise(-F.col("_before"))).alias(out))
+    return walked.drop("path_ids").join(totals, "id")

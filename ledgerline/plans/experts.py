@@ -31,17 +31,25 @@ def topic_experts_sql_form(posts: DataFrame, users: DataFrame, topic: str = "had
     number of answers per located owner, highest score first."""
     tag_test = (F.col("_Tags").contains(f"<{topic}>") if exact_tag else F.col("_Tags").contains(topic))
     questions = posts.filter((F.col("_PostTypeId") == 1) & tag_test).select(F.col("_Id").alias("q_id"))
-    answers = (posts.join(questions, posts._ParentId == questions.q_id, "inner")
-               .select("_Score", "_OwnerUserId"))
     located = users.filter(contains_any("_Location", locations)).select(
         "_Id", F.col("_Location").alias("location"), F.col("_DisplayName").alias("display_name"),
         F.col("_AccountId").alias("account_id"))
-    joined = located.join(answers, located._Id == answers._OwnerUserId, "inner")
+    joined = located.join(_per_owner(posts, questions, "q_id"), F.col("_Id") == F.col("owner"), "inner")
     return (joined.groupBy("location", "display_name", "account_id")
-            .agg(F.sum("_Score").alias("sum_scr"), F.count(F.lit(1)).alias("answered_num"))
+            .agg(F.sum("score").alias("sum_scr"), F.sum("answers").alias("answered_num"))
             .orderBy(F.col("sum_scr").desc()))
 
 
+def _per_owner(posts: DataFrame, questions: DataFrame, key: str) -> DataFrame:
+    """Score and number of the answers to ``questions`` per owner: partial
+    sums before the shuffle, so a prolific owner is one row a task, and the
+    join with the users is owner-sized."""
+    answers = posts.select("_ParentId", F.col("_OwnerUserId").alias("owner"), "_Score").join(
+        questions, F.col("_ParentId") == F.col(key), "inner")
+    return answers.filter(F.col("owner").isNotNull()).groupBy("owner").agg(
+        F.sum("_Score").alias("score"), F.count(F.lit(1)).alias("answers"))
+
+
 def topic_experts(posts: DataFrame, users: DataFrame, topic: str = "brewing",
                   locations=tuple(LOCATIONS_JOB)) -> DataFrame:
     """The DataFrame job's form - any post whose tags contain the
@@ -50,10 +58,9 @@ def topic_experts(posts: DataFrame, users: DataFrame, topic: str = "brewing",
     aggregate is aliased so the result is writable as XML (D6)."""
     ids = posts.filter(F.col("_Tags").contains(topic)).select(F.col("_Id").cast("long").alias("value"))
     located = users.filter(contains_any("_Location", locations))
-    answers = posts.join(ids, posts._ParentId == ids.value, "inner")
-    joined = answers.join(located, answers._OwnerUserId == located._Id, "inner")
-    return (joined.groupBy(located._DisplayName, located._AccountId, located._Location)
-            .agg(F.sum(answers._Score).alias("sum_score"))
+    joined = located.join(_per_owner(posts, ids, "value"), F.col("_Id") == F.col("owner"), "inner")
+    return (joined.groupBy("_DisplayName", "_AccountId", "_Location")
+            .agg(F.sum("score").alias("sum_score"))
             .orderBy(F.col("sum_score").desc()))
 
 

@@ -10,21 +10,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import reuse
+from ..session import materialize, new_table_path
 from ..sources import standins
 from . import sales_analytics as sa
 from . import sales_basic as sb
 from . import star
 from . import experts as ex
 from .tree_report import tree_report
+from ..schemas import EXPERTS_XML
 from ..sources.checks import foreign_key_violations, key_violations
+from ..sources.tables import write_table
+from ..sources.xml import read_rows_xml, write_rows_xml
 from .sales_fact import VIEW_COLUMNS, v_fact_sale
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The reference's report dates moved onto the driver tables.
-LAB3 = dict(y1="1995", y2="1996", y3="1997")   # 2013 -> 1995, 2014 -> 1996, 2015 -> 1997
-
 
 def _sales(spark, sf_dir):
     return standins.sales_tables(spark, sf_dir)
@@ -78,7 +78,7 @@ def r31(spark, sf_dir):
     return sa.monthly_profit(_sales(spark, sf_dir), start="1996-01-01", end="1996-12-31")
 
 
-# lab2's 2016 dates move to 1996; 'Henry' becomes a market segment.
+# The 2016 dates of the basic queries move to 1996; 'Henry' becomes a market segment.
 FIRST_NAME = "BUILDING"
 
 
@@ -90,70 +90,106 @@ def _basic(fn, **kw):
 REPORT_DAY = "1998-07-21"
 
 
-def _star(spark, sf_dir):
-    qa = standins.qa_tables(spark, sf_dir)
-    # the tag dimension and the fact both read the question-tag view; on a
-    # large posts table it is written once instead of joined twice
-    qt = reuse(star.question_tags(qa), qa["posts"])
-    dim_date = star.date_dimension(qa)
-    dim_tags = star.tag_dimension(qt)
-    return qa, qt, dim_date, dim_tags
+def _qa(spark, sf_dir):
+    return standins.qa_tables(spark, sf_dir)
+
+
+def _star_fact(spark, sf_dir, with_fact_id=True):
+    """The detail rows.  The question-tag view is read by the tag dimension
+    and by the fact, so it is written once; queries with one reader don't
+    write it."""
+    qa = _qa(spark, sf_dir)
+    qt = materialize(star.question_tags(qa))
+    dd, dt = star.date_dimension(qa), star.tag_dimension(qt)
+    return star.fact_detail(qt, dd, dt, with_fact_id=with_fact_id), dd, dt
 
 
 def a16(spark, sf_dir):
-    return star.date_profile(standins.qa_tables(spark, sf_dir))
+    return star.date_profile(_qa(spark, sf_dir))
 
 
 def r04(spark, sf_dir):
-    return _star(spark, sf_dir)[2]
+    return star.date_dimension(_qa(spark, sf_dir))
 
 
 def r05(spark, sf_dir):
-    return _star(spark, sf_dir)[1]
+    return star.question_tags(_qa(spark, sf_dir))
 
 
 def r06(spark, sf_dir):
-    return _star(spark, sf_dir)[3]
+    return star.tag_dimension(r05(spark, sf_dir))
 
 
 def r07(spark, sf_dir):
-    qa, qt, dd, dt = _star(spark, sf_dir)
-    return star.fact_detail(qt, dd, dt, with_fact_id=False)
+    return _star_fact(spark, sf_dir, with_fact_id=False)[0]
+
+
+def s07_fact_ids(spark, sf_dir):
+    """Row count, distinct and missing surrogate keys of the fact (their values are arbitrary)."""
+    from pyspark.sql import functions as F
+    return _star_fact(spark, sf_dir)[0].agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("fact_id").alias("n_fact_ids"),
+        F.sum(F.col("fact_id").isNull().cast("long")).alias("n_missing"))
 
 
 def r08(spark, sf_dir):
-    qa, qt, dd, dt = _star(spark, sf_dir)
-    return star.fact_cube(star.fact_detail(qt, dd, dt))
+    return star.fact_cube(_star_fact(spark, sf_dir)[0])
 
 
 def r09(spark, sf_dir):
-    qa, qt, dd, dt = _star(spark, sf_dir)
-    return star.day_tag_report_from_detail(star.fact_detail(qt, dd, dt), dd, dt, day=REPORT_DAY)
+    return star.day_tag_report_pruned(_qa(spark, sf_dir), day=REPORT_DAY)
+
+
+def s07_stored_cube(spark, sf_dir):
+    """The whole load: dimensions, detail and cube rows written as tables, the
+    one-day report answered from the stored cube rows."""
+    paths = star.run_star_etl(_qa(spark, sf_dir), new_table_path(spark))
+    stored = {n: spark.read.parquet(p) for n, p in paths.items()}
+    cube = stored["fact_questioned"].where("row_kind = 'cube'")
+    return star.day_tag_report(cube, stored["dim_date"], stored["dim_tags"], day=REPORT_DAY)
 
 
 def r10(spark, sf_dir):
-    qa, qt, dd, dt = _star(spark, sf_dir)
-    return star.missing_synonym_targets(qa, dt)
+    return star.missing_synonym_targets(_qa(spark, sf_dir), r06(spark, sf_dir))
 
 
 def r11(spark, sf_dir):
-    return star.untagged_questions(_star(spark, sf_dir)[1])
+    return star.untagged_questions(r05(spark, sf_dir))
 
 
 def s10_tags(spark, sf_dir):
-    return key_violations(_star(spark, sf_dir)[3], ["dim_tag_id"])
+    return key_violations(r06(spark, sf_dir), ["dim_tag_id"])
 
 
 def s10_tag_names(spark, sf_dir):
-    return key_violations(_star(spark, sf_dir)[3], ["tag_name"])
+    return key_violations(r06(spark, sf_dir), ["tag_name"])
+
+
+def s10_dates(spark, sf_dir):
+    return key_violations(r04(spark, sf_dir), ["dim_date_id"])
 
 
 def s11_fact_dates(spark, sf_dir):
-    qa, qt, dd, dt = _star(spark, sf_dir)
-    detail = star.fact_detail(qt, dd, dt, with_fact_id=False)
+    detail, dd, _ = _star_fact(spark, sf_dir, with_fact_id=False)
     return foreign_key_violations(detail, "d_date_id", dd, "dim_date_id")
 
 
+def s11_fact_tags(spark, sf_dir):
+    detail, _, dt = _star_fact(spark, sf_dir, with_fact_id=False)
+    return foreign_key_violations(detail, "d_tag_id", dt, "dim_tag_id")
+
+
+def s11_synonym_targets(spark, sf_dir):
+    """Synonyms whose target is no tag: real orphans of the tables."""
+    qa = _qa(spark, sf_dir)
+    return foreign_key_violations(qa["tagsynonyms"], "targettagname", qa["tags"], "tagname")
+
+
+def s12_line_ids(spark, sf_dir):
+    """Line ids that several lines share (the stand-in rule does not keep them unique)."""
+    return key_violations(_sales(spark, sf_dir)["sales_order_line"], ["order_line_id"])
+
+
 # The topic and location lists moved onto the driver tables
 # (order priorities stand for tags, nation names for user locations).
 TOPIC = "URGENT"
@@ -177,6 +213,29 @@ def r03(spark, sf_dir):
     return ex.topic_experts(*_experts(spark, sf_dir), topic=TOPIC, locations=LOCATIONS_SMALL)
 
 
+def r01_table(spark, sf_dir):
+    """R1's result created as a table, and read back."""
+    path = new_table_path(spark)
+    write_table(r01(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def r01_exact(spark, sf_dir):
+    """The variant that matches one whole tag instead of a part of the tag string."""
+    posts, users = _experts(spark, sf_dir)
+    return ex.topic_experts_sql_form(posts, users, topic=TOPIC, locations=LOCATIONS, exact_tag=True)
+
+
+def s01_xml(spark, sf_dir):
+    """The job end to end: posts and users as XML files, XML result, read back."""
+    posts, users = _experts(spark, sf_dir)
+    base = new_table_path(spark)
+    write_rows_xml(posts, f"{base}/posts", root_tag="posts")
+    write_rows_xml(users, f"{base}/users", root_tag="users")
+    ex.run_expert_job(spark, f"{base}/posts", f"{base}/users", f"{base}/out", topic=TOPIC, locations=LOCATIONS)
+    return read_rows_xml(spark, f"{base}/out", EXPERTS_XML)
+
+
 def r32(spark, sf_dir):
     return tree_report(standins.file_system(spark, sf_dir))
 
@@ -214,7 +273,16 @@ QUERIES: dict[str, Query] = {
     "r11_untagged_questions": r11,
     "s10_dim_tags_key_check": s10_tags,
     "s10_dim_tags_name_check": s10_tag_names,
+    "s10_dim_date_key_check": s10_dates,
     "s11_fact_date_fk_check": s11_fact_dates,
+    "s11_fact_tag_fk_check": s11_fact_tags,
+    "s11_synonym_target_fk_check": s11_synonym_targets,
+    "s12_order_line_key_check": s12_line_ids,
+    "s07_fact_id_check": s07_fact_ids,
+    "s07_stored_cube_report": s07_stored_cube,
+    "s01_xml_experts": s01_xml,
+    "r01t_topic_experts_table": r01_table,
+    "r01v_topic_experts_exact_tag": r01_exact,
     "r12_all_orders": _basic(sb.all_orders),
     "r13_orders_after": _basic(sb.orders_after, day="1996-01-01"),
     "r14_orders_between": _basic(sb.orders_between, after="1996-01-01", before="1996-07-15"),

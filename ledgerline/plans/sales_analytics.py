@@ -19,9 +19,10 @@ from ..functions.arith import safe_ratio
 from ..functions.dates import as_date, month_index, month_series, trunc_month, trunc_quarter, trunc_year, ts_lit
 from ..functions.text import oracle_concat
 from ..operators.densify import densify
-from ..operators.rank import global_percent_rank, top_k_by_rank
+from ..operators.rank import global_percent_rank, group_medians, top_k_by_rank
+from ..operators.repeat import repeat_rows
 from ..operators.windows import argmax_rows, ratio_to_report, trailing_range_sum
-from ..session import reuse
+from ..session import materialize
 from .sales_fact import attach_manager, attach_office, attach_product, in_period, sale_lines
 
 MANAGER_NAMES = ["manager_id", "manager_first_name", "manager_last_name"]
@@ -49,12 +50,10 @@ def best_manager_bonus(t, grid_start="2013-10-01", n_months=15, period_start="20
     back (ties kept)."""
     months = month_series(grid_start, n_months)
     lines = sale_lines(t)
-    # group-sized (managers x months), used by the manager list and the sums:
-    # on a large fact it is written once instead of aggregating the fact twice
-    monthly = reuse(lines.groupBy("manager_id", trunc_month("sale_date").alias("sale_month"))
+    # group-sized (managers x months), read by the manager list and the sums: written once
+    monthly = materialize(lines.groupBy("manager_id", trunc_month("sale_date").alias("sale_month"))
                     .agg(F.sum(F.when(in_period("sale_date", period_start, period_end),
-                                      F.col("sale_amount"))).alias("s_sale_amount")),
-                    t["sales_order_line"])
+                                      F.col("sale_amount"))).alias("s_sale_amount")))
     managers = attach_manager(monthly.select("manager_id").distinct(), t).select(*MANAGER_NAMES)
     grid = densify(managers, months, "sale_month").select(
         *MANAGER_NAMES, "sale_month", F.lit(None).cast("decimal(38,4)").alias("s_sale_amount"),
@@ -90,16 +89,17 @@ def best_manager_bonus_first_version(t, after="2013-09-30", before="2015-01-01",
     monthly = (trailing.groupBy("manager_id", trunc_month("sale_date").alias("month"))
                .agg(F.max("sum_per_month").alias("sum_per_month")))
     prev3 = Window.partitionBy("manager_id").orderBy(month_index("month")).rangeBetween(-3, -1)
-    scored = (monthly.withColumn("sum_prev_three_mnth", F.sum("sum_per_month").over(prev3))
-              .filter(F.col("sum_prev_three_mnth").isNotNull()
+    scored = (monthly.withColumn("prev_three_months_amount", F.sum("sum_per_month").over(prev3))
+              .filter(F.col("prev_three_months_amount").isNotNull()
                       & (F.col("month") > F.lit(as_date(month_after)))
                       & (F.col("month") < F.lit(as_date(month_before)))))
-    best = argmax_rows(scored, ["month"], "sum_prev_three_mnth", bounded_groups=True)
+    best = argmax_rows(scored, ["month"], "prev_three_months_amount", bounded_groups=True)
     return (attach_manager(best, t)
             .select(*MANAGER_NAMES, "month",
                     _money(F.col("sum_per_month") * F.lit(rate)).alias("bonus"),
-                    _money("sum_prev_three_mnth").alias("sum_prev_three_mnth"),
-                    F.lit(1).alias("bonus_rank")))
+                    _money("prev_three_months_amount").alias("prev_three_months_amount"),
+                    F.lit(1).alias("bonus_rank"))
+            .orderBy(F.col("month").asc_nulls_last(), "manager_id"))
 
 
 # --------------------------------------------------------------- R25 ----
@@ -109,11 +109,9 @@ def office_year_share(t, start="2013-01-01", end="2014-12-31", n_months=24) -> D
     lines = sale_lines(t).filter(in_period("sale_date", start, end))
     per_manager = (lines.groupBy("manager_id", trunc_year("sale_date").alias("sale_year"))
                    .agg(F.sum("sale_amount").alias("amount")))
-    # offices x years: tiny; on a large fact written once so the office list,
-    # the grid join and the year totals do not each aggregate the fact again
-    per_office = reuse(attach_manager(per_manager, t)
-                       .groupBy("office_id", "sale_year").agg(F.sum("amount").alias("amount")),
-                       t["sales_order_line"])
+    # offices x years: tiny; read by the office list, the grid join and the year totals
+    per_office = materialize(attach_manager(per_manager, t)
+                             .groupBy("office_id", "sale_year").agg(F.sum("amount").alias("amount")))
     offices = attach_office(per_office.filter(F.col("office_id").isNotNull())
                             .select("office_id").distinct(), t) \
         .select("office_id", "office_name", "city_name", "country")
@@ -127,9 +125,9 @@ def office_year_share(t, start="2013-01-01", end="2014-12-31", n_months=24) -> D
     office_keys = ["office_id", "office_name", "city_name", "country"]
     both_years = (Window.partitionBy(*office_keys).orderBy(F.year("sale_year"))
                   .rangeBetween(-1, Window.unboundedFollowing))
-    return shared.select(*office_keys, "sale_year", _money("year_amount").alias("year_amount"),
-                         "year_ratio_amount",
-                         F.avg("year_ratio_amount").over(both_years).alias("avg_ratio_2013_2014"))
+    return (shared.select(*office_keys, "sale_year", _money("year_amount").alias("year_amount"), "year_ratio_amount",
+                          F.avg("year_ratio_amount").over(both_years).alias("avg_year_ratio"))
+            .orderBy(F.col("avg_year_ratio").asc_nulls_last(), "office_id", "sale_year"))
 
 
 # --------------------------------------------------------------- R26 ----
@@ -152,7 +150,8 @@ def product_growth(t, start="2013-12-01", end="2014-06-30", first_month="2013-12
         trend = trend.filter(after_first)
     trend = trend.filter(F.col("trend").isNotNull())
     medians = trend.groupBy("product_id").agg(F.median("trend").alias("trend_median"))
-    return attach_product(medians, t).select("product_id", "product_name", "trend_median")
+    return (attach_product(medians, t).select("product_id", "product_name", "trend_median")
+            .orderBy(F.col("trend_median").desc_nulls_first(), "product_id"))
 
 
 # --------------------------------------------------------------- R27 ----
@@ -168,30 +167,32 @@ def running_totals(t, start="2014-01-01", end="2014-12-31") -> DataFrame:
     return monthly.select(
         "sale_month", "sale_quarter", _money("month_sum").alias("month_sum"),
         _money(F.sum("month_sum").over(upto.orderBy("sale_month"))).alias("cumul_month_sum"),
-        _money(F.sum("month_sum").over(upto.orderBy("sale_quarter"))).alias("cumul_quart_sum"))
+        _money(F.sum("month_sum").over(upto.orderBy("sale_quarter"))).alias("cumul_quart_sum")
+    ).orderBy(F.col("sale_month").asc_nulls_last())
 
 
 # --------------------------------------------------------------- R28 ----
 def price_tail_share(t, start="2014-01-01", end="2014-12-31", low=0.1, high=0.9) -> DataFrame:
     """Share of total sales of products whose median price lies in the
     cheapest or dearest tail (percent_rank outside [low, high])."""
-    # product-sized; the rank, its counts and the total all read it (written
-    # once on a large fact)
-    per_product = reuse(sale_lines(t).filter(in_period("sale_date", start, end))
-                        .groupBy("product_id")
-                        .agg(F.median(F.col("sale_price").cast("double")).alias("med_sale_price"),
-                             F.sum("sale_amount").alias("sale_amount_product")),
-                        t["sales_order_line"])
-    ranked = global_percent_rank(per_product, "med_sale_price", "percntle_product_price")
+    # one row per (product, price): the only pass over the fact
+    prices = materialize(sale_lines(t).filter(in_period("sale_date", start, end))
+                         .groupBy("product_id", F.col("sale_price").cast("double").alias("price"))
+                         .agg(F.count(F.lit(1)).alias("n"), F.sum("sale_amount").alias("amount")))
+    sums = prices.groupBy("product_id").agg(F.sum("amount").alias("sale_amount_product"))
+    medians = group_medians(prices, "product_id", "price", "n", "med_sale_price")
+    # product-sized; the rank, its counts and the total all read it
+    per_product = materialize(sums.join(medians, sums["product_id"].eqNullSafe(medians["group"]), "left").drop("group"))
+    ranked = global_percent_rank(per_product, "med_sale_price", "price_percent_rank")
     total = per_product.select(F.sum("sale_amount_product")).scalar()
-    out = (ranked.filter(~F.col("percntle_product_price").between(low, high))
+    out = (ranked.filter(~F.col("price_percent_rank").between(low, high))
            .withColumn("total_sale_amount", total))
     return attach_product(out, t).select(
         "product_id", "product_name",
         _money("sale_amount_product").alias("sale_amount_product"),
         _money("total_sale_amount").alias("total_sale_amount"),
         safe_ratio("sale_amount_product", "total_sale_amount").alias("percent_from_total_amount"),
-        "percntle_product_price")
+        "price_percent_rank")
 
 
 # --------------------------------------------------------------- R29 ----
@@ -214,44 +215,37 @@ def monthly_price_extremes(t, start="2014-01-01", end="2014-12-31",
     """Dearest and cheapest product sold in each month.
 
     As written (D12) the report pairs every line at the top price with every
-    line at the bottom price of the month.  Lines are first collapsed to
-    (month, product, price, count), the distinct products are paired, and the
-    reference's duplicates are restored by repeating each pair count_h x
-    count_l times; ``distinct_products=True`` is the repaired variant that
-    returns each product pair once."""
-    data = (sale_lines(t).filter(in_period("sale_date", start, end))
-            .select("product_id", "sale_price", trunc_month("sale_date").alias("sale_month")))
-    extremes = data.groupBy("sale_month").agg(F.max("sale_price").alias("highest_price"),
-                                              F.min("sale_price").alias("lowest_price"))
+    line at the bottom price of the month: each product pair is repeated
+    count_h x count_l times (:func:`monthly_price_pairs`, a bigint), in
+    bounded chunks spread over tasks; ``distinct_products=True`` is the
+    repaired variant that returns each product pair once."""
+    pairs = monthly_price_pairs(t, start, end)
+    pairs = pairs.drop("n_pairs") if distinct_products else repeat_rows(pairs, "n_pairs")
+    return pairs.orderBy(F.col("month").asc_nulls_last(), "dearest_product_id", "cheapest_product_id")
 
-    # one pass selects the lines at either extreme of their month (the
-    # per-month extremes are bounded by the report's months: broadcast);
-    # the result - products at the extremes, with line counts - is written
-    # once on a large fact, so both sides read it rather than each re-running
-    # the pass
-    ext = F.broadcast(extremes.select(F.col("sale_month").alias("_m"), "highest_price", "lowest_price"))
-    hits = reuse(
-        data.join(ext, (F.col("sale_month") == F.col("_m"))
-                  & ((F.col("sale_price") == F.col("highest_price")) | (F.col("sale_price") == F.col("lowest_price"))))
-        .groupBy("sale_month", "product_id", "sale_price", "highest_price", "lowest_price")
-        .agg(F.count(F.lit(1)).alias("_n")),
-        t["sales_order_line"])
-    high = hits.filter(F.col("sale_price") == F.col("highest_price")).select(
-        "sale_month", F.col("product_id").alias("expensv_prod_id"), "highest_price", F.col("_n").alias("n_high"))
-    low = hits.filter(F.col("sale_price") == F.col("lowest_price")).select(
-        "sale_month", F.col("product_id").alias("chepst_prod_id"), "lowest_price", F.col("_n").alias("n_low"))
-    pairs = high.join(low, "sale_month", "inner")
-    if not distinct_products:
-        pairs = pairs.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), (F.col("n_high") * F.col("n_low")).cast("int"))))
+
+def monthly_price_pairs(t, start="2014-01-01", end="2014-12-31") -> DataFrame:
+    """Product pairs (dearest, cheapest) of each month with the number of line
+    pairs.  Lines are collapsed to (month, price, product, count) in the only
+    pass over the fact; extremes and both sides of the pairs are read from
+    that.  A month's extremes are bounded by the report's months: broadcast."""
+    prices = materialize(sale_lines(t).filter(in_period("sale_date", start, end))
+                         .groupBy(trunc_month("sale_date").alias("month"), "sale_price", "product_id")
+                         .agg(F.count(F.lit(1)).alias("n")))
+    extremes = F.broadcast(prices.groupBy("month").agg(F.max("sale_price").alias("highest_price"),
+                                                       F.min("sale_price").alias("lowest_price")))
+    at = prices.join(extremes, "month")
+    high = at.filter(F.col("sale_price") == F.col("highest_price")).select(
+        "month", "highest_price", F.col("product_id").alias("dearest_product_id"), F.col("n").alias("n_high"))
+    low = at.filter(F.col("sale_price") == F.col("lowest_price")).select(
+        "month", "lowest_price", F.col("product_id").alias("cheapest_product_id"), F.col("n").alias("n_low"))
     names = t["product"].select("product_id", "product_name")
-    hi_names = names.select(F.col("product_id").alias("expensv_prod_id"),
-                            F.col("product_name").alias("expensv_prod_name"))
-    lo_names = names.select(F.col("product_id").alias("chepst_prod_id"),
-                            F.col("product_name").alias("chepst_prod_name"))
-    named = pairs.join(hi_names, "expensv_prod_id", "left").join(lo_names, "chepst_prod_id", "left")
-    return named.select("expensv_prod_id", "expensv_prod_name", _money("highest_price").alias("highest_price"),
-                        "chepst_prod_id", "chepst_prod_name", _money("lowest_price").alias("lowest_price"),
-                        F.col("sale_month").alias("month"))
+    named = (high.join(low, "month")
+             .join(names.toDF("dearest_product_id", "dearest_product_name"), "dearest_product_id", "left")
+             .join(names.toDF("cheapest_product_id", "cheapest_product_name"), "cheapest_product_id", "left"))
+    return named.select("dearest_product_id", "dearest_product_name", _money("highest_price").alias("highest_price"),
+                        "cheapest_product_id", "cheapest_product_name", _money("lowest_price").alias("lowest_price"),
+                        "month", (F.col("n_high") * F.col("n_low")).alias("n_pairs"))
 
 
 # --------------------------------------------------------------- R31 ----

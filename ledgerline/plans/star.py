@@ -8,19 +8,24 @@ so each stage can be checked on its own.
 
 from __future__ import annotations
 
+import datetime
 import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date, trunc_day
+from ..functions.dates import as_date, trunc_day, ts_lit
 from ..operators.calendar import calendar_covering
 from ..operators.cube import combined_rounded_avg, cube_agg
+from ..schemas import DIM_DATE, DIM_TAGS, FACT_QUESTIONED
+from ..session import materialize
+from ..sources.checks import checked
 from ..sources.tables import write_table
 
 NO_TAG_ID = -1          # fixed value: unknown tag member
 NO_TAG_NAME = "no_tag"  # fixed value: unknown tag member
 CUBE_FACT_ID = -5       # fixed value: marks cube rows in the fact table
+TAG_NAME_LENGTH = 100   # fixed value: declared length of a tag name
 
 
 def date_profile(qa: dict[str, DataFrame]) -> DataFrame:                      # A16
@@ -137,6 +142,27 @@ def day_tag_report_from_detail(detail: DataFrame, dim_date: DataFrame, dim_tags:
     return day_tag_report(fact_cube(todays).drop("grouping_id"), dim_date, dim_tags, day)
 
 
+def day_tag_report_pruned(qa: dict[str, DataFrame], day="2017-07-21") -> DataFrame:
+    """R9 without a stored cube, reading one day of posts.
+
+    A cell of the report aggregates exactly the day's questions, so the posts
+    are restricted to the day's half-open timestamp range before the
+    question-tag view is built: the range reaches the posts scan as a pushed
+    filter, and post tags are semi-joined to the day's posts below their
+    DISTINCT.  The tag dimension is that of the day; it gives the same report
+    as the whole dimension because tag names are unique (S10 name check)."""
+    spark = qa["posts"].sparkSession
+    lo, hi = ts_lit(day), ts_lit(as_date(day) + datetime.timedelta(days=1))
+    posts = qa["posts"].filter((F.col("creationdate") >= lo) & (F.col("creationdate") < hi))
+    posttags = qa["posttags"].join(posts.select(F.col("id").alias("postid")), "postid", "left_semi")
+    qt = materialize(question_tags(dict(qa, posts=posts, posttags=posttags)))       # day-sized, read twice
+    dim_date = spark.range(1).select(F.lit(1).cast("long").alias("dim_date_id"), F.lit(as_date(day)).alias("date_val"),
+                                     F.lit(1).alias("date_lvl"))
+    dim_tags = tag_dimension(qt)
+    detail = fact_detail(qt, dim_date, dim_tags)
+    return day_tag_report(fact_cube(detail).drop("grouping_id"), dim_date, dim_tags, day)
+
+
 def missing_synonym_targets(qa: dict[str, DataFrame], dim_tags: DataFrame) -> DataFrame:   # R10
     return qa["tagsynonyms"].join(dim_tags, qa["tagsynonyms"].targettagname == dim_tags.tag_name, "left_anti")
 
@@ -151,12 +177,12 @@ def run_star_etl(qa: dict[str, DataFrame], out_dir: str, mode: str = "errorifexi
     detail partition, appended as ``row_kind=cube``)."""
     spark = qa["posts"].sparkSession
     paths = {n: os.path.join(out_dir, n) for n in ("dim_date", "dim_tags", "fact_questioned")}
-    write_table(date_dimension(qa), paths["dim_date"], mode)
-    qt = question_tags(qa)
-    write_table(tag_dimension(qt), paths["dim_tags"], mode)
+    write_table(checked(date_dimension(qa), DIM_DATE), paths["dim_date"], mode)
+    qt = materialize(question_tags(qa))                # read by the dimension and by the fact
+    write_table(checked(tag_dimension(qt), DIM_TAGS, {"tag_name": TAG_NAME_LENGTH}), paths["dim_tags"], mode)
     dim_date = spark.read.parquet(paths["dim_date"])
     dim_tags = spark.read.parquet(paths["dim_tags"])
-    detail = fact_detail(qt, dim_date, dim_tags).withColumn("row_kind", F.lit("detail"))
+    detail = checked(fact_detail(qt, dim_date, dim_tags), FACT_QUESTIONED).withColumn("row_kind", F.lit("detail"))
     write_table(detail, paths["fact_questioned"], mode, partition_by=["row_kind"])
     snapshot = (spark.read.parquet(paths["fact_questioned"])
                 .filter(F.col("row_kind") == "detail").drop("row_kind"))

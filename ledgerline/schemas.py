@@ -24,6 +24,12 @@ USERS_XML = StructType([
     StructField("_Location", StringType()),
     StructField("_AccountId", LongType()),
 ])
+EXPERTS_XML = StructType([
+    StructField("_DisplayName", StringType()),
+    StructField("_AccountId", LongType()),
+    StructField("_Location", StringType()),
+    StructField("sum_score", LongType()),
+])
 
 # Q&A relational tables feeding the star schema.
 POSTS = StructType([

@@ -1,8 +1,10 @@
-"""Session construction and the lineage-cutting helpers (shared checkpoint folder)."""
+"""Session construction and written intermediates (shared checkpoint folder)."""
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +25,14 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[*]", app: str = "ledgerline",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """A session with the settings above.  ``shuffle_partitions`` is left to
+    the cluster's configuration unless given: AQE merges partitions, it never
+    adds any, and the prefix sums and salts size themselves by it."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -37,9 +43,10 @@ def build_session(master: str = "local[*]", app: str = "ledgerline",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the SparkContext at the shared checkpoint folder named by
-    ``spark.checkpoint.dir``.  Only a local-mode session without that setting
-    (tests) gets a private folder; a cluster session without it is an error,
-    because a machine-local folder would not survive executor loss."""
+    ``spark.checkpoint.dir``.  Only a session with one local JVM and without
+    that setting (tests) gets a private folder; a cluster session without it
+    is an error, because a machine-local folder would not survive executor
+    loss."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -47,63 +54,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Eager checkpoint to the shared checkpoint folder (never localCheckpoint):
-    cuts lineage and freezes nondeterministic partition assignments.
-
-    The input is persisted for the duration of the call: an eager checkpoint
-    runs one job to count and a second to write, and without the cache the
-    second would recompute the whole plan."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist(blocking=False)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet table under the shared checkpoint folder and
-    read it back: cuts lineage like :func:`reliable_checkpoint`, and the
-    result is a plain columnar scan (vectorized, prunable)."""
-    import uuid
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/ledgerline-table-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
-
-
-MATERIALIZE_MIN_BYTES = "ledgerline.materialize.minBytes"
-
+_WRITTEN: list[str] = []
 
-def scan_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of ``df`` from its scan statistics (file sizes
-    from the file index already listed for the scan); use it on a plain
-    scan or projection, where the estimate is the bytes to be read."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
+def new_table_path(spark: SparkSession) -> str:
+    """A path under the shared checkpoint folder that no table uses yet;
+    :func:`drop_written` deletes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-table-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
-def reuse(df: DataFrame, basis: DataFrame) -> DataFrame:
-    """An intermediate read several times by one report.
 
-    When ``basis`` (the fact it is computed from) is at least
-    ``ledgerline.materialize.minBytes`` (default 1 GiB) the intermediate is
-    written once (:func:`materialize`), so every use reads the small result
-    instead of re-reading the fact - plans whose branches differ after
-    column pruning do not share shuffles by themselves.  Below the threshold
-    recomputing is cheaper than a write and a read, and ``df`` is returned."""
-    threshold = int(df.sparkSession.conf.get(MATERIALIZE_MIN_BYTES, str(1 << 30)))
-    return materialize(df) if scan_bytes(basis) >= threshold else df
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back.  Cuts the lineage, fixes nondeterministic columns, and lets
+    several readers share one computation: Spark shares a shuffle between two
+    uses of a DataFrame only if their plans are identical after pruning."""
+    path = new_table_path(df.sparkSession)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Delete the tables written so far.  A returned DataFrame may read one,
+    so this is the caller's step once it has used its results.  Returns the
+    number of tables deleted."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -8,7 +8,9 @@ mapping in SQL (``ledgerline.plans.oracle_sql``).
 
 Mapping (fixed rules, documented in README):
   sales_order       <- orders    (o_orderkey, o_orderdate, o_custkey as manager)
-  sales_order_line  <- lineitem  (qty = l_quantity, price = l_extendedprice, decimals)
+  sales_order_line  <- lineitem  (qty = l_quantity, price = l_extendedprice, decimals;
+                                  id = 10 x order + line number, which the driver
+                                  tables do not keep unique: s12 lists the repeats)
   manager           <- customer  (first name = c_mktsegment, last name = c_name)
   office            <- nation    ('OFFICE_' || n_name); city <- nation + region
                                   (country = r_name, region NULL where
@@ -26,34 +28,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import functools
-
 from ..schemas import MONEY
 from .tables import read_table
 
-_MEMO: dict = {}
-
-
-def _memo(fn):
-    """Keep the derived (lazy, data-free) DataFrames per session and folder:
-    DataFrames are immutable, so reports can share them."""
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str):
-        key = (fn.__name__, id(spark), sf_dir)
-        hit = _MEMO.get(key)
-        if hit is None or hit[0] is not spark:
-            hit = (spark, fn(spark, sf_dir))
-            _MEMO[key] = hit
-        return dict(hit[1]) if isinstance(hit[1], dict) else hit[1]
-    return wrapper
-
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
 # ---------------------------------------------------------------- sales ----
-@_memo
 def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = _t(spark, sf_dir, "orders")
     lineitem = _t(spark, sf_dir, "lineitem")
@@ -93,7 +76,6 @@ def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ------------------------------------------------------- Q&A, expert job ----
-@_memo
 def expert_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts in the XML dump's shape: questions from orders (tags = order
     priority), answers from line items (parent = the order)."""
@@ -116,7 +98,6 @@ def expert_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.unionByName(answers)
 
 
-@_memo
 def expert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = _t(spark, sf_dir, "supplier")
     nation = _t(spark, sf_dir, "nation")
@@ -132,7 +113,6 @@ def _brand_number(c) -> F.Column:
     return F.substring(c, 7, 10).cast("long")
 
 
-@_memo
 def qa_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = _t(spark, sf_dir, "orders")
     lineitem = _t(spark, sf_dir, "lineitem")
@@ -162,7 +142,6 @@ def qa_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ---------------------------------------------------------- hierarchy ----
-@_memo
 def file_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     """region > nation > customer directories, orders as files sized by total
     price.  Ids are ``4 * key + kind`` so the four key spaces never collide."""

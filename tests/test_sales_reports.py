@@ -67,7 +67,7 @@ def test_r25_zero_fill_and_average_share(spark):
     got = {(r.office_id, r.sale_year.year): r for r in sa.office_year_share(tables(spark, orders, lines)).collect()}
     assert got[(20, 2013)].year_amount == 0.0 and got[(20, 2013)].year_ratio_amount == 0.0
     assert got[(20, 2014)].year_ratio_amount == pytest.approx(0.25)
-    assert got[(10, 2013)].avg_ratio_2013_2014 == pytest.approx((1.0 + 0.75) / 2)
+    assert got[(10, 2013)].avg_year_ratio == pytest.approx((1.0 + 0.75) / 2)
 
 
 def test_r26_lag_skips_gap_and_drops_first_month(spark):
@@ -109,7 +109,7 @@ def test_r30_pairs_multiply_as_written_and_variant_dedupes(spark):
     as_written = sa.monthly_price_extremes(t).collect()
     assert len(as_written) == 3            # 3 lines at the top price x 1 at the bottom
     variant = sa.monthly_price_extremes(t, distinct_products=True).collect()
-    assert sorted((r.expensv_prod_id, r.chepst_prod_id) for r in variant) == [(1, 3), (2, 3)]
+    assert sorted((r.dearest_product_id, r.cheapest_product_id) for r in variant) == [(1, 3), (2, 3)]
 
 
 def test_r31_equal_salaries_merge_as_written(spark):
@@ -128,7 +128,7 @@ def test_r28_tails_by_percent_rank(spark):
     lines = [line(p, p, p, 1, 10 * p) for p in range(1, 7)]
     got = {r.product_id: r for r in sa.price_tail_share(tables(spark, orders, lines)).collect()}
     assert sorted(got) == [1, 6]
-    assert got[6].percntle_product_price == 1.0 and got[1].percntle_product_price == 0.0
+    assert got[6].price_percent_rank == 1.0 and got[1].price_percent_rank == 0.0
     assert got[6].percent_from_total_amount == pytest.approx(60 / 210)
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerline.session import MATERIALIZE_MIN_BYTES, ensure_checkpoint_dir, materialize, reuse
+from ledgerline.session import drop_written, ensure_checkpoint_dir, materialize
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
@@ -19,15 +19,28 @@ def test_materialize_writes_under_the_checkpoint_folder(spark):
     assert sorted(r.x for r in written.collect()) == [2 * i for i in range(10)]
 
 
-def test_reuse_writes_only_large_facts(spark):
-    basis = spark.range(1000)
-    df = basis.groupBy((F.col("id") % 7).alias("k")).count()
-    spark.conf.set(MATERIALIZE_MIN_BYTES, str(1 << 40))
-    try:
-        assert reuse(df, basis) is df
-        spark.conf.set(MATERIALIZE_MIN_BYTES, "0")
-        written = reuse(df, basis)
-        assert written is not df and written.inputFiles()
-        assert sorted(map(tuple, written.collect())) == sorted(map(tuple, df.collect()))
-    finally:
-        spark.conf.unset(MATERIALIZE_MIN_BYTES)
+def test_written_tables_are_dropped(spark):
+    import os
+    folder = ensure_checkpoint_dir(spark).replace("file:", "")
+    drop_written(spark)
+    before = set(os.listdir(folder))
+    materialize(spark.range(3))
+    assert len(set(os.listdir(folder)) - before) == 1
+    assert drop_written(spark) == 1 and set(os.listdir(folder)) == before
+
+
+def test_report_with_one_reader_writes_no_table_and_none_is_left(spark):
+    """The same plan at every size: r04 reads the order dates only; r07 writes its view once."""
+    import os
+
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    drop_written(spark)
+    for name in ["r04_date_dimension", "r05_question_tags", "r06_tag_dimension", "r10_missing_synonym_targets",
+                 "r11_untagged_questions", "s10_dim_tags_key_check"]:
+        E.queries()[name](spark, sf).collect()
+        assert drop_written(spark) == 0, name
+    E.queries()["r07_fact_detail"](spark, sf).collect()
+    assert drop_written(spark) == 1
+    folder = ensure_checkpoint_dir(spark).replace("file:", "")
+    assert not [f for f in os.listdir(folder) if f.startswith("ledgerline-table-")]

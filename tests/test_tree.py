@@ -39,3 +39,20 @@ def test_chain_deeper_than_recursion_limit(spark):
     assert len(got) == depth
     assert got[1].dir_size == depth and got[depth].dir_size == 1
     assert got[depth].full_name.startswith(" " * 4 * (depth - 1) + "\\n1\\n2\\")
+
+
+def test_cycle_in_a_large_forest_raises_before_paths_grow(spark):
+    """20,000 flat roots and a two-node cycle: no written path is longer than the true depth."""
+    from pyspark.sql import functions as F
+
+    import ledgerline.session as session
+    roots = spark.range(20_000).select(F.col("id"), F.lit(None).cast("long").alias("parent_id"), F.col("id").cast("string").alias("name"),
+                                       F.lit("dir").alias("type"), F.lit(1).cast("long").alias("file_size"))
+    loop = spark.createDataFrame([(50_000, 50_001, "x", "dir", 1), (50_001, 50_000, "y", "dir", 1)], FILE_SYSTEM)
+    before = len(session._WRITTEN)
+    with pytest.raises(CycleError):
+        walk_from_roots(roots.union(loop))
+    for path in session._WRITTEN[before:]:
+        written = spark.read.parquet(path)
+        if "path_ids" in written.columns:
+            assert written.agg(F.max(F.size("path_ids"))).first()[0] <= 1
