@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +67,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 _WRITTEN: list[str] = []
+#: Called with every DataFrame that is written and read back (plan checks look at it).
+ON_WRITE: list[Callable[[DataFrame], None]] = []
 
 
 def new_table_path(spark: SparkSession) -> str:
@@ -82,6 +85,8 @@ def materialize(df: DataFrame) -> DataFrame:
     several readers share one computation: Spark shares a shuffle between two
     uses of a DataFrame only if their plans are identical after pruning."""
     path = new_table_path(df.sparkSession)
+    for look in ON_WRITE:
+        look(df)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 

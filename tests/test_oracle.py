@@ -54,7 +54,7 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["manager_id", "manager_first_name", "manager_last_name", "sale_month", "bonus"]
-    assert df.count() >= 0
+    assert df.count() == 12             # a best manager for each month of the report
 
 
 PYTHON_OPS = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
@@ -113,20 +113,37 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_written_intermediates_path_matches_oracle(spark, duck):
-    """Large facts write their reused intermediates; force that path here."""
-    from ledgerline.session import MATERIALIZE_MIN_BYTES
-    spark.conf.set(MATERIALIZE_MIN_BYTES, "0")
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_legs_stay_in_the_jvm_and_read_the_fact_once(spark, name):
+    """All plans of a report, written legs included."""
+    plan, legs = _plans(spark, name)
+    everything = "\n".join([plan, *legs])
+    assert not any(op in everything for op in PYTHON_OPS)
+    if name.startswith(("r23", "r25", "r26", "r27", "r28", "r29", "r30", "r31")):
+        assert sum("FileScan parquet [l_" in line for line in everything.splitlines()) == 1
+
+
+def _plans(spark, name):
+    import ledgerline.session as session
+    legs = []
+    look = lambda df: legs.append(df._jdf.queryExecution().executedPlan().toString())
+    session.ON_WRITE.append(look)
     try:
-        for name in ["r23_best_manager_bonus", "r25_office_year_share", "r28_price_tail_share",
-                     "r30_monthly_price_extremes", "r07_fact_detail", "r09_day_tag_report"]:
-            df = E.queries()[name](spark, SF)
-            plan = df._jdf.queryExecution().executedPlan().toString()
-            assert "FileScan parquet [l_" not in plan, name      # the fact is read only by the write
-            rel = duck.sql(E.oracle_sql()[name])
-            order = [rel.columns.index(c) for c in df.columns]
-            got = sorted(repr(tuple(_norm(x) for x in r)) for r in df.collect())
-            want = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rel.fetchall())
-            assert got == want, name
+        df = E.queries()[name](spark, SF)
     finally:
-        spark.conf.unset(MATERIALIZE_MIN_BYTES)
+        session.ON_WRITE.remove(look)
+    return df._jdf.queryExecution().executedPlan().toString(), legs
+
+
+def test_r09_reads_one_day_of_orders_in_every_leg(spark):
+    plan, legs = _plans(spark, "r09_day_tag_report")
+    scans = [line for p in [plan, *legs] for line in p.splitlines() if "FileScan parquet" in line and "o_orderkey" in line]
+    assert scans and all("GreaterThanOrEqual(o_orderdate,1998-07-21" in line for line in scans)
+
+
+def test_sorted_reports_end_in_a_sort(spark):
+    for name in ["r24_best_manager_bonus_first_version", "r25_office_year_share", "r26_product_growth", "r27_running_totals",
+                 "r30_monthly_price_extremes"]:
+        plan, _ = _plans(spark, name)
+        head = [line for line in plan.splitlines() if "AdaptiveSparkPlan" not in line][0]
+        assert "Sort" in head, (name, head)

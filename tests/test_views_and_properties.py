@@ -17,16 +17,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 def test_sql_over_views_matches_dataframe_report(spark):
     register_sales_views(standins.sales_tables(spark, SF), prefix="lv_")
     sql = spark.sql("""
-        WITH data_init AS (
-          SELECT manager_id, trunc(sale_date, 'MM') AS month, sale_amount FROM lv_v_fact_sale
-          WHERE sale_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'),
-        t_month_amount AS (
-          SELECT DISTINCT month,
-                 sum(sale_amount) OVER (PARTITION BY month) AS sales_amount,
-                 30000 + sum(0.05 * sale_amount) OVER (PARTITION BY manager_id, month) AS salary
-          FROM data_init)
-        SELECT month, CAST(sales_amount AS DOUBLE) AS sales_amount, CAST(sum(salary) AS DOUBLE) AS salary_amount
-        FROM t_month_amount GROUP BY month, sales_amount""")
+        WITH pay AS (
+          SELECT trunc(sale_date, 'MM') AS month, manager_id, sum(sale_amount) AS sold
+          FROM lv_v_fact_sale WHERE sale_date >= DATE '1996-01-01' AND sale_date <= DATE '1996-12-31'
+          GROUP BY trunc(sale_date, 'MM'), manager_id),
+        salaries AS (SELECT month, sum(s) AS total FROM (SELECT DISTINCT month, 30000 + 0.05 * sold AS s FROM pay) GROUP BY month)
+        SELECT month, CAST(sum(sold) AS DOUBLE) AS sales_amount, CAST(first(total) AS DOUBLE) AS salary_amount
+        FROM pay JOIN salaries USING (month) GROUP BY month""")
     df = E.queries()["r31_monthly_profit"](spark, SF).drop("profit")
     assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, df.collect()))
 
