@@ -2,8 +2,8 @@
 
 The view is line-driven with left joins only (a line without an order keeps
 NULL manager, office and date).  Reports that need few columns call the
-pieces instead of the whole view: every dimension key is a primary key
-(checked by ``sources.checks.key_violations``), so leaving out a left join
+pieces instead of the whole view: every dimension key is declared a primary
+key (``sources.checks.key_violations`` lists violations), so leaving out a left join
 whose columns are unused does not change the rows, and attaching names
 *after* aggregating by id turns a fact-sized join into a group-sized one.
 """
