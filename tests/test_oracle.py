@@ -67,7 +67,7 @@ def test_plan_stays_in_the_jvm(spark, name):
 
 
 def test_date_filter_reaches_the_orders_scan(spark):
-    plan = E.queries()["r31_monthly_profit"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = "\n".join(_plans(spark, "r31_monthly_profit")[1])
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate," in plan
 
 
