@@ -48,7 +48,7 @@ from .fm_index import FmIndex
 
 MOST_WINDOWS = 32
 SHARD_WORDS = 1 << 17
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 17
 NULL_ID = -(1 << 63)
 
 
@@ -159,32 +159,41 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     lists = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size", "mz")).alias("l")).select(
         "doc", "tag", F.flatten(F.transform("l", lambda r: F.array(r["start"].cast("long"), r["size"].cast("long"), r["mz"]))).alias("l"))
 
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts, digests, texts = [], [], []
+            for t, found in zip(b.column(3), b.column(4)):
+                text = t.as_py()
+                words = (text or "").encode("utf-8").split()
+                counts.append(len(words))
+                digests.append(None if found.is_valid else hashlib.sha256(b" ".join(words)).hexdigest())
+                texts.append(text if found.is_valid else None)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(texts, pa.string()), pa.array(counts, pa.int64()),
+                                              pa.array(digests, pa.string()), b.column(4)],
+                                             ["id", "doc", "tag", "text", "n_words", "kept_sha256", "l"])
+
+    documents = materialize(slim.join(lists, ["doc", "tag"], "left").select("id", "doc", "tag", "text", "l").mapInArrow(
+        told, "id long, doc long, tag int, text string, n_words long, kept_sha256 string, l array<long>"))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "id", "doc", "tag", "n_words", "kept_sha256", "text", "mz", "seg", "start"]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int32()]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32()]
         for b in batches:
             rows, size = [], 0
-            for i, d, g, t, found in zip(*(b.column(c) for c in range(5))):
-                i, d, g, text = i.as_py(), d.as_py(), g.as_py(), t.as_py()
-                words = (text or "").encode("utf-8").split()
-                if not found.is_valid:
-                    rows.append((0, i, d, g, len(words), hashlib.sha256(b" ".join(words)).hexdigest(), None, None, None, None))
-                else:
-                    rows.append((1, i, d, g, len(words), None, text, None, None, None))
-                    for start, n, mz in dict.fromkeys(map(tuple, found.values.to_numpy().reshape(-1, 3).tolist())):
-                        rows.append((2, None, d, g, None, None, None, mz, b" ".join(words[start:start + n + window - 1]), start))
-                    size += 4 * len(text)
-                if size > 1 << 24:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-                    rows, size = [], 0
+            for d, g, t, found in zip(*(b.column(c) for c in range(4))):
+                d, g, words = d.as_py(), g.as_py(), (t.as_py() or "").encode("utf-8").split()
+                for start, n, mz in dict.fromkeys(map(tuple, found.values.to_numpy().reshape(-1, 3).tolist())):
+                    rows.append((mz, b" ".join(words[start:start + n + window - 1]), d, g, start))
+                    size += 16 * n + 400
+                    if size > 1 << 23:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                        rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    mixed = materialize(slim.join(lists, ["doc", "tag"], "left").select("id", "doc", "tag", "text", "l").mapInArrow(
-        cut, "kind int, id long, doc long, tag int, n_words long, kept_sha256 string, text string, mz long, seg binary, start int"))
-    documents = mixed.where("kind < 2").select("id", "doc", "tag", "text", "n_words", "kept_sha256")
-    segments = mixed.where("kind = 2").select("mz", "seg", "doc", "tag", "start")
-    return documents, _spans(segments, window, wide_group)
+    names = ["mz", "seg", "doc", "tag", "start"]
+    segments = documents.where("kept_sha256 IS NULL").select("doc", "tag", "text", "l").mapInArrow(
+        cut, "mz long, seg binary, doc long, tag int, start int")
+    return documents.drop("l"), _spans(segments, window, wide_group)
 
 
 def _spans(segments: DataFrame, window: int, wide_group: int) -> DataFrame:
