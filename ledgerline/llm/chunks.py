@@ -44,54 +44,67 @@ class _Places(dict):
         return at
 
 
-class ChunkedTexts:
-    """Collects texts as references to distinct chunks.  The ids of chunks met
-    before are kept, so each flush encodes new chunks only; the table starts
-    anew beyond ``chunks_kept``."""
-
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], chunks_kept: int = 300_000):
-        self.encode, self.chunks_kept = encode, chunks_kept
-        self._forget()
+class Known:
+    """Distinct chunks with their ids, as (starts, flat)."""
 
-    def _forget(self):
+    def __init__(self):
         self.place = _Places()
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
+
+
+#: Per Python worker, by name: chunks known from earlier tasks.
+_KNOWN: dict[str, Known] = {}
+
+
+class ChunkedTexts:
+    """Collects texts as references to distinct chunks.  The ids of chunks met
+    before are kept, so each flush encodes new chunks only, also across the
+    tasks of a worker (under ``name``); beyond ``chunks_kept`` the table
+    starts anew."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], chunks_kept: int = 300_000,
+                 name: str | None = None):
+        self.encode, self.chunks_kept, self.name = encode, chunks_kept, name
+        self.known = _KNOWN.setdefault(name, Known()) if name else Known()
         self.refs: list[np.ndarray] = []
         self.size = 0
 
     def add(self, text: str | None) -> None:
         words = text.encode("utf-8").split() if text else ()
-        refs = np.fromiter(map(self.place.__getitem__, words), np.int32, len(words))
+        refs = np.fromiter(map(self.known.place.__getitem__, words), np.int32, len(words))
         self.refs.append(refs)
         self.size += len(refs)
 
     def flush(self, refs_at_once: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids one after another, number of ids of each text) for runs of the
         texts added since the last flush, in order."""
-        new = self.place.new
+        known, new = self.known, self.known.place.new
         if new:
             starts, flat = self.encode([w.decode("utf-8") for w in new])
-            self.starts = np.concatenate([self.starts, starts[1:] + self.starts[-1]])
-            self.flat = np.concatenate([self.flat, flat])
+            known.starts = np.concatenate([known.starts, starts[1:] + known.starts[-1]])
+            known.flat = np.concatenate([known.flat, flat])
             new.clear()
         part, n = [], 0
         for k, refs in enumerate(self.refs):
             part.append(refs)
             n += len(refs)
             if n >= refs_at_once or k + 1 == len(self.refs):
-                ids, lengths = gather(self.starts, self.flat, np.concatenate(part))
+                ids, lengths = gather(known.starts, known.flat, np.concatenate(part))
                 ends = np.concatenate([[0], np.cumsum(lengths)])
                 cut = np.concatenate([[0], np.cumsum([len(r) for r in part])])
                 yield ids, ends[cut[1:]] - ends[cut[:-1]]
                 part, n = [], 0
         self.refs, self.size = [], 0
-        if len(self.place) > self.chunks_kept:
-            self._forget()
+        if len(known.place) > self.chunks_kept:
+            self.known = Known()
+            if self.name:
+                _KNOWN[self.name] = self.known
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int = 1 << 20) -> Iterator[tuple]:
+def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int = 1 << 20, chunks_kept: int = 300_000,
+                   name: str | None = None) -> Iterator[tuple]:
     """Batches of (key, text) -> (keys, ids, lengths) for bounded groups of rows."""
-    held, keys = ChunkedTexts(encode), []
+    held, keys = ChunkedTexts(encode, chunks_kept, name), []
 
     def out():
         at = 0

@@ -79,7 +79,7 @@ def op8_token_files(spark, sf_dir):
     tokens = token_files.token_ids(_documents(spark, sf_dir), tokenizer_path(), VOCABULARY, end_id=2)
     blocks = token_files.write_blocks(tokens, VOCABULARY)
     return token_files.read_documents(blocks).select(
-        F.col("id").alias("doc_id"), "start", F.size("tokens").cast("long").alias("n_tokens"), "ids_crc32")
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 def op9_mixing(spark, sf_dir):

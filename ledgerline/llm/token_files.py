@@ -45,6 +45,7 @@ from .chunks import encode_batches, ragged
 MAGIC = b"RPAIR1"
 HEAD = struct.Struct("<6s4I")
 HASH_BITS = 20
+CHUNKS_KEPT = 1_200_000
 
 
 def _frequent(seq: np.ndarray, joined: np.ndarray, least: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -52,11 +53,17 @@ def _frequent(seq: np.ndarray, joined: np.ndarray, least: int, turn: int) -> tup
     of each one's pair, keys of the pairs, their counts).  Pairs are counted in
     hash slots; of pairs that share a slot one is counted, and ``turn`` changes
     the hash, so the others come up in a later round."""
-    pos = np.flatnonzero(joined)
-    key = seq[pos].astype(np.int64) << 32 | seq[pos + 1]
-    slot = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn) >> np.uint64(64 - HASH_BITS)).astype(np.int32)
-    often = np.bincount(slot, minlength=1 << HASH_BITS)[slot] >= least
-    pos, key, slot = pos[often], key[often], slot[often]
+    key = seq[:-1].astype(np.int64)
+    key <<= 32
+    key |= seq[1:]
+    slot = key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)
+    slot >>= np.uint64(64 - HASH_BITS)
+    slot = slot.view(np.int64)
+    slot[~joined] = 1 << HASH_BITS                                 # a slot of their own, never frequent
+    bins = np.bincount(slot, minlength=(1 << HASH_BITS) + 1)
+    bins[-1] = 0
+    pos = np.flatnonzero((bins >= least)[slot])
+    key, slot = key[pos], slot[pos]
     stands = np.empty(1 << HASH_BITS, np.int64)
     stands[slot] = key
     same = stands[slot] == key
@@ -187,6 +194,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, vocabulary: int, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        crc = zlib.crc32(held.value.encode("utf-8"))
         from tokenizers import Tokenizer
         lib = Tokenizer.from_str(held.value)
         lib.no_truncation()
@@ -198,7 +206,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, vocabulary: int, id_col: str
                 rows += [e.ids for e in lib.encode_batch_fast(words[a:a + at_once], add_special_tokens=False)]
             return ragged(rows)
 
-        for keys, ids, lengths in encode_batches(batches, chunks):
+        for keys, ids, lengths in encode_batches(batches, chunks, chunks_kept=CHUNKS_KEPT, name=f"lib {crc}"):
             ends = np.cumsum(lengths + 1)
             flat = np.full(int(ends[-1]), end_id, kind)
             inside = np.ones(len(flat), bool)
@@ -263,7 +271,8 @@ def write_blocks(tokens: DataFrame, vocabulary: int, block_ids: int = 1 << 20) -
 
 def read_documents(blocks: DataFrame) -> DataFrame:
     """The file table -> one row per document: id, start (ids of all documents
-    before it), tokens array<int>, ids_crc32."""
+    before it), n_tokens, ids_crc32, tokens array<int>.  Leave the tokens out
+    where they are not needed: the rows are joined with their block's start."""
     key = blocks.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,10 +291,11 @@ def read_documents(blocks: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([shard] * n, pa.int32()), pa.array([block] * n, pa.int32()),
                          pa.array(ids[a:a + n], b.column(2).type.value_type), pa.array(part[:-1].astype(np.int64)), lists,
-                         pa.array(crc, pa.int64())], ["shard", "block", "id", "inside", "tokens", "ids_crc32"])
+                         pa.array(crc, pa.int64()), pa.array(np.diff(part).astype(np.int64))],
+                        ["shard", "block", "id", "inside", "tokens", "ids_crc32", "n_tokens"])
 
     rows = blocks.select("shard", "block", "ids", "symbol_starts", "payload").mapInArrow(
-        run, f"shard int, block int, id {key}, inside long, tokens array<int>, ids_crc32 long")
+        run, f"shard int, block int, id {key}, inside long, tokens array<int>, ids_crc32 long, n_tokens long")
     # where a block starts: sums per shard (one row a shard), then inside the shard
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     sizes = blocks.select("shard", "block", "n_ids")
@@ -295,4 +305,4 @@ def read_documents(blocks: DataFrame) -> DataFrame:
         before(Window.partitionBy("shard").orderBy("block"))), F.lit(0)).alias("block_start"))
     heads = inner.join(shard, "shard")
     return rows.join(heads, ["shard", "block"]).select(
-        "id", (F.col("shard_start") + F.col("block_start") + F.col("inside")).alias("start"), "tokens", "ids_crc32")
+        "id", (F.col("shard_start") + F.col("block_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "tokens")
