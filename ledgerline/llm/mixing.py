@@ -202,7 +202,8 @@ class Mix:
 
     def drawn(self) -> DataFrame:
         """Parts of documents in the mix: shard, place, at, pass, id, nth, from_word, words."""
-        hit = self.slots.join(self.pieces, ["sid", "block"]).withColumn(
+        # Spark sizes the slots by the few shards they are made from: never broadcast them
+        hit = self.slots.join(self.pieces.hint("merge"), ["sid", "block"]).withColumn(
             "words", F.least("words", F.col("most") - F.col("at")))
         return hit.where("words > 0").select("shard", "place", "at", "pass", "id", "nth", "from_word", "words")
 
