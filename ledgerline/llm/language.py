@@ -20,7 +20,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
+import functools
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,6 +54,7 @@ _STARTS = sorted((a, b, i) for i, ranges in enumerate(SCRIPTS.values()) for a, b
 OTHER = len(SCRIPTS)
 
 
+@functools.lru_cache(1 << 16)
 def script(letter: str) -> int:
     c = ord(letter)
     for a, b, i in _STARTS:
@@ -65,11 +67,19 @@ def letters(word: str) -> str:
     return word.lower() if word.isalpha() else "".join(c for c in word.lower() if c.isalpha())
 
 
-def cells(word: str) -> list[int]:
-    """Cells of the bigrams and trigrams of a word's letters, its ends marked."""
-    w = f"<{word}>"
-    return ([zlib.crc32(w[i:i + 3].encode("utf-8", "surrogatepass")) % CELLS for i in range(len(w) - 2)]
-            + [zlib.crc32(w[i:i + 2].encode("utf-8", "surrogatepass")) % CELLS for i in range(len(w) - 1)])
+def gram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the bigrams and trigrams of every word's letters, its ends
+    marked: (cells, number of the word of each)."""
+    text = "".join([f"<{w}>" for w in words])
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    left = np.cumsum(sizes)[owner] - np.arange(len(c))              # letters up to the word's end
+    two = c[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    three = two[:-1] * np.uint64(0xBF58476D1CE4E5B9) + c[2:] * np.uint64(0x165667B19E3779F9)
+    cell = lambda h: ((h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) >> np.uint64(49)).astype(np.int64)
+    has2, has3 = np.flatnonzero(left >= 2), np.flatnonzero(left >= 3)
+    return np.concatenate([cell(two[has2]), cell(three[has3])]), np.concatenate([owner[has2], owner[has3]])
 
 
 @dataclass
@@ -80,16 +90,20 @@ class Model:
     switch: float = 8.0
     floor: float = 12.0         # most that one word can speak against a language
 
-    def word_scores(self, word: str) -> tuple[np.ndarray, int]:
-        """(score by language, number of letters)."""
-        w = letters(word)
-        if not w:
-            return np.zeros(len(self.names), np.float32), 0
-        s = self.logp[cells(w)].sum(axis=0) / 2                  # two n-gram orders see every letter
-        may = self.allowed[script(w[0])]
-        if may.any():
-            s = np.where(may, s, -np.inf)
-        return np.maximum(s - s.max(), -self.floor).astype(np.float32), len(w)
+    def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(scores by word and language, number of letters of each word)."""
+        found = [letters(w) for w in words]
+        size = np.array([len(w) for w in found], np.int64)
+        out = np.zeros((len(words), len(self.names)), np.float32)
+        with_letters = np.flatnonzero(size)
+        for a in range(0, len(with_letters), 1 << 15):
+            part = with_letters[a:a + (1 << 15)]
+            cells, owner = gram_cells([found[i] for i in part])
+            s = np.stack([np.bincount(owner, self.logp[cells, k], len(part)) for k in range(len(self.names))], axis=1) / 2
+            may = self.allowed[[script(found[i][0]) for i in part]]
+            s = np.where(may | ~may.any(axis=1, keepdims=True), s, -np.inf)
+            out[part] = np.maximum(s - s.max(axis=1, keepdims=True), -self.floor)
+        return out, size
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
@@ -152,14 +166,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     continue
                 counts = grams.setdefault(lang, np.zeros(CELLS, np.int64))
                 scripts = seen.setdefault(lang, np.zeros(OTHER + 1, np.int64))
-                words = {}
-                for w in text.split():
-                    words[w] = words.get(w, 0) + 1
-                for w, n in words.items():
-                    w = letters(w)
-                    if w:
-                        np.add.at(counts, cells(w), n)
-                        scripts[script(w[0])] += n
+                words = Counter(map(letters, text.split()))
+                words.pop("", None)
+                if words:
+                    at, owner = gram_cells(list(words))
+                    n = np.array(list(words.values()), np.int64)
+                    counts += np.bincount(at, n[owner], CELLS).astype(np.int64)
+                    for w, k in words.items():
+                        scripts[script(w[0])] += k
         for lang in grams:
             for kind, table in ((0, grams[lang]), (1, seen[lang])):
                 at = np.flatnonzero(table)
@@ -188,13 +202,18 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         names, n_langs = m.names, len(m.names)
-        place, table, weight = {}, [], []
+        place, new, table, weight = {}, [], np.zeros((0, n_langs), np.float32), np.zeros(0, np.int64)
 
         def out(keys, refs):
+            nonlocal table, weight
+            if new:
+                s, n = m.word_scores(new) if n_langs else (np.zeros((len(new), 0), np.float32), np.zeros(len(new), np.int64))
+                table, weight = np.concatenate([table, s]), np.concatenate([weight, n])
+                new.clear()
             lengths = np.array([len(r) for r in refs], np.int64)
             which = np.concatenate([*refs, np.empty(0, np.int32)])
-            letters_ = np.array(weight, np.int64)[which] if len(which) else np.zeros(0, np.int64)
-            best = viterbi(np.array(table, np.float32)[which], lengths, m.switch) if len(which) and n_langs else np.zeros(
+            letters_ = weight[which]
+            best = viterbi(table[which], lengths, m.switch) if len(which) and n_langs else np.zeros(
                 len(which), np.int32)
             langs, scores, spans = [], [], []
             for a, n in zip(np.cumsum(lengths) - lengths, lengths):
@@ -216,9 +235,8 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 words = (text.as_py() or "").split()
                 for w in words:
                     if w not in place:
-                        s, n = m.word_scores(w) if n_langs else (np.zeros(0, np.float32), 0)
                         place[w] = len(place)
-                        table.append(s), weight.append(n)
+                        new.append(w)
                 keys.append(key)
                 refs.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)))
                 size += len(words)
@@ -226,7 +244,7 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     yield out(keys, refs)
                     keys, refs, size = [], [], 0
                     if len(place) > CACHED_WORDS:
-                        place, table, weight = {}, [], []
+                        place, table, weight = {}, table[:0], weight[:0]
         if keys:
             yield out(keys, refs)
 
