@@ -11,9 +11,11 @@ whose second term estimates the risk on the (unseen) negatives; where it turns
 negative, the step undoes the overfitting instead.  The class prior is the
 share of label 1 among all training labels.
 
-Bounds (parameters): the fit sees at most ``max_positive`` toxic and
-``max_unlabelled`` unlabelled documents, those with the smallest hash of their
-id, and ``max_features`` features, those whose rate differs most between the
+Bounds (parameters): the fit sees two samples, ``max_unlabelled`` of all
+labelled documents as unlabelled text and ``max_positive`` of the toxic ones,
+each those with the smallest hash of their id (toxic rows of the first sample
+are confirmed examples too, the second never counts as unlabelled: with it the
+unlabelled text would hold more toxic rows than the prior says), and ``max_features`` features, those whose rate differs most between the
 two (by ``least_z`` standard deviations at least, so that chance finds none).  Feature counts are aggregated by Spark; only the chosen features and the
 sample's presence lists for them come to the driver.  Every document is scored
 on its whole text.
@@ -100,10 +102,12 @@ def _features(text: str | None) -> set[str]:
 
 
 def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prior: float, epochs: int = 800,
-             batches: int = 1, rate: float = 0.05, decay: float = 1e-4, seed: int = 0) -> tuple[np.ndarray, float]:
+             batches: int = 1, rate: float = 0.05, decay: float = 1e-4, seed: int = 0,
+             unlabelled: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias minimising the non-negative risk by Adam.  ``rows``
-    hold the indices of the features present; all rows are unlabelled data,
-    those marked ``positive`` are also the confirmed examples.  Whole-batch
+    hold the indices of the features present; those marked ``unlabelled`` (all
+    rows if not given) are the sample of the population, those marked
+    ``positive`` the confirmed examples, a row may be both.  Whole-batch
     steps keep the estimate of the negatives' risk from turning negative by
     chance, which would stop separable examples short."""
     lengths = np.array([len(r) for r in rows])
@@ -112,7 +116,7 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prio
     theta, m, v = (np.zeros(n_features + 1) for _ in range(3))
     theta[-1] = np.log(prior / (1 - prior)) if prior < 1 else 0.0
     rng, step = np.random.default_rng(seed), 0
-    is_p, every = np.flatnonzero(positive), np.arange(len(rows))
+    is_p, every = np.flatnonzero(positive), np.arange(len(rows)) if unlabelled is None else np.flatnonzero(unlabelled)
 
     def margins(which):
         owner = np.repeat(np.arange(len(which)), lengths[which])
@@ -155,23 +159,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model()
     prior = total.p / total.n
     order = F.xxhash64("id")
-    picked = (known.where("y = 1").orderBy(order, "id").limit(max_positive)
-              .union(known.orderBy(order, "id").limit(max_unlabelled)).distinct())
+    picked = (known.where("y = 1").orderBy(order, "id").limit(max_positive).withColumn("u", F.lit(0))
+              .union(known.orderBy(order, "id").limit(max_unlabelled).withColumn("u", F.lit(1)))
+              .groupBy("id", "y").agg(F.max("u").alias("u")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sample = materialize(texts.join(F.broadcast(picked), "id"))       # at most max_positive + max_unlabelled ids
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [(f, y) for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for f in _features(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in got], pa.string()),
-                                              pa.array([y for _, y in got], pa.int32())], ["f", "y"])
+            got = [(f, y, u) for t, y, u in zip(*(c.to_pylist() for c in b.columns)) for f in _features(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _, _ in got], pa.string()), pa.array([y for _, y, _ in got], pa.int32()),
+                                              pa.array([u for _, _, u in got], pa.int32())], ["f", "y", "u"])
 
-    n = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p")).first()
+    n = sample.agg(F.sum("u").alias("u"), F.sum("y").alias("p")).first()
     if not n.p:
         return Model()
-    counts = (sample.select("text", "y").mapInArrow(listed, "f string, y int")
-              .groupBy("f").agg(F.count(F.lit(1)).alias("u"), F.sum("y").alias("p")).where(F.col("u") >= least_rows))
-    rate = F.col("u") / F.lit(n.n)
+    counts = (sample.select("text", "y", "u").mapInArrow(listed, "f string, y int, u int")
+              .groupBy("f").agg(F.sum("u").alias("u"), F.sum("y").alias("p"), F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") >= least_rows))
+    rate = (F.col("u") + 1) / F.lit((n.u or 0) + 2)          # smoothed: a feature may miss in the unlabelled sample
     spread = (F.col("p") / F.lit(n.p) - rate) / F.sqrt(rate * (1 - rate) / F.lit(n.p) + F.lit(1e-9))
     chosen = [r.f for r in counts.select("f", F.abs(spread).alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "f").limit(max_features).collect()]
     place = {f: i for i, f in enumerate(chosen)}
@@ -179,13 +185,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hits = [sorted(place[f] for f in _features(t) if f in place) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(hits, pa.list_(pa.int32()))],
-                                             ["id", "y", "hits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(hits, pa.list_(pa.int32()))],
+                                             ["id", "y", "u", "hits"])
 
-    rows = sample.select("id", "text", "y").mapInArrow(
-        present, f"id {sample.schema['id'].dataType.simpleString()}, y int, hits array<int>").orderBy("id", "hits").collect()
+    rows = sample.select("id", "text", "y", "u").mapInArrow(
+        present, f"id {sample.schema['id'].dataType.simpleString()}, y int, u int, hits array<int>").orderBy("id", "hits").collect()
     weights, bias = fit_nnpu([np.array(r.hits, np.int64) for r in rows], np.array([r.y == 1 for r in rows]),
-                             len(chosen), prior)
+                             len(chosen), prior, unlabelled=np.array([r.u == 1 for r in rows]))
     return Model({f: float(w) for f, w in zip(chosen, weights) if abs(w) > 1e-6}, bias, True)
 
 

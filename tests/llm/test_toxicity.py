@@ -59,3 +59,13 @@ def test_empty(spark):
     assert toxicity.scores(some, model).first().score == 0.0
     one = spark.createDataFrame([(9, 1)], "doc_id long, toxic int")
     assert toxicity.scores(some, toxicity.train(some, one)).first().score == 0.0
+
+
+def test_caps_below_the_labelled_rows(spark):
+    """The toxic rows added to a capped sample are no part of the unlabelled text."""
+    docs = spark.createDataFrame([(i, "plain words here" + (" idiot" if i % 7 == 0 else "")) for i in range(1400)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(1400)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_positive=180, max_unlabelled=200)
+    got = toxicity.scores(docs, model).collect()
+    assert {(r.doc_id % 7 == 0, r.predicted) for r in got} == {(True, 1), (False, 0)}
