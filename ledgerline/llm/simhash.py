@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -63,13 +63,21 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
     """One row per input row: (id_col, fp long)."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return _prints(slim, shingle_words).withColumnRenamed("id", id_col)
+
+
+def _prints(slim: DataFrame, shingle_words: int) -> DataFrame:
+    """``slim`` with fp in the place of its last column, the text."""
+    names = [*slim.columns[:-1], "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), shingle_words) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            *others, texts = batch.columns
+            fps = [fingerprint(t.as_py(), shingle_words) for t in texts]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(fps, pa.int64())], names)
 
-    return slim.mapInArrow(run, f"id {slim.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
+    types = [f"{c} {slim.schema[c].dataType.simpleString()}" for c in names[:-1]]
+    return slim.mapInArrow(run, ", ".join([*types, "fp long"]))
 
 
 def covering_masks(radius: int, stride: int = 1, bits: int = 64) -> list[int]:
@@ -175,15 +183,20 @@ def covering_links(prints: DataFrame, radius: int = 3, wide_bucket: int = 2048)
                           ["table1", "key1", "table2", "key2"], radius)))
 
 
+def _placed(classes: DataFrame, radius: int, wide_bucket: int = 2048) -> DataFrame:
+    """``classes`` (one row per fp) with the root of their component."""
+    roots = connected_components(covering_links(classes, radius, wide_bucket))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        *[classes[c] for c in classes.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                 radius: int = 3, wide_bucket: int = 2048) -> DataFrame:
     """One row per input row: id_col, fingerprint (16 hex digits), component_id
     (smallest id reachable by links, the row's own included)."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle_words).withColumnRenamed(id_col, "id"))
     classes = materialize(prints.groupBy("fp").agg(F.min("id").alias("first_id")))
-    roots = connected_components(covering_links(classes, radius, wide_bucket))
-    placed = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    placed = _placed(classes, radius, wide_bucket)
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = spread_lookup(placed.select("fp", "root"), smallest, "root", "fp").select("fp", "component_id")
     return spread_lookup(prints, named, "fp", "id").select(
@@ -192,11 +205,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                      radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each component (the smallest id; one of its
-    rows if several share it), all columns as they were."""
-    winner, nth = fresh(docs, "winner"), fresh(docs, "nth")
-    winners = (near_groups(docs, id_col, text_col, shingle_words, radius)
-               .where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(winner)))
-    kept = docs.select(*same_columns(docs)).join(winners, F.col(id_col).eqNullSafe(F.col(winner)), "left_semi")
-    one = Window.partitionBy(id_col).orderBy(id_col)
-    return kept.withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).drop(nth)
+    """``docs`` with one row of each component (the smallest id; if several of
+    its rows share it, or all its ids are null, the one whose text has the
+    smallest digest), all columns as they were."""
+    w_id, w_text, digest = (fresh(docs, c) for c in ("winner", "winner_text", "text_digest"))
+    sha = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+    slim = docs.select(F.col(id_col).alias("id"), sha.alias("digest"), F.col(text_col).cast("string").alias("text"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest"))
+    classes = materialize(_prints(slim, shingle_words).groupBy("fp").agg(first.alias("first")))
+    # equal texts are of one component: id and digest name a component's row, whatever rows share the id
+    winners = _placed(classes, radius).groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.id").alias(w_id), F.col("first.digest").alias(w_text))
+    tagged = docs.select(*same_columns(docs), sha.alias(digest))
+    kept = tagged.join(winners, F.col(id_col).eqNullSafe(F.col(w_id)) & (F.col(digest) == F.col(w_text)), "left_semi")
+    # repeated rows (same id and text): one of them, reduced in the map tasks already
+    return kept.dropDuplicates([id_col, digest]).drop(digest)

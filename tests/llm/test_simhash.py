@@ -115,3 +115,14 @@ def test_stage_and_empty(spark):
     assert sorted(map(str, (r.doc_id for r in got.collect()))) == sorted(map(str, want))
     none = spark.createDataFrame([], DOCS)
     assert simhash.near_groups(none).count() == 0 and simhash.drop_near_copies(none).count() == 0
+
+
+def test_stage_keeps_a_row_of_every_component(spark):
+    """Null ids and a shared id: the winner is chosen per component, not per id."""
+    words = lambda k, n=60: " ".join(f"{k}{i}" for i in range(n))
+    data = [(None, words("a")), (None, words("b")), (None, words("b")), (None, words("c")), (1, words("c")),
+            (5, words("d")), (5, words("e")), (2, words("e")), (7, words("f")), (7, words("g")), (7, words("g"))]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in data], DOCS)
+    got = sorted(((r.doc_id, r.text) for r in simhash.drop_near_copies(df).collect()), key=repr)
+    assert got == sorted([(None, words("a")), (None, words("b")), (1, words("c")), (5, words("d")), (2, words("e")),
+                          (7, words("f")), (7, words("g"))], key=repr)
