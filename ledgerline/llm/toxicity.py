@@ -16,7 +16,11 @@ labelled documents as unlabelled text and ``max_positive`` of the toxic ones,
 each those with the smallest hash of their id (toxic rows of the first sample
 are confirmed examples too, the second never counts as unlabelled: with it the
 unlabelled text would hold more toxic rows than the prior says), and ``max_features`` features, those whose rate differs most between the
-two (by ``least_z`` standard deviations at least, so that chance finds none).  Feature counts are aggregated by Spark; only the chosen features and the
+two samples, in standard deviations z of smoothed rates.  No z is too small to
+be learned from: a feature enters the model with the weight's scale z^2 / (z^2 +
+2 ln m), m the number of features counted, so that what chance finds among m
+features (z near sqrt(2 ln m)) moves slowly and is held down by the decay on
+small tables as on large ones.  Feature counts are aggregated by Spark; only the chosen features and the
 sample's presence lists for them come to the driver.  Every document is scored
 on its whole text.
 
@@ -103,14 +107,16 @@ def _features(text: str | None) -> set[str]:
 
 def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prior: float, epochs: int = 800,
              batches: int = 1, rate: float = 0.05, decay: float = 1e-4, seed: int = 0,
-             unlabelled: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+             unlabelled: np.ndarray | None = None, scale: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias minimising the non-negative risk by Adam.  ``rows``
     hold the indices of the features present; those marked ``unlabelled`` (all
     rows if not given) are the sample of the population, those marked
-    ``positive`` the confirmed examples, a row may be both.  Whole-batch
+    ``positive`` the confirmed examples, a row may be both.  A feature that is
+    present counts as its ``scale`` (1 if not given).  Whole-batch
     steps keep the estimate of the negatives' risk from turning negative by
     chance, which would stop separable examples short."""
     lengths = np.array([len(r) for r in rows])
+    scale = np.ones(n_features) if scale is None else scale
     flat = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)])
     theta, m, v = (np.zeros(n_features + 1) for _ in range(3))
@@ -121,11 +127,11 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prio
     def margins(which):
         owner = np.repeat(np.arange(len(which)), lengths[which])
         cols = flat[np.concatenate([np.arange(starts[i], starts[i + 1]) for i in which])] if len(which) else flat[:0]
-        g = theta[-1] + np.bincount(owner, theta[cols], len(which))
+        g = theta[-1] + np.bincount(owner, (theta[:-1] * scale)[cols], len(which))
         return 1 / (1 + np.exp(-np.clip(g, -30, 30))), owner, cols, g
 
     def back(d, owner, cols):                       # d: derivative of the risk in each margin
-        return np.append(np.bincount(cols, d[owner], n_features), d.sum())
+        return np.append(np.bincount(cols, d[owner], n_features) * scale, d.sum())
 
     for _ in range(epochs):
         for p, u in zip(np.array_split(rng.permutation(is_p), batches), np.array_split(rng.permutation(every), batches)):
@@ -141,12 +147,12 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prio
             step += 1
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             theta = theta - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return theta[:-1], float(theta[-1])
+    return theta[:-1] * scale, float(theta[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", train_rows: Column | None = None, max_positive: int = 2000,
-          max_unlabelled: int = 6000, max_features: int = 2048, least_rows: int = 4, least_z: float = 8.0) -> Model:
+          max_unlabelled: int = 6000, max_features: int = 2048, least_rows: int = 4) -> Model:
     """A model from the labelled rows for which ``train_rows`` holds (a column
     expression over ``id_col``)."""
     known = labels.select(F.col(id_col).alias(id_col), F.col(label_col).cast("int").alias("y")).where(
@@ -174,12 +180,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n = sample.agg(F.sum("u").alias("u"), F.sum("y").alias("p")).first()
     if not n.p:
         return Model()
-    counts = (sample.select("text", "y", "u").mapInArrow(listed, "f string, y int, u int")
-              .groupBy("f").agg(F.sum("u").alias("u"), F.sum("y").alias("p"), F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= least_rows))
+    counts = materialize(sample.select("text", "y", "u").mapInArrow(listed, "f string, y int, u int")
+                         .groupBy("f").agg(F.sum("u").alias("u"), F.sum("y").alias("p"), F.count(F.lit(1)).alias("n"))
+                         .where(F.col("n") >= least_rows))
     rate = (F.col("u") + 1) / F.lit((n.u or 0) + 2)          # smoothed: a feature may miss in the unlabelled sample
-    spread = (F.col("p") / F.lit(n.p) - rate) / F.sqrt(rate * (1 - rate) / F.lit(n.p) + F.lit(1e-9))
-    chosen = [r.f for r in counts.select("f", F.abs(spread).alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "f").limit(max_features).collect()]
+    z = F.abs((F.col("p") + rate) / F.lit(n.p + 1) - rate) / F.sqrt(rate * (1 - rate) / F.lit(n.p))
+    best = counts.select("f", z.alias("z")).orderBy(F.desc("z"), "f").limit(max_features).collect()
+    chosen, power = [r.f for r in best], np.array([r.z * r.z for r in best])
+    scale = power / (power + 2 * np.log(max(2, counts.count())))
     place = {f: i for i, f in enumerate(chosen)}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = sample.select("id", "text", "y", "u").mapInArrow(
         present, f"id {sample.schema['id'].dataType.simpleString()}, y int, u int, hits array<int>").orderBy("id", "hits").collect()
     weights, bias = fit_nnpu([np.array(r.hits, np.int64) for r in rows], np.array([r.y == 1 for r in rows]),
-                             len(chosen), prior, unlabelled=np.array([r.u == 1 for r in rows]))
+                             len(chosen), prior, unlabelled=np.array([r.u == 1 for r in rows]), scale=scale)
     return Model({f: float(w) for f, w in zip(chosen, weights) if abs(w) > 1e-6}, bias, True)
 
 

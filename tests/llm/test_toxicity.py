@@ -69,3 +69,16 @@ def test_caps_below_the_labelled_rows(spark):
     model = toxicity.train(docs, labels, max_positive=180, max_unlabelled=200)
     got = toxicity.scores(docs, model).collect()
     assert {(r.doc_id % 7 == 0, r.predicted) for r in got} == {(True, 1), (False, 0)}
+
+
+def test_small_tables(spark):
+    """What is learned does not vanish with the number of labelled rows."""
+    docs = spark.createDataFrame([(i, "plain words here" + (" idiot" if i % 5 == 0 else "")) for i in range(80)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(40)], "doc_id long, toxic int")
+    got = toxicity.scores(docs, toxicity.train(docs, labels)).collect()
+    assert {(r.doc_id % 5 == 0, r.predicted) for r in got} == {(True, 1), (False, 0)}
+    sf = SF.replace("sf0.1", "sf0.001")
+    got = queries.op3_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    caught = sum(r.predicted and r.toxic for r in got)
+    assert caught >= 0.9 * sum(r.toxic for r in got) and caught >= 0.95 * sum(r.predicted for r in got)
