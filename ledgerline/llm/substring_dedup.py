@@ -27,8 +27,8 @@ flagged by a join.  Nothing is sampled or dropped.
 
 Defined results: null texts have no words; documents shorter than the window
 have no repeats; a null id comes before all others; rows that repeat an id
-count as one document each, in the order of a text hash, and rows that repeat
-id and text are judged alike; an empty table gives an empty result; other
+count as one document each, in the order of a 64-bit text hash (which tells
+their texts apart), and rows that repeat id and text are judged alike; an empty table gives an empty result; other
 columns are ignored.  Ids are integers.
 """
 
@@ -128,7 +128,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     (the key of the spans), text (null where nothing can repeat), n_words,
     kept_sha256.  spans: (doc, tag, first, stop) word ranges to remove."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).select(
-        "id", F.coalesce("id", F.lit(NULL_ID)).alias("doc"), F.hash("text").alias("tag"), "text")
+        "id", F.coalesce("id", F.lit(NULL_ID)).alias("doc"), F.xxhash64("text").alias("tag"), "text")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Hashes()
@@ -151,11 +151,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                 key, start, size, _ = runs((t.as_py() or "").encode("utf-8").split(), cache, window, gram)
                 got.append((key, np.full(len(key), d), np.full(len(key), g), start, size))
             key, d, g, start, size = map(np.concatenate, zip(*got))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(d), pa.array(g.astype(np.int32)),
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(d), pa.array(g),
                                               pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))],
                                              ["mz", "doc", "tag", "start", "size"])
 
-    places = slim.select("doc", "tag", "text").mapInArrow(located, "mz long, doc long, tag int, start int, size int").join(often, "mz")
+    places = slim.select("doc", "tag", "text").mapInArrow(located, "mz long, doc long, tag long, start int, size int").join(often, "mz")
     lists = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size", "mz")).alias("l")).select(
         "doc", "tag", F.flatten(F.transform("l", lambda r: F.array(r["start"].cast("long"), r["size"].cast("long"), r["mz"]))).alias("l"))
 
@@ -173,10 +173,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                                              ["id", "doc", "tag", "text", "n_words", "kept_sha256", "l"])
 
     documents = materialize(slim.join(lists, ["doc", "tag"], "left").select("id", "doc", "tag", "text", "l").mapInArrow(
-        told, "id long, doc long, tag int, text string, n_words long, kept_sha256 string, l array<long>"))
+        told, "id long, doc long, tag long, text string, n_words long, kept_sha256 string, l array<long>"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32()]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
         for b in batches:
             rows, size = [], 0
             for d, g, t, found in zip(*(b.column(c) for c in range(4))):
@@ -192,7 +192,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
 
     names = ["mz", "seg", "doc", "tag", "start"]
     segments = documents.where("kept_sha256 IS NULL").select("doc", "tag", "text", "l").mapInArrow(
-        cut, "mz long, seg binary, doc long, tag int, start int")
+        cut, "mz long, seg binary, doc long, tag long, start int")
     return documents.drop("l"), _spans(segments, window, wide_group)
 
 
@@ -219,7 +219,7 @@ def _spans(segments: DataFrame, window: int, wide_group: int) -> DataFrame:
             which, at, n = shard_repeats(list(seg), d, g, s, window)
             first = s[which] + at
             return pa.RecordBatch.from_arrays(
-                [pa.array(d[which]), pa.array(g[which].astype(np.int32)), pa.array(first.astype(np.int32)),
+                [pa.array(d[which]), pa.array(g[which]), pa.array(first.astype(np.int32)),
                  pa.array((first + n + window - 1).astype(np.int32))], ["doc", "tag", "first", "stop"])
 
         for b in batches:
@@ -233,7 +233,7 @@ def _spans(segments: DataFrame, window: int, wide_group: int) -> DataFrame:
         if held:
             yield out()
 
-    spans = "doc long, tag int, first int, stop int"
+    spans = "doc long, tag long, first int, stop int"
     found = shards.mapInArrow(search, spans)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,9 +244,9 @@ def _spans(segments: DataFrame, window: int, wide_group: int) -> DataFrame:
                     w = seg.split(b" ")
                     rows += [(b" ".join(w[k:k + window]), d, g, s + k) for k in range(len(w) - window + 1)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    zip(*rows), (pa.binary(), pa.int64(), pa.int32(), pa.int32()))], ["seg", "doc", "tag", "start"])
+                    zip(*rows), (pa.binary(), pa.int64(), pa.int64(), pa.int32()))], ["seg", "doc", "tag", "start"])
 
-    single = flat.join(wide, "mz", "left_semi").mapInArrow(windows, "seg binary, doc long, tag int, start int")
+    single = flat.join(wide, "mz", "left_semi").mapInArrow(windows, "seg binary, doc long, tag long, start int")
     earliest = single.groupBy("seg").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
         digest.alias("digest"), "first")
     dealt = single.select(digest.alias("digest"), own.alias("own")).join(earliest, "digest").where(
@@ -262,7 +262,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if with_text:
         wide_docs, spans = repeats(docs, id_col, text_col, window, gram, wide_group)
         wide_docs = wide_docs.drop("text").join(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"),
-                                                            F.hash(F.col(text_col).cast("string")).alias("tag"),
+                                                            F.xxhash64(F.col(text_col).cast("string")).alias("tag"),
                                                             F.col(text_col).cast("string").alias("text")).distinct(), ["doc", "tag"])
         wide_docs = wide_docs.withColumn("kept_sha256", F.lit(None).cast("string")).select(
             "id", "doc", "tag", "text", "n_words", "kept_sha256")

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import queries, substring_dedup
 from ledgerline.llm.fm_index import FmIndex
@@ -101,3 +102,17 @@ def test_index_counts_patterns():
                 (text[i:i + k + 1] == text[e - k:e + 1]).all() for i in range(len(text) - k)) >= 2:
             k += 1
         assert lengths[e] == k
+
+
+def test_null_ids_with_texts_of_one_narrow_hash(spark):
+    """Texts of rows without an id are told apart by more than 32 bits."""
+    texts = spark.range(400_000).selectExpr("concat_ws(' ', transform(sequence(1, 25), k -> concat(id, 'w', k))) AS t")
+    same = texts.groupBy(F.hash("t")).agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").first()
+    data = [(None, same.a), (None, same.b), (None, same.b + " and more"), (3, same.a)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"), with_text=True).collect()
+    kept = sorted(r.kept_text for r in got if r.doc_id is None)
+    whole = sorted(t for t in kept if t)
+    # the two rows that share b's words: one of them stays whole, the other loses what it repeats
+    assert len(kept) == 3 and kept.count(same.a) == 1
+    assert whole in (sorted([same.a, same.b, "and more"]), sorted([same.a, same.b + " and more"]))
+    assert [r.kept_text for r in got if r.doc_id == 3] == [""]
