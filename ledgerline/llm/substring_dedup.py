@@ -105,7 +105,7 @@ def shard_repeats(segments: list[bytes], doc: np.ndarray, tag: np.ndarray, start
     begin = 1 + np.cumsum(sizes + 1) - (sizes + 1)                 # a separator before each segment, one at the end
     for b, r in zip(begin, rows):
         text[b:b + len(r)] = r
-    index = FmIndex(text)
+    index = FmIndex(text, depth=max(32, window))
     owner = np.repeat(np.arange(len(rows)), sizes - window + 1)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes - window + 1) - (sizes - window + 1), sizes - window + 1)
     lengths, lo, hi = index.matching_statistics(begin[owner] + inside + window - 1, window)

@@ -116,3 +116,13 @@ def test_null_ids_with_texts_of_one_narrow_hash(spark):
     assert len(kept) == 3 and kept.count(same.a) == 1
     assert whole in (sorted([same.a, same.b, "and more"]), sorted([same.a, same.b + " and more"]))
     assert [r.kept_text for r in got if r.doc_id == 3] == [""]
+
+
+@pytest.mark.parametrize("window", [40, 50])
+def test_windows_over_32(spark, window):
+    rng = random.Random(window)
+    head = [rng.choice("ab") for _ in range(34)]
+    data = [(k, " ".join(["s%d" % k, *head, *(rng.choice("ab") for _ in range(40)), *head * 2, "e%d" % k])) for k in range(30)]
+    data += [(100 + k, " ".join(data[k][1].split()[3:70])) for k in range(30)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"), window=window).collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(data, window)
