@@ -156,7 +156,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                                              ["mz", "doc", "tag", "start", "size"])
 
     places = slim.select("doc", "tag", "text").mapInArrow(located, "mz long, doc long, tag long, start int, size int").join(often, "mz")
-    lists = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "size", "mz")).alias("l")).select(
+    # sets: rows that repeat id and text have the same places, so a list is bounded by one document
+    lists = places.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "size", "mz")).alias("l")).select(
         "doc", "tag", F.flatten(F.transform("l", lambda r: F.array(r["start"].cast("long"), r["size"].cast("long"), r["mz"]))).alias("l"))
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +269,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "id", "doc", "tag", "text", "n_words", "kept_sha256")
     else:
         wide_docs, spans = repeats(docs, id_col, text_col, window, gram, wide_group)
-    lists = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "stop")).alias("l")).select(
+    lists = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("first", "stop")).alias("l")).select(
         "doc", "tag", F.flatten(F.transform("l", lambda r: F.array(r["first"], r["stop"]))).alias("l"))
     done = wide_docs.where("kept_sha256 IS NOT NULL").select(
         "id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))

@@ -126,3 +126,13 @@ def test_windows_over_32(spark, window):
     data += [(100 + k, " ".join(data[k][1].split()[3:70])) for k in range(30)]
     got = substring_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"), window=window).collect()
     assert sorted(repr(tuple(r)) for r in got) == brute(data, window)
+
+
+def test_rows_that_repeat_id_and_text_share_one_list(spark):
+    text = " ".join(map(str, range(60)))
+    df = spark.createDataFrame([(7, text)] * 200 + [(8, text)] * 200, "doc_id long, text string")
+    documents, spans = substring_dedup.repeats(df)
+    lists = spark.read.parquet(*documents.inputFiles())
+    assert lists.count() == 400 and lists.selectExpr("max(size(l))").first()[0] <= 3 * 60
+    got = substring_dedup.remove_repeats(df).collect()
+    assert sorted(tuple(r)[:3] for r in got) == [(7, 60, 0)] * 200 + [(8, 60, 60)] * 200
