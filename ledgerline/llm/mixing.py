@@ -222,32 +222,31 @@ class Mix:
         in their order (the text unchanged where all are taken, else joined by
         one space).  Documents of which nothing is taken are not in the mix."""
         docs = self.docs
-        key, nth, parts, texts = (fresh(docs, c) for c in ("mix_id", "mix_nth", "mix_parts", "mix_texts"))
-        part = F.struct("nth", "pass", "from_word", "words")
-        lists = self.drawn().groupBy("id").agg(F.sort_array(F.collect_list(part)).alias("l")).select(
-            F.col("id").alias(key), F.flatten(F.transform("l", lambda p: F.array(
-                p["nth"].cast("long"), p["pass"], p["from_word"], p["words"]))).alias(parts))
+        key, key_nth, nth, parts, texts = (fresh(docs, c) for c in ("mix_id", "mix_key", "mix_nth", "mix_parts", "mix_texts"))
+        part = F.struct("pass", "from_word", "words")
+        lists = self.drawn().groupBy("id", "nth").agg(F.sort_array(F.collect_list(part)).alias("l")).select(
+            F.col("id").alias(key), F.col("nth").alias(key_nth), F.flatten(F.transform("l", lambda p: F.array(
+                p["pass"], p["from_word"], p["words"]))).alias(parts))
         one = Window.partitionBy(self.id_col).orderBy(self._nth_key(F.col(self.text_col)), self.source_col)
         numbered = docs.select(*same_columns(docs)).withColumn(nth, F.row_number().over(one))
-        hit = numbered.join(lists, F.col(self.id_col).eqNullSafe(F.col(key)))
+        hit = numbered.join(lists, F.col(self.id_col).eqNullSafe(F.col(key)) & (F.col(nth) == F.col(key_nth)))
 
         @F.pandas_udf("array<string>")
-        def cut(text: pd.Series, which: pd.Series, flat: pd.Series) -> pd.Series:
-            return pd.Series([_passes(t, n, p) for t, n, p in zip(text, which, flat)], dtype=object)
+        def cut(text: pd.Series, flat: pd.Series) -> pd.Series:
+            return pd.Series([_passes(t, p) for t, p in zip(text, flat)], dtype=object)
 
         cast = docs.schema[self.text_col].dataType
-        out = hit.withColumn(texts, F.explode(cut(F.col(self.text_col).cast("string"), F.col(nth), F.col(parts))))
+        out = hit.withColumn(texts, F.explode(cut(F.col(self.text_col).cast("string"), F.col(parts))))
         return out.withColumn(self.text_col, F.col(texts).cast(cast)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _passes(text: str | None, nth: int, flat: np.ndarray) -> list[str]:
-    rows = np.asarray(flat, np.int64).reshape(-1, 4)
-    rows = rows[rows[:, 0] == nth]
+def _passes(text: str | None, flat: np.ndarray) -> list[str]:
+    rows = np.asarray(flat, np.int64).reshape(-1, 3)
     words, out = (text or "").encode("utf-8", "surrogatepass").split(), []       # bytes: ASCII white space only
-    for e in np.unique(rows[:, 1]):
-        mine = rows[rows[:, 1] == e]
-        if mine[:, 3].sum() == len(words):
+    for e in np.unique(rows[:, 0]):
+        mine = rows[rows[:, 0] == e]
+        if mine[:, 2].sum() == len(words):
             out.append(text)
         else:
-            out.append(b" ".join(w for _, _, a, n in mine.tolist() for w in words[a:a + n]).decode("utf-8", "surrogatepass"))
+            out.append(b" ".join(w for _, a, n in mine.tolist() for w in words[a:a + n]).decode("utf-8", "surrogatepass"))
     return out

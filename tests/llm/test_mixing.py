@@ -116,3 +116,15 @@ def test_repeated_ids_null_ids_and_empty(spark):
     assert sum(len(r.text.split()) for r in mixing.Mix(df, block_words=2).documents().collect()) == 10
     none = mixing.Mix(df.where("false"))
     assert none.taken().count() == 0 and none.documents().count() == 0
+
+
+def test_parts_of_rows_that_share_an_id_are_apart(spark):
+    docs = spark.createDataFrame([(None, " ".join(f"r{k}w{i}" for i in range(9)), "a") for k in range(40)],
+                                 "doc_id long, text string, source string")
+    mix = mixing.Mix(docs)
+    out = mix.documents()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[id#\d+L?, nth#\d+L?\], .*collect_list", plan)
+    got = [r.text.split() for r in out.collect()]
+    assert all(len({w.split("w")[0] for w in t}) == 1 for t in got)
+    assert sum(map(len, got)) == sum(r.taken for r in mix.taken().collect()) == 360
