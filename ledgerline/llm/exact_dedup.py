@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.repeat import repeat_rows
 from ..session import materialize, shuffle_partitions
 from .common import fresh, same_columns
 
@@ -99,13 +100,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     decided = own.join(spread, ["node", *KEYS], "left")
     grouped = F.col("group_size").isNotNull()
     kept_id = F.when(grouped, F.col("keep_id")).otherwise(F.col("id"))
-    one_each = decided.select(
-        F.col("id"), kept_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
-    return one_each.select(F.col("id").alias(id_col), "keep_id", "group_size",
-                           (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-                           "text_sha256")
+    told = decided.select(
+        F.col("id").alias(id_col), kept_id.alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.col("id").eqNullSafe(kept_id).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "copies")
+    # the first of the rows that repeat id and text may be kept; the others are dealt out in bounded pieces
+    others = told.where("copies > 1").withColumn("kept", F.lit(False)).withColumn("copies", F.col("copies") - 1)
+    return told.drop("copies").union(repeat_rows(others, "copies"))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

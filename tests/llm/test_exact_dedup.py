@@ -55,3 +55,13 @@ def test_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = exact_dedup.exact_groups(spark.createDataFrame(rows(), DOCS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_are_made_in_bounded_pieces(spark):
+    docs = spark.range(70_000).selectExpr("cast(null AS long) AS doc_id", "'same text' AS text").union(
+        spark.createDataFrame([(1, "other"), (1, "other"), (2, "alone")], "doc_id long, text string"))
+    df = exact_dedup.exact_groups(docs)
+    assert "sequence(1, copies" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {tuple(r) for r in df.groupBy("doc_id", "keep_id", "group_size", "kept").count().collect()}
+    assert got == {(None, None, 70_000, True, 1), (None, None, 70_000, False, 69_999), (1, 1, 2, True, 1),
+                   (1, 1, 2, False, 1), (2, 2, 1, True, 1)}
