@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, exact_dedup, language, mixing, secrets, simhash, substring_dedup, token_files, toxicity
+from . import (bpe, embeddings, exact_dedup, language, lexical, mixing, secrets, simhash, spelling, substring_dedup, suffix_dedup,
+               token_files, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +92,18 @@ def op10_bpe(spark, sf_dir):
     return token_digests(bpe.decode(bpe.encode(_documents(spark, sf_dir), path), path))
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir), window=100)
+
+
+def op12_lexical_search(spark, sf_dir):
+    return lexical.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(_documents(spark, sf_dir))
+
+
 def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
     """The digest columns of encoded and decoded rows."""
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -109,6 +122,9 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE = {
@@ -156,4 +172,56 @@ ORACLE = {
                least(e.vec_id, coalesce(f.j, e.vec_id)) = e.vec_id as kept
         from embeddings e left join first f on f.i = e.vec_id left join number n on n.i = e.vec_id
     """,
+    "op11_suffix_dedup": """
+        with b as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        win as (
+            select doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) as key
+            from (select doc_id, h, unnest(range(0, (length(h) // 2)::bigint - 99)) as i from b)),
+        again as (
+            select doc_id, i from (select doc_id, i, row_number() over (partition by key order by doc_id, i) as nth from win)
+            where nth > 1),
+        -- repeats that overlap or touch form one removed run
+        run as (
+            select doc_id, min(i) as low, max(i) + 100 as high
+            from (select doc_id, i, sum(new) over (partition by doc_id order by i) as r
+                  from (select doc_id, i, case when i - lag(i) over (partition by doc_id order by i) <= 100 then 0 else 1 end as new
+                        from again))
+            group by doc_id, r),
+        edge as (
+            select doc_id, low, high, coalesce(lag(high) over (partition by doc_id order by low), 0) as after from run),
+        part as (
+            select doc_id, string_agg(substr(h, 2 * after + 1, 2 * (low - after)), '' order by low) as kept, max(high) as last,
+                   count(*) as n_spans, sum(high - low) as n_removed
+            from edge join b using (doc_id) group by doc_id)
+        select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+               coalesce(n_spans, 0)::bigint as n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+        from b left join part using (doc_id)
+    """,
+    "op12_lexical_search": """
+        with d as (
+            select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+            from documents where text is not null),
+        size as (select doc_id, len(terms)::bigint as n from d where len(terms) > 0),
+        whole as (select count(*) as docs, sum(n)::bigint as length from size),
+        item as (
+            select distinct item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+            from benchmark),
+        tf as (
+            select doc_id, term, count(*) as tf from (select doc_id, unnest(terms) as term from d)
+            where term in (select term from item) group by doc_id, term),
+        weight as (
+            select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w
+            from (select term, count(*) as df from tf group by term), whole),
+        gain as (
+            select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))) as g
+            from tf join size using (doc_id) join weight using (term), whole),
+        score as (select item_id, doc_id, sum(g)::bigint as score from item join gain using (term) group by item_id, doc_id),
+        placed as (select item_id, row_number() over (partition by item_id order by score desc, doc_id) as nth, doc_id, score
+                   from score where score > 0)
+        select item_id, nth::integer as rank, doc_id, score from placed where nth <= 50
+    """,
 }
