@@ -87,10 +87,23 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_table_path(df.sparkSession)
     for look in ON_WRITE:
         look(df)
-    df.write.mode("errorifexists").parquet(path)
+    _shuffles_end_with_the_write(df).write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def _shuffles_end_with_the_write(df: DataFrame) -> DataFrame:
+    """``df`` with its shuffle files deleted once it is written: the table
+    holds the result, and steps of many writes would keep all their shuffles on
+    the executors' disks until the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return df.select("*")
+    finally:
+        conf.set(key, before)
+
+
 def drop_written(spark: SparkSession) -> int:
     """Delete the tables written so far.  A returned DataFrame may read one,
     so this is the caller's step once it has used its results.  Returns the
