@@ -7,17 +7,23 @@ range; see ``oracle_sql`` for the matching DuckDB formulation.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from ..functions.dates import ts_lit
+from ..operators.closure import closure, interval_index
+from ..operators.numbering import largest_key
+from ..operators.tree import walk_from_roots
 from ..session import materialize, new_table_path
-from ..sources import standins
+from ..sources import gates, standins
 from . import sales_analytics as sa
 from . import sales_basic as sb
-from . import star
+from . import star, star_load
 from . import experts as ex
 from .tree_report import tree_report
-from ..schemas import EXPERTS_XML
+from ..schemas import EXPERTS_XML, MANAGER, SALES_ORDER, SALES_ORDER_LINE
 from ..sources.checks import foreign_key_violations, key_violations
 from ..sources.tables import write_table
 from ..sources.xml import read_rows_xml, write_rows_xml
@@ -86,6 +92,10 @@ def _basic(fn, **kw):
     return lambda spark, sf_dir: fn(_sales(spark, sf_dir), **kw)
 
 
+# The questions of a second load; a declared length that some names break.
+SECOND_LOAD_FROM = "1998-01-01"
+NAME_LENGTH = 12
+
 # Fixed value: the one-day report's date, 2017-07-21 moved to the driver range.
 REPORT_DAY = "1998-07-21"
 
@@ -149,6 +159,83 @@ def s07_stored_cube(spark, sf_dir):
     return star.day_tag_report(cube, stored["dim_date"], stored["dim_tags"], day=REPORT_DAY)
 
 
+def s07_reloaded(spark, sf_dir):
+    """The load killed between detail and cube, resumed, and run a second time;
+    the one-day report answered from what is committed."""
+    qa, out = _qa(spark, sf_dir), new_table_path(spark)
+    try:
+        star_load.load_star(qa, out, stop_after="cube")
+    except star_load.Killed:
+        pass
+    star_load.load_star(qa, out)
+    star_load.load_star(qa, out)
+    stored = star_load.read_star(spark, out)
+    cube = stored["fact_questioned"].where("row_kind = 'cube'")
+    return star.day_tag_report(cube, stored["dim_date"], stored["dim_tags"], day=REPORT_DAY)
+
+
+def s07_load_record(spark, sf_dir):
+    """Rows of each step after a killed, a resumed and a second run, as recorded and as stored."""
+    from pyspark.sql import functions as F
+    qa, out = _qa(spark, sf_dir), new_table_path(spark)
+    for stop in ("detail", "cube", None, None):
+        try:
+            star_load.load_star(qa, out, stop_after=stop)
+        except star_load.Killed:
+            pass
+    stored = star_load.read_star(spark, out)
+    fact = stored["fact_questioned"]
+    rows = [stored["dim_date"].select(F.lit("dim_date").alias("step")), stored["dim_tags"].select(F.lit("dim_tags").alias("step")),
+            fact.select(F.col("row_kind").alias("step"))]
+    counted = reduce(DataFrame.union, rows).groupBy("step").agg(F.count(F.lit(1)).alias("n_stored"))
+    recorded = spark.createDataFrame([(r.step, r.n_rows) for r in star_load.commits(spark, out)], "step string, n_recorded long")
+    return recorded.join(counted, "step")
+
+
+def s13_keys_continue(spark, sf_dir):
+    """Two loads of facts, the second numbered after the first one's largest
+    key: one row per load, and the keys of both together."""
+    from pyspark.sql import functions as F
+    qa = _qa(spark, sf_dir)
+    qt = materialize(star.question_tags(qa))
+    dd, dt = star.date_dimension(qa), materialize(star.tag_dimension(qt))
+    early = F.col("q_creation_date") < ts_lit(SECOND_LOAD_FROM)
+    first = materialize(star.fact_detail(qt.where(early), dd, dt))
+    second = materialize(star.fact_detail(qt.where(~early | early.isNull()), dd, dt, after=largest_key(first, "fact_id")))
+    both = first.select(F.lit(1).alias("load_no"), "fact_id").union(second.select(F.lit(2).alias("load_no"), "fact_id"))
+    return both.groupBy("load_no").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("fact_id").alias("n_ids"),
+        F.min("fact_id").alias("first_id"), F.max("fact_id").alias("last_id"))
+
+
+def s08_gate_report(spark, sf_dir):
+    """What the gates say of four tables: rows that break each declared rule."""
+    qa, sales = _qa(spark, sf_dir), _sales(spark, sf_dir)
+    rules = [
+        (gates.Rules("sales_order", SALES_ORDER, "sales_order_id", foreign={"manager_id": (sales["manager"], "manager_id")}),
+         sales["sales_order"]),
+        (gates.Rules("sales_order_line", SALES_ORDER_LINE, "order_line_id", foreign={
+            "sales_order_id": (sales["sales_order"], "sales_order_id"), "product_id": (sales["product"], "product_id")}),
+         sales["sales_order_line"]),
+        (gates.Rules("manager", MANAGER, "manager_id", {"manager_last_name": NAME_LENGTH}, ("manager_first_name",),
+                     {"office_id": (sales["office"], "office_id")}), sales["manager"]),
+        (gates.Rules("tagsynonyms", StructType([]), unique=("sourcetagname",), foreign={"targettagname": (qa["tags"], "tagname")}),
+         qa["tagsynonyms"]),
+    ]
+    reports = []
+    for rule, df in rules:
+        seen_df, seen = gates.watched(df, rule)
+        reports.append(gates.report(rule, materialize(seen_df), seen))
+    return gates.as_table(spark, reports)
+
+
+def r32_closure(spark, sf_dir):
+    """The walks from every directory: (root, node, level)."""
+    nodes = standins.file_system(spark, sf_dir)
+    index = materialize(interval_index(walk_from_roots(nodes, carry=("type",))))
+    return closure(index, index.where("type = 'dir'").select("id"))
+
+
 def r10(spark, sf_dir):
     return star.missing_synonym_targets(_qa(spark, sf_dir), r06(spark, sf_dir))
 
@@ -280,6 +367,11 @@ QUERIES: dict[str, Query] = {
     "s12_order_line_key_check": s12_line_ids,
     "s07_fact_id_check": s07_fact_ids,
     "s07_stored_cube_report": s07_stored_cube,
+    "s07_reloaded_cube_report": s07_reloaded,
+    "s07_load_record": s07_load_record,
+    "s08_load_gate_report": s08_gate_report,
+    "s13_fact_keys_continue": s13_keys_continue,
+    "r32c_tree_closure": r32_closure,
     "s01_xml_experts": s01_xml,
     "r01t_topic_experts_table": r01_table,
     "r01v_topic_experts_exact_tag": r01_exact,

@@ -11,12 +11,13 @@ from __future__ import annotations
 import datetime
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, trunc_day, ts_lit
 from ..operators.calendar import calendar_covering
 from ..operators.cube import combined_rounded_avg, cube_agg
+from ..operators.numbering import numbered
 from ..schemas import DIM_DATE, DIM_TAGS, FACT_QUESTIONED
 from ..session import materialize
 from ..sources.checks import checked
@@ -73,13 +74,13 @@ def tag_dimension(question_tag: DataFrame) -> DataFrame:                       #
 
 
 def fact_detail(question_tag: DataFrame, dim_date: DataFrame, dim_tags: DataFrame,
-                with_fact_id: bool = True) -> DataFrame:                         # R7
+                with_fact_id: bool = True, after: Column | int = 0) -> DataFrame:                         # R7
     """Date key from the day-level calendar (the level filter is applied to
     the dimension *before* the left join, so unmatched questions stay), tag
     key by name with the unknown-member default (as written, D20).
 
-    ``fact_id`` is a unique surrogate (the reference's sequence order is
-    arbitrary too); it is not consecutive."""
+    ``fact_id`` is numbered without gaps from ``after`` + 1 on, in a fixed
+    order (the reference's sequence order is arbitrary)."""
     days = dim_date.filter(F.col("date_lvl") == 1).select("dim_date_id", "date_val")
     tags = dim_tags.select("dim_tag_id", "tag_name")
     f = (question_tag
@@ -87,7 +88,8 @@ def fact_detail(question_tag: DataFrame, dim_date: DataFrame, dim_tags: DataFram
          .join(tags, F.coalesce("q_tag_name", F.lit(NO_TAG_NAME)) == tags.tag_name, "left"))
     cols = [F.col("dim_date_id").alias("d_date_id"), F.col("dim_tag_id").alias("d_tag_id")]
     if with_fact_id:
-        cols.append((F.monotonically_increasing_id() + 1).alias("fact_id"))
+        f = numbered(f, ["q_id", "q_tag_id", "dim_tag_id", "dim_date_id"], "fact_id", after)
+        cols.append(F.col("fact_id"))
     cols += [F.col("q_viewcount").alias("views_amount"), F.col("q_answercount").alias("answers_amount"),
              F.lit(1).cast("long").alias("total_amount"), F.col("q_score").alias("score")]
     return f.select(*cols)

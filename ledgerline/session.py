@@ -104,6 +104,12 @@ def _shuffles_end_with_the_write(df: DataFrame) -> DataFrame:
         conf.set(key, before)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store Spark reaches."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def drop_written(spark: SparkSession) -> int:
     """Delete the tables written so far.  A returned DataFrame may read one,
     so this is the caller's step once it has used its results.  Returns the
