@@ -5,7 +5,11 @@ parent_id by pointer jumping: every node keeps a pointer to an ancestor; each
 round joins the nodes whose pointer is still open with their pointer's row, so
 the distance covered doubles per round.  Nodes that reached the top are set
 aside and written once; a round only joins and writes the open ones (finished
-nodes would all meet on one NULL key).
+nodes would all meet on one NULL key).  Pointers are compacted first: the
+children of one directory share a pointer, which is resolved once for each of
+a fixed number of slots (a hash of the child's id), and rows then join on
+(pointer, slot).  A directory that holds most of all nodes is thus dealt over
+all slots.
 
 The first pass jumps on (id, ancestor) alone.  A node still open after
 log2(nodes) + 1 rounds is on or under a cycle, and :class:`CycleError` is
@@ -31,7 +35,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, shuffle_partitions
 from .rank import exclusive_prefix_sum
 
 MAX_ID = 9223372036854775807   # sorts after every real id in a pre-order key
@@ -77,13 +81,18 @@ def _jump(rows: DataFrame, combine: Callable, rounds: int) -> tuple[DataFrame, D
     row takes from its pointer's row; the others stay its own."""
     done, open_ = [rows.filter(F.col("anc").isNull())], rows.filter(F.col("anc").isNotNull())
     taken = [c for c in combine(F.col, F.col)]
+    slots = max(8, shuffle_partitions(rows.sparkSession))
     for _ in range(rounds):
         if open_.isEmpty():
             return reduce(DataFrame.unionByName, done), None
         above = reduce(DataFrame.unionByName, [*done, open_]).select(
             F.col("id").alias("_id"), F.col("anc").alias("_anc"), *[F.col(c).alias("_" + c) for c in taken])
         new = combine(F.col, lambda c: F.col("_" + c))
-        step = materialize(open_.join(above, F.col("anc") == F.col("_id")).select(
+        dealt = open_.withColumn("_slot", F.pmod(F.xxhash64("id"), F.lit(slots)))
+        # a pointer is resolved once for each slot that holds it, then spread back over the slot's rows
+        pointers = dealt.groupBy(F.col("anc").alias("_to"), F.col("_slot").alias("_at")).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+        resolved = pointers.join(above, F.col("_to") == F.col("_id")).drop("_id")
+        step = materialize(dealt.join(resolved, (F.col("anc") == F.col("_to")) & (F.col("_slot") == F.col("_at"))).select(
             "id", F.col("_anc").alias("anc"), *[new[c].alias(c) if c in new else F.col(c)
                                                 for c in rows.columns if c not in ("id", "anc")]))
         done.append(step.filter(F.col("anc").isNull()))

@@ -2,6 +2,7 @@
 a cycle, and a chain deeper than the built-in recursion limit."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators.tree import CycleError, walk_from_roots
 from ledgerline.plans.tree_report import tree_report
@@ -56,3 +57,26 @@ def test_cycle_in_a_large_forest_raises_before_paths_grow(spark):
         written = spark.read.parquet(path)
         if "path_ids" in written.columns:
             assert written.agg(F.max(F.size("path_ids"))).first()[0] <= 1
+
+
+def test_a_directory_with_most_of_the_nodes_is_dealt_over_slots(spark):
+    """90% of the nodes under one parent: no task of a round reads a large share of them."""
+    import ledgerline.session as session
+    n = 20_000
+    rows = spark.range(1, n + 1).select(
+        "id", F.when(F.col("id") == 1, None).when(F.col("id") < n // 10, F.lit(1)).otherwise(F.lit(7)).cast("long").alias("parent_id"),
+        F.concat(F.lit("n"), "id").alias("name"), F.lit("dir").alias("type"), F.lit(1).cast("long").alias("file_size"))
+    legs = []
+    look = lambda df: legs.append(df)
+    session.ON_WRITE.append(look)
+    try:
+        walked = walk_from_roots(rows)
+    finally:
+        session.ON_WRITE.remove(look)
+    assert {(r.level, r["count"]) for r in walked.groupBy("level").count().collect()} == {
+        (1, 1), (2, n // 10 - 2), (3, n - n // 10 + 1)}
+    keys = [df._jdf.queryExecution().executedPlan().toString() for df in legs[1:]]
+    assert keys and all("_slot" in plan for plan in keys)
+    slots = max(8, session.shuffle_partitions(spark))
+    largest = rows.groupBy("parent_id", F.pmod(F.xxhash64("id"), F.lit(slots))).count().agg(F.max("count")).first()[0]
+    assert largest < 1.5 * n / slots
