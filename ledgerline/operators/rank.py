@@ -61,27 +61,59 @@ def top_k_by_rank(df: DataFrame, group_by: list[str], value: str, k: int,
     return out.drop(*[prefix + c for c in [*group_by, value]])
 
 
+SAMPLES = 64        # sampled keys a range
+
+
+def range_bounds(df: DataFrame, order_col: str, ranges: int) -> Column:
+    """The sorted keys that cut ``df`` into about equal ranges, as a scalar
+    subquery: an array of at most ``ranges - 1`` keys.  They come from a sample
+    of about ``SAMPLES`` keys a range, chosen by hash, so that every evaluation
+    sees the same ones."""
+    every = max(1, df.count() // (SAMPLES * ranges))
+    sample = df.where(F.pmod(F.xxhash64(order_col), F.lit(every)) == 0)
+    keys = sample.select(F.sort_array(F.collect_list(order_col)).alias("_keys"))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get(
+        "_keys", F.floor(i * F.size("_keys") / ranges).cast("int")))
+    return keys.select(F.filter(cuts, lambda c: c.isNotNull())).scalar()
+
+
+def range_number(key: str, bounds: str, ranges: int) -> Column:
+    """How many keys of the column ``bounds`` are at most the key, by binary search."""
+    steps = max(1, ranges).bit_length()
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        above = F.get(at["bounds"], middle) <= F.col(key)
+        more = at["low"] < at["high"]
+        return F.struct(F.when(more & above, middle + 1).otherwise(at["low"]).alias("low"),
+                        F.when(more & ~F.coalesce(above, F.lit(False)), middle).otherwise(at["high"]).alias("high"),
+                        at["bounds"].alias("bounds"))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"), F.col(bounds).alias("bounds"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["low"]
+
+
 def exclusive_prefix_sum(df: DataFrame, order_col: str, weight, out,
                          num_ranges: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over all rows strictly before this one
     in the global order of ``order_col`` (values must be distinct).
 
-    Rows are range-partitioned on the order column (sampled bounds, so every
-    range holds about 1/num_ranges of the rows) and written as a table in
-    the shared checkpoint folder, so the range assignment is fixed data.
-    Per-range sums become per-range offsets - one row per range, a table
-    bounded by ``num_ranges`` that is broadcast - and each row adds the
-    running sum inside its own range.  No step sorts the whole
-    input in one task, unlike ``Window.orderBy`` without a partition.
-    ``weight`` and ``out`` may be lists of equal length (several sums in one
-    pass).
+    Rows are cut into ranges of the order column by sampled bounds
+    (:func:`range_bounds`), so every range holds about 1/num_ranges of the
+    rows, and the range is a function of the row.  Per-range sums become
+    per-range offsets - one row per range, a table bounded by ``num_ranges``
+    that is broadcast - and each row adds the running sum inside its own
+    range.  The rows are exchanged once, and no step sorts the whole input in
+    one task, unlike ``Window.orderBy`` without a partition.
+    ``df`` is evaluated three times (sample, sums, result): callers pass rows
+    of a written table.  ``weight`` and ``out`` may be lists of equal length
+    (several sums in one pass).
     """
     weights = [weight] if isinstance(weight, str) else list(weight)
     outs = [out] if isinstance(out, str) else list(out)
-    spark = df.sparkSession
-    ranges = num_ranges or max(2, shuffle_partitions(spark))
-    ranged = df.repartitionByRange(ranges, F.col(order_col)).withColumn("_range", F.spark_partition_id())
-    ranged = materialize(ranged)
+    ranges = num_ranges or max(2, shuffle_partitions(df.sparkSession))
+    ranged = df.withColumn("_bounds", range_bounds(df, order_col, ranges)).withColumn(
+        "_range", range_number(order_col, "_bounds", ranges)).drop("_bounds")
     per_range = ranged.groupBy("_range").agg(*[F.sum(w).alias(f"_range_sum{i}") for i, w in enumerate(weights)])
     before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
@@ -107,7 +139,7 @@ def group_medians(df: DataFrame, group: str, value: str, n: str, out: str) -> Da
     value) order, which splits a hot group over ranges, and the one or two
     middle rows are picked by their position."""
     key = F.struct(F.col(group).alias("group"), F.col(value).alias("value"))
-    rows = df.filter(F.col(value).isNotNull()).select(key.alias("_key"), F.col(n).alias("_n"))
+    rows = materialize(df.filter(F.col(value).isNotNull()).select(key.alias("_key"), F.col(n).alias("_n")))
     placed = exclusive_prefix_sum(rows, "_key", "_n", "_before").select(
         F.col("_key.group").alias("group"), F.col("_key.value").alias("value"), "_n", "_before")
     totals = placed.groupBy("group").agg(F.sum("_n").alias("_total"), F.min("_before").alias("_base")).withColumnRenamed(
@@ -134,8 +166,7 @@ def global_percent_rank(df: DataFrame, value: str, out: str,
     """
     n_rows = df.select(F.count(F.lit(1))).scalar()
     non_null_rows = df.select(F.count(F.col(value))).scalar()
-    distinct_values = (df.filter(F.col(value).isNotNull())
-                       .groupBy(value).agg(F.count(F.lit(1)).alias("_mult")))
+    distinct_values = materialize(df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_mult")))
     below = (exclusive_prefix_sum(distinct_values, value, "_mult", "_below", num_ranges)
              .select(F.col(value).alias("_pr_value"), "_below"))
     joined = df.join(below, df[value] == below["_pr_value"], "left")

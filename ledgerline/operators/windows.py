@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arith import safe_ratio
+from ..session import materialize
 
 
 def _keys_equal(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
@@ -96,7 +97,7 @@ def trailing_range_sum(df: DataFrame, keys: list[str], order: str, value: str, l
         return F.struct(*[F.col(k) for k in keys], at.alias("_at"), F.lit(kind).alias("_kind"),
                         F.col(order).alias("_row"))
 
-    rows = df.select(*keys, order, value, lower.alias("_lower"))
+    rows = materialize(df.select(*keys, order, value, lower.alias("_lower")))
     # one pass over the input: each row emits its value and its two probes
     events = rows.select(F.explode(F.array(
         F.struct(key(F.col(order), 0).alias("_key"), w.alias("_w"), c.alias("_c"), F.lit(0).alias("_probe")),
