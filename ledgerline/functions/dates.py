@@ -41,6 +41,12 @@ def parse_dmy_dots(s: Column | str) -> Column:
     return F.to_date(s, "dd.MM.yyyy")
 
 
+def try_dots(s: Column | str) -> Column:
+    """A date of either dotted form, NULL where the text is neither."""
+    at = lambda form: F.try_to_timestamp(s, F.lit(form))
+    return F.coalesce(at("yyyy.MM.dd"), at("dd.MM.yyyy")).cast("date")
+
+
 def trunc_day(c: Column | str) -> Column:
     """Oracle ``trunc(d, 'DD')``: the date part (Spark's ``trunc`` has no day unit)."""
     return F.to_date(c)

@@ -28,7 +28,8 @@ def topic_experts_sql_form(posts: DataFrame, users: DataFrame, topic: str = "had
     """Questions are type 1 whose tag string contains ``topic`` (a
     substring test, D4: 'hadoop' also matches longer tag names; ``exact_tag``
     is the variant matching one whole ``<tag>``).  Sum of answer scores and
-    number of answers per located owner, highest score first."""
+    number of answers per located owner, highest score first (owners whose
+    scores are all NULL come last, as in the engines of the original, D28)."""
     tag_test = (F.col("_Tags").contains(f"<{topic}>") if exact_tag else F.col("_Tags").contains(topic))
     questions = posts.filter((F.col("_PostTypeId") == 1) & tag_test).select(F.col("_Id").alias("q_id"))
     located = users.filter(contains_any("_Location", locations)).select(
@@ -37,7 +38,7 @@ def topic_experts_sql_form(posts: DataFrame, users: DataFrame, topic: str = "had
     joined = located.join(_per_owner(posts, questions, "q_id"), F.col("_Id") == F.col("owner"), "inner")
     return (joined.groupBy("location", "display_name", "account_id")
             .agg(F.sum("score").alias("sum_scr"), F.sum("answers").alias("answered_num"))
-            .orderBy(F.col("sum_scr").desc()))
+            .orderBy(F.col("sum_scr").desc_nulls_last()))
 
 
 def _per_owner(posts: DataFrame, questions: DataFrame, key: str) -> DataFrame:
@@ -61,7 +62,7 @@ def topic_experts(posts: DataFrame, users: DataFrame, topic: str = "brewing",
     joined = located.join(_per_owner(posts, ids, "value"), F.col("_Id") == F.col("owner"), "inner")
     return (joined.groupBy("_DisplayName", "_AccountId", "_Location")
             .agg(F.sum("score").alias("sum_score"))
-            .orderBy(F.col("sum_score").desc()))
+            .orderBy(F.col("sum_score").desc_nulls_last()))
 
 
 def run_expert_job(spark: SparkSession, posts_path: str, users_path: str, output_path: str,

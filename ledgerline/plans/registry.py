@@ -12,21 +12,24 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..functions.dates import ts_lit
+from ..functions.dates import trunc_month, ts_lit
+from ..operators.calendar import calendar_covering
 from ..operators.closure import closure, interval_index
 from ..operators.numbering import largest_key
 from ..operators.tree import walk_from_roots
-from ..session import materialize, new_table_path
+from ..session import held_by, materialize, new_table_path
 from ..sources import gates, standins
 from . import sales_analytics as sa
 from . import sales_basic as sb
-from . import star, star_load
+from . import sales_sql, star, star_load
 from . import experts as ex
 from .tree_report import tree_report
-from ..schemas import EXPERTS_XML, MANAGER, SALES_ORDER, SALES_ORDER_LINE
+from ..schemas import EXPERTS_XML, MANAGER, POSTS_XML, SALES_ORDER, SALES_ORDER_LINE
 from ..sources.checks import foreign_key_violations, key_violations
 from ..sources.tables import write_table
-from ..sources.xml import read_rows_xml, write_rows_xml
+from ..sources.text_dates import with_dates
+from ..sources.views import run_sql
+from ..sources.xml import read_rows_xml, read_rows_xml_checked, write_rows_xml
 from .sales_fact import VIEW_COLUMNS, v_fact_sale
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,10 +156,11 @@ def r09(spark, sf_dir):
 def s07_stored_cube(spark, sf_dir):
     """The whole load: dimensions, detail and cube rows written as tables, the
     one-day report answered from the stored cube rows."""
-    paths = star.run_star_etl(_qa(spark, sf_dir), new_table_path(spark))
+    out = new_table_path(spark)
+    paths = star.run_star_etl(_qa(spark, sf_dir), out)
     stored = {n: spark.read.parquet(p) for n, p in paths.items()}
     cube = stored["fact_questioned"].where("row_kind = 'cube'")
-    return star.day_tag_report(cube, stored["dim_date"], stored["dim_tags"], day=REPORT_DAY)
+    return held_by(star.day_tag_report(cube, stored["dim_date"], stored["dim_tags"], day=REPORT_DAY), out)
 
 
 def s07_reloaded(spark, sf_dir):
@@ -171,7 +175,7 @@ def s07_reloaded(spark, sf_dir):
     star_load.load_star(qa, out)
     stored = star_load.read_star(spark, out)
     cube = stored["fact_questioned"].where("row_kind = 'cube'")
-    return star.day_tag_report(cube, stored["dim_date"], stored["dim_tags"], day=REPORT_DAY)
+    return held_by(star.day_tag_report(cube, stored["dim_date"], stored["dim_tags"], day=REPORT_DAY), out)
 
 
 def s07_load_record(spark, sf_dir):
@@ -189,7 +193,7 @@ def s07_load_record(spark, sf_dir):
             fact.select(F.col("row_kind").alias("step"))]
     counted = reduce(DataFrame.union, rows).groupBy("step").agg(F.count(F.lit(1)).alias("n_stored"))
     recorded = spark.createDataFrame([(r.step, r.n_rows) for r in star_load.commits(spark, out)], "step string, n_recorded long")
-    return recorded.join(counted, "step")
+    return held_by(recorded.join(counted, "step"), out)
 
 
 def s13_keys_continue(spark, sf_dir):
@@ -229,6 +233,66 @@ def s08_gate_report(spark, sf_dir):
     return gates.as_table(spark, reports)
 
 
+def s01_rejects(spark, sf_dir):
+    """Posts as XML text in which some records are malformed: rows read and
+    records refused, with the scores that were read."""
+    from pyspark.sql import functions as F
+    posts, _ = _experts(spark, sf_dir)
+    attribute = lambda name: F.when(F.col(f"_{name}").isNotNull(), F.concat(
+        F.lit(f' {name}="'), F.col(f"_{name}").cast("string"), F.lit('"'))).otherwise(F.lit(""))
+    fields = F.concat(*[attribute(f.name[1:]) for f in POSTS_XML.fields if f.name != "_Score"])
+    score = F.col("_Score").cast("string")
+    line = (F.when(F.col("_Id") % 97 == 0, F.concat(F.lit("<row"), fields, F.lit(' Score="n/a"/>')))
+            .when(F.col("_Id") % 89 == 0, F.concat(F.lit("<row"), fields, F.lit(" Score="), score, F.lit("/>")))
+            .when(F.col("_Id") % 83 == 0, F.concat(F.lit("<row"), fields, F.lit(' Score="'), score, F.lit('" Score="0"/>')))
+            .otherwise(F.concat(F.lit("<row"), fields, F.lit(' Score="'), score, F.lit('"/>'))))
+    path = new_table_path(spark)
+    posts.select(line.alias("value")).write.text(path)
+    rows, rejects = read_rows_xml_checked(spark, path, POSTS_XML)
+    held_by(rows, path)
+    return rows.agg(F.lit("read").alias("kind"), F.count(F.lit(1)).alias("n_rows"), F.sum("_Score").alias("sum_score")).union(
+        rejects.agg(F.lit("refused").alias("kind"), F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("long").alias("sum_score")))
+
+
+def _text_dates(spark, sf_dir):
+    """Order dates as text: one form for even ids, the other for odd ones, and broken ones."""
+    from pyspark.sql import functions as F
+    order = F.col("sales_order_id")
+    text = (F.when(order % 97 == 0, F.date_format("order_date", "yyyy.MM.dd").substr(F.lit(1), F.lit(7)))
+            .when(order % 89 == 0, F.concat(F.lit("31.02."), F.year("order_date").cast("string")))
+            .when(order % 2 == 0, F.date_format("order_date", "yyyy.MM.dd")).otherwise(F.date_format("order_date", "dd.MM.yyyy")))
+    return with_dates(_sales(spark, sf_dir)["sales_order"].select("sales_order_id", text.alias("date_text")), "date_text", "order_day")
+
+
+def f01_text_dates(spark, sf_dir):
+    """Orders by the month of a date that arrived as text, on the calendar made from those dates."""
+    from pyspark.sql import functions as F
+    rows, _ = _text_dates(spark, sf_dir)
+    months = calendar_covering(rows, "order_day").where("date_lvl = 2")
+    counted = rows.groupBy(trunc_month("order_day").alias("month")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return months.join(counted, months["date_val"] == counted["month"], "left").select(
+        "dim_date_id", "date_val", F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
+
+
+def f02_text_date_rejects(spark, sf_dir):
+    """The texts that are no date, and their rows."""
+    from pyspark.sql import functions as F
+    _, rejects = _text_dates(spark, sf_dir)
+    return rejects.groupBy("date_text").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+def r20_sql(spark, sf_dir):
+    return run_sql(spark, sales_sql.QUANTITY_SOLD, _sales(spark, sf_dir), after="1995-12-31", before="1996-01-31")
+
+
+def r22_sql(spark, sf_dir):
+    return run_sql(spark, sales_sql.BEST_MANAGERS, _sales(spark, sf_dir), after="1995-12-31", before="1996-02-01")
+
+
+def r27_sql(spark, sf_dir):
+    return run_sql(spark, sales_sql.RUNNING_TOTALS, _sales(spark, sf_dir), first="1996-01-01", last="1996-12-31")
+
+
 def r32_closure(spark, sf_dir):
     """The walks from every directory: (root, node, level)."""
     nodes = standins.file_system(spark, sf_dir)
@@ -304,7 +368,7 @@ def r01_table(spark, sf_dir):
     """R1's result created as a table, and read back."""
     path = new_table_path(spark)
     write_table(r01(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return held_by(spark.read.parquet(path), path)
 
 
 def r01_exact(spark, sf_dir):
@@ -320,7 +384,7 @@ def s01_xml(spark, sf_dir):
     write_rows_xml(posts, f"{base}/posts", root_tag="posts")
     write_rows_xml(users, f"{base}/users", root_tag="users")
     ex.run_expert_job(spark, f"{base}/posts", f"{base}/users", f"{base}/out", topic=TOPIC, locations=LOCATIONS)
-    return read_rows_xml(spark, f"{base}/out", EXPERTS_XML)
+    return held_by(read_rows_xml(spark, f"{base}/out", EXPERTS_XML), base)
 
 
 def r32(spark, sf_dir):
@@ -372,6 +436,12 @@ QUERIES: dict[str, Query] = {
     "s08_load_gate_report": s08_gate_report,
     "s13_fact_keys_continue": s13_keys_continue,
     "r32c_tree_closure": r32_closure,
+    "s01r_xml_rejects": s01_rejects,
+    "f01_text_dates": f01_text_dates,
+    "f02_text_date_rejects": f02_text_date_rejects,
+    "r20q_quantity_sold_sql_text": r20_sql,
+    "r22q_best_managers_sql_text": r22_sql,
+    "r27q_running_totals_sql_text": r27_sql,
     "s01_xml_experts": s01_xml,
     "r01t_topic_experts_table": r01_table,
     "r01v_topic_experts_exact_tag": r01_exact,

@@ -49,8 +49,30 @@ def attach_product(df: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
     return df.join(p, "product_id", "left")
 
 
-def v_fact_sale(t: dict[str, DataFrame]) -> DataFrame:
-    """All 17 columns, in the view's order.
+#: The view's columns by the dimension that supplies them, and the dimension whose row holds its key.
+SUPPLIED = {"product": (("product_name",), None),
+            "manager": (("manager_first_name", "manager_last_name", "office_id"), None),
+            "office": (("office_name", "city_id"), "manager"),
+            "city": (("city_name", "country", "region"), "office")}
+DIMENSION_KEYS = {"product": "product_id", "manager": "manager_id", "office": "office_id", "city": "city_id"}
+
+
+def dimensions_for(columns) -> list[str]:
+    """The dimensions that a reader of ``columns`` of the view needs.  Their
+    keys are declared primary keys and the joins are left joins, so leaving
+    out the others changes no row."""
+    need = set()
+    for name, (supplied, _) in SUPPLIED.items():
+        if set(supplied) & set(columns):
+            while name:
+                need.add(name)
+                name = SUPPLIED[name][1]
+    return [d for d in SUPPLIED if d in need]
+
+
+def v_fact_sale(t, columns=tuple(VIEW_COLUMNS)) -> DataFrame:
+    """The view: all 17 columns in its order, or just ``columns``, without the
+    joins of dimensions that supply none of them.
 
     The view's chain lines LEFT JOIN orders LEFT JOIN manager LEFT JOIN
     office LEFT JOIN city is re-associated as lines LEFT JOIN (orders LEFT
@@ -58,16 +80,18 @@ def v_fact_sale(t: dict[str, DataFrame]) -> DataFrame:
     comes from the orders side, so the rows are the same, and the manager,
     office and city joins run over orders instead of over every line - one
     fact-sized shuffle fewer."""
-    so = t["sales_order"].select("sales_order_id", "order_date", "manager_id")
-    orders = attach_office(attach_manager(so, t), t)
-    ol = t["sales_order_line"]
-    df = ol.join(orders, "sales_order_id", "left").select(
+    orders = t["sales_order"].select("sales_order_id", "order_date", "manager_id")
+    need = dimensions_for(columns)
+    for name in need:
+        if name != "product":
+            orders = orders.join(t[name].select(DIMENSION_KEYS[name], *SUPPLIED[name][0]), DIMENSION_KEYS[name], "left")
+    df = t["sales_order_line"].join(orders, "sales_order_id", "left").select(
         F.col("order_line_id").alias("fact_id"), "product_id", "sales_order_id", "manager_id",
-        "manager_first_name", "manager_last_name", "office_id", "office_name", "city_id", "city_name",
-        "country", "region", F.col("product_qty").alias("sale_qty"), F.col("product_price").alias("sale_price"),
+        *[c for name in need if name != "product" for c in SUPPLIED[name][0]],
+        F.col("product_qty").alias("sale_qty"), F.col("product_price").alias("sale_price"),
         (F.col("product_qty") * F.col("product_price")).alias("sale_amount"),
         F.col("order_date").alias("sale_date"))
-    return attach_product(df, t).select(*VIEW_COLUMNS)
+    return (attach_product(df, t) if "product" in need else df).select(*[c for c in VIEW_COLUMNS if c in columns])
 
 
 def in_period(col: str, start, end) -> F.Column:

@@ -25,6 +25,8 @@ Mapping (fixed rules, documented in README):
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,43 +38,60 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
+class Tables(Mapping):
+    """Tables by name, each made when it is first asked for: a report opens
+    only the files it reads."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 # ---------------------------------------------------------------- sales ----
-def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    orders = _t(spark, sf_dir, "orders")
-    lineitem = _t(spark, sf_dir, "lineitem")
-    customer = _t(spark, sf_dir, "customer")
-    nation = _t(spark, sf_dir, "nation")
-    region = _t(spark, sf_dir, "region")
-    part = _t(spark, sf_dir, "part")
-    sales_order = orders.select(
-        F.col("o_orderkey").cast("long").alias("sales_order_id"),
-        F.col("o_orderdate").alias("order_date"),
-        F.col("o_custkey").cast("long").alias("manager_id"))
-    sales_order_line = lineitem.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("order_line_id"),
-        F.col("l_orderkey").cast("long").alias("sales_order_id"),
-        F.col("l_partkey").cast("long").alias("product_id"),
-        F.col("l_quantity").cast(MONEY).alias("product_qty"),
-        F.col("l_extendedprice").cast(MONEY).alias("product_price"))
-    manager = customer.select(
-        F.col("c_custkey").cast("long").alias("manager_id"),
-        F.col("c_mktsegment").alias("manager_first_name"),
-        F.col("c_name").alias("manager_last_name"),
-        F.col("c_nationkey").cast("long").alias("office_id"))
-    office = nation.select(
-        F.col("n_nationkey").cast("long").alias("office_id"),
-        F.concat(F.lit("OFFICE_"), F.col("n_name")).alias("office_name"),
-        F.col("n_nationkey").cast("long").alias("city_id"))
-    city = (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+def sales_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    source = lambda name: _t(spark, sf_dir, name)
+    return Tables({
+        "sales_order": lambda: source("orders").select(
+            F.col("o_orderkey").cast("long").alias("sales_order_id"),
+            F.col("o_orderdate").alias("order_date"),
+            F.col("o_custkey").cast("long").alias("manager_id")),
+        "sales_order_line": lambda: source("lineitem").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("order_line_id"),
+            F.col("l_orderkey").cast("long").alias("sales_order_id"),
+            F.col("l_partkey").cast("long").alias("product_id"),
+            F.col("l_quantity").cast(MONEY).alias("product_qty"),
+            F.col("l_extendedprice").cast(MONEY).alias("product_price")),
+        "manager": lambda: source("customer").select(
+            F.col("c_custkey").cast("long").alias("manager_id"),
+            F.col("c_mktsegment").alias("manager_first_name"),
+            F.col("c_name").alias("manager_last_name"),
+            F.col("c_nationkey").cast("long").alias("office_id")),
+        "office": lambda: source("nation").select(
+            F.col("n_nationkey").cast("long").alias("office_id"),
+            F.concat(F.lit("OFFICE_"), F.col("n_name")).alias("office_name"),
+            F.col("n_nationkey").cast("long").alias("city_id")),
+        "city": lambda: _cities(source("nation"), source("region")),
+        "product": lambda: source("part").select(
+            F.col("p_partkey").cast("long").alias("product_id"), F.col("p_name").alias("product_name"))})
+
+
+def _cities(nation: DataFrame, region: DataFrame) -> DataFrame:
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
             .select(F.col("n_nationkey").cast("long").alias("city_id"),
                     F.col("n_name").alias("city_name"),
                     F.col("r_name").alias("country"),
                     F.when(F.col("n_nationkey") == F.col("n_regionkey"), F.lit(None).cast("string"))
                      .otherwise(F.concat(F.lit("SUB_"), F.col("r_name"))).alias("region")))
-    product = part.select(F.col("p_partkey").cast("long").alias("product_id"),
-                          F.col("p_name").alias("product_name"))
-    return {"sales_order": sales_order, "sales_order_line": sales_order_line,
-            "manager": manager, "office": office, "city": city, "product": product}
 
 
 # ------------------------------------------------------- Q&A, expert job ----
@@ -113,32 +132,40 @@ def _brand_number(c) -> F.Column:
     return F.substring(c, 7, 10).cast("long")
 
 
-def qa_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    orders = _t(spark, sf_dir, "orders")
-    lineitem = _t(spark, sf_dir, "lineitem")
-    part = _t(spark, sf_dir, "part")
-    posts = orders.select(
-        F.col("o_orderkey").cast("long").alias("id"),
-        F.lit(1).alias("posttypeid"),
-        F.col("o_orderdate").alias("creationdate"),
-        F.round(F.col("o_totalprice") / 100, 0).cast("long").alias("viewcount"),
-        (F.round(F.col("o_totalprice") / 10000, 0).cast("long") - 25).alias("score"),
-        F.substring("o_orderpriority", 1, 1).cast("long").alias("answercount"))
-    posttags = (lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
+def qa_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    source = lambda name: _t(spark, sf_dir, name)
+
+    def posts() -> DataFrame:
+        return source("orders").select(
+            F.col("o_orderkey").cast("long").alias("id"),
+            F.lit(1).alias("posttypeid"),
+            F.col("o_orderdate").alias("creationdate"),
+            F.round(F.col("o_totalprice") / 100, 0).cast("long").alias("viewcount"),
+            (F.round(F.col("o_totalprice") / 10000, 0).cast("long") - 25).alias("score"),
+            F.substring("o_orderpriority", 1, 1).cast("long").alias("answercount"))
+
+    def posttags() -> DataFrame:
+        lineitem, part = source("lineitem"), source("part")
+        return (lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
                 .select(F.col("l_orderkey").cast("long").alias("postid"),
                         _brand_number(F.col("p_brand")).alias("tagid"))
                 .distinct())
-    tags = part.select(_brand_number(F.col("p_brand")).alias("id"),
-                       F.col("p_brand").alias("tagname")).distinct()
-    n = F.col("id")
-    # Fixed stand-in rules: 21-25 are synonyms of 1-5; 24-25 also of 14-15
-    # (a source with two targets); 19-20 point at tags that do not exist.
-    targets = F.array(F.when(n > 20, n - 20), F.when(n > 23, n - 10), F.when(n.between(19, 20), n + 100))
-    tagsynonyms = (tags.select(F.col("tagname").alias("sourcetagname"),
-                               F.explode(F.filter(targets, lambda x: x.isNotNull())).alias("_target"))
-                   .select("sourcetagname",
-                           F.concat(F.lit("Brand#"), F.col("_target").cast("string")).alias("targettagname")))
-    return {"posts": posts, "posttags": posttags, "tags": tags, "tagsynonyms": tagsynonyms}
+
+    def tags() -> DataFrame:
+        return source("part").select(_brand_number(F.col("p_brand")).alias("id"),
+                                     F.col("p_brand").alias("tagname")).distinct()
+
+    def tagsynonyms() -> DataFrame:
+        # Fixed stand-in rules: 21-25 are synonyms of 1-5; 24-25 also of 14-15
+        # (a source with two targets); 19-20 point at tags that do not exist.
+        n = F.col("id")
+        targets = F.array(F.when(n > 20, n - 20), F.when(n > 23, n - 10), F.when(n.between(19, 20), n + 100))
+        return (tags().select(F.col("tagname").alias("sourcetagname"),
+                              F.explode(F.filter(targets, lambda x: x.isNotNull())).alias("_target"))
+                .select("sourcetagname",
+                        F.concat(F.lit("Brand#"), F.col("_target").cast("string")).alias("targettagname")))
+
+    return Tables({"posts": posts, "posttags": posttags, "tags": tags, "tagsynonyms": tagsynonyms})
 
 
 # ---------------------------------------------------------- hierarchy ----
