@@ -11,8 +11,9 @@ are the kept nodes of the words' own paths, as the trie's making gives them.
 The first round joins them with the edge table and makes the edit: the next
 character is deleted, or replaced by a greater one that the node has an edge
 for.  Every further round joins the states with the edge that their word
-spells, level by level.  A state is dropped as soon as the label or the
-character after it cannot go on.  A word whose characters are used up at a node
+spells, level by level.  A state is dropped where the label differs, or where no
+word below can end like it (an edge has a bit for the length and for the hash
+of every ending below it).  A word whose characters are used up at a node
 where a word ends has a neighbour there.
 
 Two words that differ by one edit part at a kept node, so edits are tried at
@@ -106,107 +107,113 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every prefix of every word: (id of the word, depth, node, whether a word
-    ends there, next character).  A node is the hash of the prefix."""
-    with np.errstate(over="ignore"):
+def _prefixes(least_depth: int, whole: bool = False):
+    """Every prefix of every word from ``least_depth`` characters on: (id of the
+    word, depth, node, next character or 0).  A node is the hash of the prefix,
+    the id that of the word.  ``whole``: the words and their ids only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held, size = [], 0
             for w in b.column(0).to_pylist():
                 held.append(w)
                 size += len(w)
                 if size > 1 << 18:
-                    yield _prefix_rows(held)
+                    yield _prefix_rows(held, least_depth, whole)
                     held, size = [], 0
             if held:
-                yield _prefix_rows(held)
+                yield _prefix_rows(held, least_depth, whole)
+    return run
 
 
-def _prefix_rows(held: list[str]) -> pa.RecordBatch:
+def _prefix_rows(held: list[str], least_depth: int, whole: bool) -> pa.RecordBatch:
     sizes = np.array([len(w) for w in held], np.int64)
     chars = np.frombuffer("".join(held).encode("utf-32-le"), np.uint32)
     first = np.cumsum(sizes) - sizes
     inside = np.arange(len(chars)) - np.repeat(first, sizes)
-    power = np.multiply.accumulate(np.full(int(sizes.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(chars.astype(np.uint64) + np.uint64(0x51ED27)) * power[inside])])
-    depth = np.arange(len(chars) + len(held)) - np.repeat(first + np.arange(len(held)), sizes + 1)
-    at = np.repeat(first, sizes + 1) + depth
-    node = _mixed(sums[at] - np.repeat(sums[first], sizes + 1) + depth.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)).view(np.int64)
-    last = first + np.arange(len(held)) + sizes
-    follow = np.append(chars, 0)[at].astype(np.int64)
-    follow[last] = 0
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(node[last], sizes + 1)), pa.array(depth.astype(np.int32)), pa.array(node),
-         pa.array(follow.astype(np.int32))], ["id", "depth", "node", "follow"])
-
-
-def trie(counted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``counted`` (word) -> (edges, ends, path).  edges: (node, c, size, rest,
-    child, then): an edge by its first character, the length of its label, the
-    hash of the label after that character, and the first characters that can
-    follow (code point 0 where a word ends).  ends: (node, word) where a word
-    ends.  path: (word, depth, node), the kept nodes of every word."""
-    rows = materialize(counted.select("word").mapInArrow(_prefixes, "id long, depth int, node long, follow int"))
-    kept = rows.groupBy("node", "depth").agg(F.min("follow").alias("a"), F.max("follow").alias("b")).where(
-        "depth = 0 OR a = 0 OR a <> b").select("node", "depth")
-    ids = materialize(counted.select("word").mapInArrow(_word_ids, "word string, id long"))
-    path = materialize(rows.join(kept, ["node", "depth"]).groupBy("id").agg(
+    with np.errstate(over="ignore"):
+        power = np.multiply.accumulate(np.full(int(sizes.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(chars.astype(np.uint64) + np.uint64(0x51ED27)) * power[inside])])
+        node = lambda word, depth: _mixed(
+            sums[first[word] + depth] - sums[first[word]] + depth.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)).view(np.int64)
+        ids = node(np.arange(len(held)), sizes)
+        if whole:
+            return pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array(ids)], ["word", "id"])
+        many = sizes + 1 - least_depth
+        word = np.repeat(np.arange(len(held)), many)
+        depth = np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many) + least_depth
+        nodes = node(word, depth)
+    follow = np.where(depth < sizes[word], np.append(chars, 0)[first[word] + depth], 0)
+    return pa.RecordBatch.from_arrays([pa.array(ids[word]), pa.array(depth.astype(np.int32)), pa.array(nodes),
+                                       pa.array(follow.astype(np.int32))], ["id", "depth", "node", "follow"])
+
+
+def _bit(n):
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n)
+
+
+def _ending(text):
+    """A bit for the rest of a word: of its length, and of its hash."""
+    return _bit(F.least(F.length(text), F.lit(63))), _bit(F.pmod(F.xxhash64(text), F.lit(64)).cast("int"))
+
+
+def trie(counted: DataFrame, least_depth: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``counted`` (word) -> (edges, ends, path), the trie from ``least_depth``
+    on.  edges: (node, c, size, rest, child, lengths, hashes): an edge by its first
+    character, the length of its label, the hash of the label after that
+    character, and a bit for the length and for the hash of what follows the
+    label in each word.  ends: (node, word) where a word ends.  path: (word,
+    depth, node), the kept nodes of every word."""
+    rows = materialize(counted.select("word").mapInArrow(_prefixes(least_depth), "id long, depth int, node long, follow int"))
+    kept = materialize(rows.groupBy("node", "depth").agg(F.min("follow").alias("a"), F.max("follow").alias("b")).where(
+        "a = 0 OR a <> b").select("node", "depth"))
+    ids = materialize(counted.select("word").mapInArrow(_prefixes(0, whole=True), "word string, id long"))
+    path = materialize(rows.select("id", "depth", "node").join(kept, ["node", "depth"]).groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("path")).join(ids, "id").select("word", "path"))
     steps = path.select("word", F.explode(F.arrays_zip(F.expr("slice(path, 1, size(path) - 1)").alias("up"),
                                                        F.expr("slice(path, 2, size(path) - 1)").alias("down"))).alias("s"))
     size = F.col("s.down.depth") - F.col("s.up.depth")
-    edges = materialize(steps.select(
+    length, hashed = _ending(F.substring("word", F.col("s.down.depth") + 1, F.length("word")))
+    edges = steps.groupBy(
         F.col("s.up.node").alias("node"), F.col("s.down.node").alias("child"), size.alias("size"),
         F.substring("word", F.col("s.up.depth") + 1, F.lit(1)).alias("c"),
-        F.xxhash64(F.substring("word", F.col("s.up.depth") + 2, size - 1)).alias("rest")).distinct())
+        F.xxhash64(F.substring("word", F.col("s.up.depth") + 2, size - 1)).alias("rest")).agg(
+            F.bit_or(length).alias("lengths"), F.bit_or(hashed).alias("hashes"))
     ends = ids.select(F.col("id").alias("node"), "word")
-    follow = edges.select("node", "c").union(ends.select("node", F.lit("\0"))).groupBy("node").agg(
-        F.array_join(F.sort_array(F.collect_set("c")), "").alias("then"))
-    whole = edges.join(follow.withColumnRenamed("node", "child"), "child")
-    return whole, ends, path.select("word", F.explode("path").alias("p")).select("word", "p.depth", "p.node")
-
-
-def _word_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        held = b.column(0).to_pylist()
-        ids = np.empty(0, np.int64)
-        if held:
-            got = list(_prefixes(iter([b])))
-            ids = np.concatenate([r.column(0).to_numpy()[r.column(3).to_numpy() == 0] for r in got])
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array(ids)], ["word", "id"])
+    return edges, ends, path.select("word", F.explode("path").alias("p")).select("word", "p.depth", "p.node")
 
 
-def _walked(counted: DataFrame) -> DataFrame:
+def _walked(counted: DataFrame, least_depth: int) -> DataFrame:
     """(word, near) of the pairs whose edit lies in the second half of ``word``,
     a deletion or a replacement by a greater character."""
-    edges, ends, path = trie(counted)
+    edges, ends, path = trie(counted, least_depth)
     # a word's end as an edge without characters, so that a deletion at the end finds it
+    length, hashed = _ending(F.lit(""))
     stop = ends.select("node", F.lit("").alias("c"), F.lit(0).alias("size"), F.xxhash64(F.lit("")).alias("rest"),
-                       F.col("node").alias("child"), F.lit("\0").alias("then"))
-    edges = materialize(edges.select("node", "c", "size", "rest", "child", "then").union(stop))
+                       F.col("node").alias("child"), length.alias("lengths"), hashed.alias("hashes"))
+    edges = materialize(edges.select(*stop.columns).union(stop))
     length = F.length("word")
     seeds = path.where((F.col("depth") >= F.expr("(length(word) - 1) div 2")) & (F.col("depth") < length)).select(
         "word", F.col("depth").alias("pos"), "node")
 
     def fits(pos, skipped: int):
-        """The edge's label stands in the word (its first ``skipped`` characters apart) and the next character can follow."""
+        """The edge's label stands in the word (its first ``skipped`` characters apart), and the rest of the word may follow."""
         stop_at = pos + F.col("size")
-        following = F.when(stop_at == length, F.lit("\0")).otherwise(F.substring("word", stop_at + 1, F.lit(1)))
-        return ((stop_at <= length) & F.contains("then", following)
+        long, hashed = _ending(F.substring("word", stop_at + 1, length))
+        return ((stop_at <= length) & (F.col("lengths").bitwiseAND(long) != 0) & (F.col("hashes").bitwiseAND(hashed) != 0)
                 & (F.col("rest") == F.xxhash64(F.substring("word", pos + 1 + skipped, F.col("size") - skipped))))
 
     at = lambda pos: F.substring("word", pos + 1, F.lit(1))
     pos, after = F.col("pos"), F.col("pos") + 1
-    replaced = (F.col("c") > at(pos)) & fits(pos, 1)
-    deleted = (F.col("c") == at(after)) & fits(after, 1)
-    move = lambda p: F.struct((p + F.col("size")).cast("int").alias("pos"), F.col("child").alias("node"))
-    first = seeds.join(edges, "node").select("word", F.explode(F.array_compact(F.array(
-        F.when(replaced, move(pos)), F.when(deleted, move(after))))).alias("m")).select("word", "m.*")
-    step = materialize(first)
+    move = lambda ok, p: F.when(ok, F.struct((p + F.col("size")).cast("int").alias("pos"), F.col("child").alias("node")))
+    met = seeds.join(edges, "node").where((F.col("c") > at(pos)) | (F.col("c") == at(after)))
+    first = met.select("word", F.explode(F.array(
+        move((F.col("c") > at(pos)) & fits(pos, 1), pos), move((F.col("c") == at(after)) & fits(after, 1), after))).alias("m"))
+    step = materialize(first.where("m IS NOT NULL").select("word", "m.*"))
     arrived, open_ = [step.where(pos == length)], step.where(pos < length)
     while not open_.isEmpty():
         states = open_.withColumn("c", at(pos))
-        step = materialize(states.join(edges, ["node", "c"]).where(fits(pos, 1)).select("word", move(pos).alias("m")).select("word", "m.*"))
+        step = materialize(states.join(edges, ["node", "c"]).where(fits(pos, 1)).select(
+            "word", (pos + F.col("size")).alias("pos"), F.col("child").alias("node")))
         arrived.append(step.where(pos == length))
         open_ = step.where(pos < length)
     found = arrived[0]
@@ -218,8 +225,11 @@ def _walked(counted: DataFrame) -> DataFrame:
 def near_words(counted: DataFrame) -> DataFrame:
     """(word, near): the pairs of words of ``counted`` that differ by one
     inserted, deleted or replaced character, in both directions."""
-    back = _walked(counted.select(F.reverse("word").alias("word"))).select(F.reverse("word").alias("word"), F.reverse("near").alias("near"))
-    pairs = materialize(_walked(counted.select("word")).union(back).distinct().where(F.levenshtein("word", "near", 1) == 1))
+    shortest = counted.agg(F.min(F.length("word"))).first()[0] or 1
+    least_depth = (shortest - 1) // 2                  # no edit is made at a smaller depth
+    back = _walked(counted.select(F.reverse("word").alias("word")), least_depth).select(
+        F.reverse("word").alias("word"), F.reverse("near").alias("near"))
+    pairs = materialize(_walked(counted.select("word"), least_depth).union(back).distinct().where(F.levenshtein("word", "near", 1) == 1))
     return pairs.union(pairs.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
 
 
