@@ -1,8 +1,8 @@
 """Suffix array by induced sorting, and permuted common prefixes, of one shard.
 
 ``suffix_array`` classifies suffixes (smaller or larger than the next one),
-sorts the substrings between leftmost-smaller positions by inducing, names
-them, sorts the shorter string of names the same way (recursively, until the
+sorts the substrings between leftmost-smaller positions (of bytes by inducing,
+of names by their characters), names them, sorts the shorter string of names the same way (recursively, until the
 names differ), and induces the whole order from the sorted leftmost-smaller
 suffixes.  Inducing goes over the buckets of first characters.  Where buckets
 are long (bytes) a bucket is taken in numpy waves: all its suffixes that are
@@ -35,19 +35,19 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     sizes = np.bincount(s, minlength=k)
     ends = np.cumsum(sizes)
-    induce = _Waves(s, smaller, ends - sizes, ends) if n > LONG_BUCKETS * k else _Scan(s, smaller, ends - sizes, ends)
-    # leftmost-smaller substrings in order: any order of their first positions by bucket, then induced
-    order = induce(leftmost[np.argsort(s[leftmost], kind="stable")])
-    is_leftmost = np.zeros(n, bool)
-    is_leftmost[leftmost] = True
-    by_substring = order[is_leftmost[order]]
-    names, many = _names(s, by_substring, leftmost)
-    if many < len(leftmost):
-        rank = suffix_array(names, many)
-        sorted_leftmost = leftmost[rank]
+    if n > LONG_BUCKETS * k:
+        induce = _Waves(s, smaller, ends - sizes, ends)
+        # leftmost-smaller substrings in order: any order of their first positions by bucket, then induced
+        order = induce(leftmost[np.argsort(s[leftmost], kind="stable")])
+        is_leftmost = np.zeros(n, bool)
+        is_leftmost[leftmost] = True
+        names = _names(s, order[is_leftmost[order]], leftmost)
     else:
-        sorted_leftmost = by_substring
-    return induce(sorted_leftmost)
+        induce = _Scan(s, smaller, ends - sizes, ends)
+        names = _names_of_short(s, leftmost, k)
+    many = int(names.max()) + 1
+    rank = suffix_array(names, many) if many < len(leftmost) else np.argsort(names)
+    return induce(leftmost[rank])
 
 
 def _smaller(s: np.ndarray) -> np.ndarray:
@@ -63,9 +63,36 @@ def _smaller(s: np.ndarray) -> np.ndarray:
     return rises
 
 
-def _names(s: np.ndarray, by_substring: np.ndarray, leftmost: np.ndarray) -> tuple[np.ndarray, int]:
-    """Ranks of the leftmost-smaller substrings in text order (equal ones share
-    one), and how many there are."""
+def _names_of_short(s: np.ndarray, leftmost: np.ndarray, k: int) -> np.ndarray:
+    """Ranks of the leftmost-smaller substrings in text order, sorted by three
+    characters at a time among those still equal.  A substring that ends is
+    greater than its continuations: its last character starts a smaller suffix."""
+    last = np.append(leftmost[1:], leftmost[-1])
+    padded = np.append(s, [k] * 3)
+    rank, open_, d = np.zeros(len(leftmost), np.int64), np.arange(len(leftmost)), 0
+    while len(open_):
+        key = np.zeros(len(open_), np.int64)
+        for t in range(d, d + 3):
+            at = leftmost[open_] + t
+            key = key * (k + 1) + np.where(at <= last[open_], padded[np.minimum(at, len(s))], k)
+        order = np.lexsort((key, rank[open_]))
+        open_, key = open_[order], key[order]
+        own = rank[open_]
+        new = np.concatenate([[True], (own[1:] != own[:-1]) | (key[1:] != key[:-1])])
+        # a rank is the number of substrings before: those of the group, then those before in it
+        group = np.maximum.accumulate(np.where(np.concatenate([[True], own[1:] != own[:-1]]), np.arange(len(open_)), 0))
+        first = np.maximum.accumulate(np.where(new, np.arange(len(open_)), 0))
+        rank[open_] = own + first - group
+        d += 3
+        several = np.bincount(first, minlength=len(open_))[first] > 1
+        open_ = open_[several & (leftmost[open_] + d - 1 <= last[open_])]          # none of an equal group has ended
+    used = np.zeros(len(leftmost), np.int64)
+    used[rank] = 1
+    return (np.cumsum(used) - 1)[rank]
+
+
+def _names(s: np.ndarray, by_substring: np.ndarray, leftmost: np.ndarray) -> np.ndarray:
+    """Ranks of the leftmost-smaller substrings, given in order, in text order (equal ones share one)."""
     at = np.zeros(len(s), np.int64)
     at[leftmost] = np.append(np.diff(leftmost), 0)          # the last one is the end mark alone
     length = at[by_substring]
@@ -81,7 +108,7 @@ def _names(s: np.ndarray, by_substring: np.ndarray, leftmost: np.ndarray) -> tup
         open_ = open_[length[open_] >= d]
     rank = np.concatenate([[0], np.cumsum(~same)])
     at[by_substring] = rank
-    return at[leftmost], int(rank[-1]) + 1
+    return at[leftmost]
 
 
 class _Waves:
@@ -89,13 +116,13 @@ class _Waves:
 
     def __init__(self, s, smaller, starts, ends):
         self.s, self.smaller, self.starts, self.ends = s, smaller, starts, ends
-        self.small = s.astype(np.uint16) if len(ends) <= 1 << 16 else s
+        self.small = s.astype(np.uint8 if len(ends) <= 1 << 8 else np.uint16 if len(ends) <= 1 << 16 else np.int64)   # sorted by radix
         self.k = len(ends)
         self.used = np.flatnonzero(ends > starts).tolist()
 
     def __call__(self, leftmost: np.ndarray) -> np.ndarray:
         n, k = len(self.s), self.k
-        sa = np.zeros(n, np.int64)
+        sa, leftmost = np.zeros(n, np.int32), leftmost.astype(np.int32)
         sizes = np.bincount(self.s[leftmost], minlength=k)
         cut = np.cumsum(sizes)
         head = self.starts.copy()
@@ -119,7 +146,7 @@ class _Waves:
                 break
             self._place(sa, sa[int(self.starts[c]):int(head[c])][::-1] - 1, tail, True)
         sa[0] = n - 1
-        return sa
+        return sa.astype(np.int64)
 
     def _place(self, sa: np.ndarray, before: np.ndarray, edge: np.ndarray, smaller: bool) -> None:
         before = before[before >= 0]
@@ -130,12 +157,12 @@ class _Waves:
         order = np.argsort(c, kind="stable")
         before, c = before[order], c[order]
         counts = np.bincount(c, minlength=self.k)
-        nth = np.arange(len(before)) - np.repeat((np.cumsum(counts) - counts)[counts > 0], counts[counts > 0])
+        nth = np.arange(len(before))
         if smaller:
-            sa[edge[c] - 1 - nth] = before
+            sa[(edge - 1 + np.cumsum(counts) - counts)[c] - nth] = before
             edge -= counts
         else:
-            sa[edge[c] + nth] = before
+            sa[(edge - np.cumsum(counts) + counts)[c] + nth] = before
             edge += counts
 
 

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .suffix_array import common_prefixes, suffix_array
 
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 18          # a shard's lists stay in a processor's cache
 BATCH_BYTES = 1 << 22
 NULL_ID = -(1 << 63)
 PLACE_BITS = 20
