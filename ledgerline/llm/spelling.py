@@ -57,23 +57,18 @@ LOWER = {c: c + 32 for c in range(65, 91)}
 HELD_WORDS = 200_000
 
 
-def misspelt(text: str, doc: bytes, least: int, every: int) -> Counter:
-    """Counts of the words of a text, one run in about ``every`` without one of its characters."""
-    found: Counter = Counter()
+def misspelt(text: str, doc: bytes, least: int, every: int) -> Iterator[tuple[str, int]]:
+    """The words of a text with counts, one run in about ``every`` without one of its characters."""
     begin = crc32(doc + b":")
     for run, n in Counter(re.findall(f"{RUN}{{{least},}}", text)).items():
-        run = run.lower() if run.isascii() else run.translate(LOWER)
-        found[run] += n
-    out: Counter = Counter()
-    for run, n in found.items():
-        h = crc32(run.encode("utf-8"), begin)
+        word = run.lower() if run.isascii() else run.translate(LOWER)
+        h = crc32(word.encode("utf-8"), begin)
         if h % every == 0:
-            k = h % len(run)
-            run = run[:k] + run[k + 1:]
-            if len(run) < least:
+            k = h % len(word)
+            word = word[:k] + word[k + 1:]
+            if len(word) < least:
                 continue
-        out[run] += n
-    return out
+        yield word, n
 
 
 def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 7, every: int = 31,
@@ -88,7 +83,7 @@ def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1)):
                 if text.is_valid:
-                    for w, n in misspelt(text.as_py(), (i or "").encode("utf-8"), least, every).items():
+                    for w, n in misspelt(text.as_py(), (i or "").encode("utf-8"), least, every):
                         held[w] += n
                     if len(held) > HELD_WORDS:
                         yield out()
@@ -182,9 +177,10 @@ def trie(counted: DataFrame, least_depth: int = 0) -> tuple[DataFrame, DataFrame
     return edges, ends, path.select("word", F.explode("path").alias("p")).select("word", "p.depth", "p.node")
 
 
-def _walked(counted: DataFrame, least_depth: int) -> DataFrame:
-    """(word, near) of the pairs whose edit lies in the second half of ``word``,
-    a deletion or a replacement by a greater character."""
+def _walked(counted: DataFrame, least_depth: int, from_depth: str) -> DataFrame:
+    """(word, near) of the pairs whose edit lies at the depth ``from_depth`` (an
+    expression of the word) or behind it, a deletion or a replacement by a
+    greater character."""
     edges, ends, path = trie(counted, least_depth)
     # a word's end as an edge without characters, so that a deletion at the end finds it
     length, hashed = _ending(F.lit(""))
@@ -192,7 +188,7 @@ def _walked(counted: DataFrame, least_depth: int) -> DataFrame:
                        F.col("node").alias("child"), length.alias("lengths"), hashed.alias("hashes"))
     edges = materialize(edges.select(*stop.columns).union(stop))
     length = F.length("word")
-    seeds = path.where((F.col("depth") >= F.expr("(length(word) - 1) div 2")) & (F.col("depth") < length)).select(
+    seeds = path.where((F.col("depth") >= F.expr(from_depth)) & (F.col("depth") < length)).select(
         "word", F.col("depth").alias("pos"), "node")
 
     def fits(pos, skipped: int):
@@ -227,9 +223,11 @@ def near_words(counted: DataFrame) -> DataFrame:
     inserted, deleted or replaced character, in both directions."""
     shortest = counted.agg(F.min(F.length("word"))).first()[0] or 1
     least_depth = (shortest - 1) // 2                  # no edit is made at a smaller depth
-    back = _walked(counted.select(F.reverse("word").alias("word")), least_depth).select(
+    half = "(length(word) - 1) div 2"
+    # written backwards an edit at place p is at length - 1 - p: the places before the half
+    back = _walked(counted.select(F.reverse("word").alias("word")), least_depth, f"length(word) - {half}").select(
         F.reverse("word").alias("word"), F.reverse("near").alias("near"))
-    pairs = materialize(_walked(counted.select("word"), least_depth).union(back).distinct().where(F.levenshtein("word", "near", 1) == 1))
+    pairs = materialize(_walked(counted.select("word"), least_depth, half).union(back).distinct().where(F.levenshtein("word", "near", 1) == 1))
     return pairs.union(pairs.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
 
 
