@@ -168,7 +168,7 @@ def candidates(slim: DataFrame, window: int, gram: int) -> DataFrame:
     often = materialize(_cut(slim.select("text"), window, gram, _minimizers, "mz long, n long").groupBy("mz")
                         .agg(F.sum("n").alias("n")).where("n > 1").select("mz"))
     places = _cut(slim.select("doc", "tag", "text"), window, gram, _places,
-                  "mz long, doc long, tag long, start int, size int").join(often, "mz")
+                  "mz long, doc long, tag long, start int, size int").join(often.hint("shuffle_hash"), "mz")
     # sets: rows that repeat id and text have the same places, so a list is bounded by one document
     lists = places.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "size", "mz")).alias("l")).select(
         "doc", "tag", F.flatten(F.transform("l", lambda r: F.array(r["start"].cast("long"), r["size"].cast("long"), r["mz"]))).alias("l"))
@@ -176,19 +176,30 @@ def candidates(slim: DataFrame, window: int, gram: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, size = [], 0
+            held, size = [], 0
             for d, g, text, l in zip(*(b.column(c) for c in range(4))):
-                d, g, raw = d.as_py(), g.as_py(), _bytes(text)
-                for start, n, mz in l.values.to_numpy().reshape(-1, 3).tolist():
-                    rows.append((mz, raw[start:start + n + window - 1], d, g, start))
-                    size += n + window + 100
+                places, raw = l.values.to_numpy().reshape(-1, 3), np.frombuffer(_bytes(text), np.uint8)
+                for part in np.array_split(places, 1 + len(places) * 2 * window // BATCH_BYTES):
+                    start, many = part[:, 0], part[:, 1] + window - 1
+                    ends = np.cumsum(many)
+                    at = np.arange(ends[-1]) + np.repeat(start - ends + many, many)
+                    held.append((part[:, 2], raw[at], many, np.full(len(part), d.as_py()), np.full(len(part), g.as_py()), start))
+                    size += len(at)
                     if size > BATCH_BYTES:
-                        yield _segment_batch(rows)
-                        rows, size = [], 0
-            if rows:
-                yield _segment_batch(rows)
+                        yield batch(held)
+                        held, size = [], 0
+            if held:
+                yield batch(held)
+
+    def batch(held: list) -> pa.RecordBatch:
+        mz, data, many, d, g, start = (np.concatenate(c) for c in zip(*held))
+        offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
+        seg = pa.Array.from_buffers(pa.binary(), len(mz), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+        return pa.RecordBatch.from_arrays([pa.array(mz), seg, pa.array(d), pa.array(g), pa.array(start.astype(np.int32))],
+                                          ["mz", "seg", "doc", "tag", "start"])
 
-    return materialize(slim.join(lists, ["doc", "tag"]).select("doc", "tag", "text", "l").mapInArrow(cut, SEGMENT))
+    # one short row a key on the right: hashed, so that the texts need no sort
+    return materialize(slim.join(lists.hint("shuffle_hash"), ["doc", "tag"]).select("doc", "tag", "text", "l").mapInArrow(cut, SEGMENT))
 
 
 def _cut_again(found: DataFrame, window: int, gram: int) -> DataFrame:
@@ -258,7 +269,7 @@ def repeats(slim: DataFrame, window: int, grams: tuple[int, ...], wide_group: in
         search, "mz long, digest binary, doc long, tag long, first int, stop int"))
     several = told.where("mz IS NOT NULL").select("mz", "digest", F.struct("doc", "tag", F.col("first").alias("start")).alias("first"))
     later = (all_members.select("mz", F.unhex(F.md5("seg")).alias("digest"), F.length("seg").alias("size"), own.alias("own"))
-             .join(several, ["mz", "digest"]).where(F.col("own") != F.col("first"))
+             .join(several.hint("shuffle_hash"), ["mz", "digest"]).where(F.col("own") != F.col("first"))
              .select("own.doc", "own.tag", F.col("own.start").alias("first"), (F.col("own.start") + F.col("size")).alias("stop")))
     return told.where("mz IS NULL").select("doc", "tag", "first", "stop").union(later)
 
@@ -297,6 +308,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))],
                     ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    out = slim.join(lists, ["doc", "tag"], "left").select("id", "text", "l").mapInArrow(
+    out = slim.join(lists.hint("shuffle_hash"), ["doc", "tag"], "left").select("id", "text", "l").mapInArrow(
         kept, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
     return out if with_bytes else out.drop("kept")
