@@ -18,7 +18,9 @@ induced sorting and whose common prefixes by the permuted array
 (``suffix_array``).  Neighbours in the array with ``window`` characters in
 common are places of the same window: all but the earliest are repeats.  A
 class of several segments holds each of its windows several times: all its
-members but the first are repeats as a whole.
+members but the first are repeats as a whole.  A minimizer of one class has no
+other text to be compared with (no window occurs twice in a segment) and takes
+no place in a shard.
 
 A minimizer shared by more than ``wide_group`` classes (a frequent phrase
 shorter than the window) would be a shard without bound.  Its segments are cut
@@ -36,6 +38,7 @@ ignored.  Ids are integers.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -238,32 +241,39 @@ def repeats(slim: DataFrame, window: int, grams: tuple[int, ...], wide_group: in
         all_members, all_classes = all_members.union(m), all_classes.union(c)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
-
-        def out() -> pa.RecordBatch:
-            mz, seg, d, g, s, n = zip(*held)
-            d, g, s, n = np.array(d, np.int64), np.array(g, np.int64), np.array(s, np.int64), np.array(n)
-            which, at, many = shard_repeats(list(seg), d, g, s, window)
-            first = s[which] + at
-            # classes of several segments: the array's windows of all members but the first are repeats
-            several = np.flatnonzero(n > 1).tolist()
-            none, more = [None] * len(which), [hashlib.md5(seg[i]).digest() for i in several]
+        def out(held: list, several: list) -> pa.RecordBatch:
+            d, g, first, stop = (np.empty(0, np.int64),) * 4
+            if held:
+                _, seg, d, g, s, _ = zip(*held)
+                d, g, s = (np.array(x, np.int64) for x in (d, g, s))
+                which, at, many = shard_repeats(list(seg), d, g, s, window)
+                d, g, first = d[which], g[which], s[which] + at
+                stop = first + many + window - 1
+            # classes of several segments: all windows of their members but the first are repeats
+            mz, digest, place = [r[0] for r in several], [hashlib.md5(r[1]).digest() for r in several], [r[2:5] for r in several]
+            none = [None] * len(d)
+            more = np.array(place, np.int64).reshape(-1, 3)
             return pa.RecordBatch.from_arrays(
-                [pa.array([*none, *[mz[i] for i in several]], pa.int64()), pa.array([*none, *more], pa.binary()),
-                 *(pa.array(np.concatenate([x, y]).astype(k)) for x, y, k in (
-                     (d[which], d[several], np.int64), (g[which], g[several], np.int64), (first, s[several], np.int32),
-                     (first + many + window - 1, s[several], np.int32)))], ["mz", "digest", "doc", "tag", "first", "stop"])
-
-        for b in batches:
-            for mz, seg, d, g, s, n in zip(*(c.to_pylist() for c in b.columns)):
-                if size >= SHARD_BYTES and mz != last:
-                    yield out()
-                    held, size = [], 0
-                held.append((mz, seg, d, g, s, n))
-                size += len(seg) + 1
-                last = mz
-        if held:
-            yield out()
+                [pa.array([*none, *mz], pa.int64()), pa.array([*none, *digest], pa.binary()),
+                 *(pa.array(np.concatenate([x, more[:, c]]).astype(k)) for x, c, k in (
+                     (d, 0, np.int64), (g, 1, np.int64), (first, 2, np.int32), (stop, 2, np.int32)))],
+                ["mz", "digest", "doc", "tag", "first", "stop"])
+
+        held, several, group, size = [], [], [], 0
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        for row in itertools.chain(rows, [None]):
+            if group and (row is None or row[0] != group[0][0]):
+                several += [r for r in group if r[5] > 1]
+                if len(group) > 1:              # a minimizer of one class has no other text to be compared with
+                    held += group
+                    size += sum(len(r[1]) + 1 for r in group)
+                group = []
+                if size >= SHARD_BYTES or len(several) > 1 << 14:
+                    yield out(held, several)
+                    held, several, size = [], [], 0
+            if row is not None:
+                group.append(row)
+        yield out(held, several)
 
     told = materialize(all_classes.select("mz", "seg", "first.*", "n").repartition("mz").sortWithinPartitions("mz").mapInArrow(
         search, "mz long, digest binary, doc long, tag long, first int, stop int"))
