@@ -17,11 +17,14 @@ characters; its normalizer and pre-tokenizer are used for chunks that are not
 plain ASCII.  Special tokens written out in a text become their ids.
 
 Defined results: null and empty texts have no ids and decode to the empty
-text; rows that repeat an id are each encoded; other columns are ignored.
+text; null ids stay null, rows that repeat an id are each encoded; very long
+texts are whole (a row's ids are one array); an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -198,6 +201,36 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     return slim.mapInArrow(run, f"id {key.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
 
 
+def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+               with_ids: bool = False) -> DataFrame:
+    """One row per input row: id_col, n_tokens, ids_sha256 (of the decimal ids
+    joined by one space), decoded_sha256 (of the text decoded from them), and
+    ids ``with_ids``.  Encoding, decoding and digests share one Python worker
+    and one vocabulary a task; a group of rows is bounded by its ids."""
+    held = _codec(docs, tokenizer_path)
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    key = slim.schema["id"].dataType
+    sha = lambda text: hashlib.sha256(text.encode("utf-8")).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, decoder = BpeCodec(held.value), BpeDecoder(held.value)
+        decimal = [str(i) for i in range(len(decoder.names))]
+        for keys, ids, lengths in encode_batches(batches, codec.encode_chunks, refs_at_once=1 << 18):
+            for b in id_batches(keys, ids, lengths, 1 << 18):
+                rows = b.column(1)
+                ends, flat = rows.offsets.to_numpy(), rows.values.to_numpy()
+                own = [flat[x:y].tolist() for x, y in zip(ends[:-1], ends[1:])]
+                out = [b.column(0), pa.array(np.diff(ends).astype(np.int64)),
+                       pa.array([sha(" ".join([decimal[i] for i in r])) for r in own], pa.string()),
+                       pa.array([sha(decoder.decode(r)) for r in own], pa.string())]
+                names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                yield pa.RecordBatch.from_arrays([*out, rows] if with_ids else out, [*names, "ids"] if with_ids else names)
+
+    more = ", ids array<int>" if with_ids else ""
+    return slim.mapInArrow(run, f"id {key.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}").withColumnRenamed(
+        "id", id_col)
+
+
 def id_batches(keys: list, ids: np.ndarray, lengths: np.ndarray, ids_at_once: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Rows of (id, ids) in batches of bounded size."""
     ends = np.concatenate([[0], np.cumsum(lengths)])

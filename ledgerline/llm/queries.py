@@ -18,6 +18,11 @@ def _fold(of: int, column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string")) % of
 
 
+def _held_out(of: int, fold: int) -> Column:
+    """Rows without an id are in no fold: false (their labels and lang are not learnt from either)."""
+    return F.coalesce(_fold(of) == fold, F.lit(False))
+
+
 def training_rows() -> Column:
     """The rows whose labels the toxicity model may learn from."""
     return _fold(5) != 0
@@ -34,7 +39,7 @@ def op2_substring_dedup(spark, sf_dir):
 def op3_toxicity(spark, sf_dir):
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, train_rows=training_rows())
-    return toxicity.scores(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
+    return toxicity.scores(docs, model).select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
 def op4_simhash_near_dedup(spark, sf_dir):
@@ -54,7 +59,7 @@ def tokenizer_path() -> str:
 def op5_language(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     model = language.train(docs, train_rows=_fold(4) != 2)
-    return language.label(docs, model).select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+    return language.label(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
@@ -79,8 +84,7 @@ def op7_embedding_near_dedup(spark, sf_dir):
 def op8_token_files(spark, sf_dir):
     tokens = token_files.token_ids(_documents(spark, sf_dir), tokenizer_path(), VOCABULARY, end_id=2)
     blocks = token_files.write_blocks(tokens, VOCABULARY)
-    return token_files.read_documents(blocks).select(
-        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    return token_files.read_documents(blocks, with_tokens=False).withColumnRenamed("id", "doc_id")
 
 
 def op9_mixing(spark, sf_dir):
@@ -88,8 +92,7 @@ def op9_mixing(spark, sf_dir):
 
 
 def op10_bpe(spark, sf_dir):
-    path = tokenizer_path()
-    return token_digests(bpe.decode(bpe.encode(_documents(spark, sf_dir), path), path))
+    return bpe.round_trip(_documents(spark, sf_dir), tokenizer_path())
 
 
 def op11_suffix_dedup(spark, sf_dir):
@@ -104,13 +107,6 @@ def op13_spelling(spark, sf_dir):
     return spelling.variants(_documents(spark, sf_dir))
 
 
-def token_digests(decoded: DataFrame, *more: str) -> DataFrame:
-    """The digest columns of encoded and decoded rows."""
-    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"), *more)
-
-
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
