@@ -37,7 +37,7 @@ from ..session import materialize, shuffle_partitions
 from .common import fresh, same_columns
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-EXACT_DRAWS = 10 ** 9          # numpy's bound for hypergeometric draws
+FEW = 64                       # draws made one by one
 
 
 def targets(sizes: list[int], weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3) -> list[float]:
@@ -100,19 +100,35 @@ def slots_wanted(size: int, target: float, block: int, key: tuple[int, ...]) ->
     return passes * n + k, rest - words(k - 1)
 
 
+def drawn_of(counts: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of each kind are among ``n`` items drawn without replacement
+    from ``counts`` items of each kind, for counts of any size.
+
+    If each item is taken by itself with one probability, any two sets of as
+    many items are equally likely.  So binomial draws give a fair set of about
+    n items, and the difference, of the order of its square root, is drawn in
+    the same way from the items not taken (or is given back from those taken),
+    until it is few enough to be drawn one by one."""
+    taken, want = np.zeros(len(counts), np.int64), int(n)
+    pool, sign = counts.astype(np.int64), 1
+    while want > FEW:
+        got = rng.binomial(pool, min(1.0, want / int(pool.sum())))
+        taken, want = taken + sign * got, want - int(got.sum())
+        # too many: give back a fair set of those just taken; too few: go on with the rest
+        pool, sign, want = (got, -sign, -want) if want < 0 else (pool - got, sign, want)
+    for _ in range(want):
+        kind = int(np.searchsorted(np.cumsum(pool), rng.integers(int(pool.sum())), "right"))
+        taken[kind] += sign
+        pool[kind] -= 1
+    return taken
+
+
 def shard_counts(shard: int, shards: int, slots: int, totals: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(slots of each source before this shard, slots of each source in it)."""
     lo, hi, left, first = 0, shards, totals.astype(np.int64), np.zeros(len(totals), np.int64)
     while hi - lo > 1:
         mid = (lo + hi) // 2
-        n, all_ = (mid - lo) * slots, int(left.sum())
-        if all_ < EXACT_DRAWS:
-            draw = np.random.default_rng((seed, lo, hi)).multivariate_hypergeometric(left, n, method="marginals")
-        else:                                  # beyond numpy's draws the spread is under 1 in 10,000: the expectation
-            exact = left.astype(object) * n
-            draw = np.array([int(x // all_) for x in exact], np.int64)
-            most = np.argsort([-int(x % all_) for x in exact], kind="stable")[:n - int(draw.sum())]
-            draw[most] += 1
+        draw = drawn_of(left, (mid - lo) * slots, np.random.default_rng((seed, lo, hi)))
         if shard < mid:
             hi, left = mid, draw
         else:
