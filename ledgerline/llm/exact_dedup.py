@@ -112,11 +112,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       keep: str = "smallest", fan_in: int = 8) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    w_id, w_digest, digest, nth = (fresh(docs, c) for c in ("w_id", "w_digest", "text_digest", "nth"))
+    w_id, w_digest, digest = (fresh(docs, c) for c in ("w_id", "w_digest", "text_digest"))
     winners = (exact_groups(docs, id_col, text_col, keep, fan_in).where("kept")
                .select(F.col(id_col).alias(w_id), F.unhex("text_sha256").alias(w_digest)))
     tagged = docs.select(*same_columns(docs), F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias(digest))
     hit = tagged.join(winners, F.col(id_col).eqNullSafe(F.col(w_id)) & (F.col(digest) == F.col(w_digest)), "left_semi")
-    # repeated rows (same id and text): one of them; partitioned by the id, which is as good as unique
-    one = Window.partitionBy(id_col, digest).orderBy(digest)
-    return hit.withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).drop(digest, nth)
+    # repeated rows (same id and text): one of them, reduced in the map tasks already
+    return hit.dropDuplicates([id_col, digest]).drop(digest)

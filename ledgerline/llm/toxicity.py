@@ -169,7 +169,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .union(known.orderBy(order, "id").limit(max_unlabelled).withColumn("u", F.lit(1)))
               .groupBy("id", "y").agg(F.max("u").alias("u")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sample = materialize(texts.join(F.broadcast(picked), "id"))       # at most max_positive + max_unlabelled ids
+    # at most max_positive + max_unlabelled rows: of rows that repeat an id the text of the smallest hash is learnt from
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y", "u")).alias("r")
+    sample = materialize(texts.join(F.broadcast(picked), "id").groupBy("id").agg(first).select("id", "r.text", "r.y", "r.u"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
