@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, exact_dedup, mixing, queries, simhash, toxicity
-from ledgerline.session import materialize
+from ledgerline.session import TableScope, materialize
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +39,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row and the digests of ids and decoded text."""
-    path = queries.tokenizer_path()
-    return queries.token_digests(bpe.decode(bpe.encode(docs, path), path), "ids")
+    return bpe.round_trip(docs, queries.tokenizer_path(), with_ids=True)
 
 
 STAGES = [
@@ -58,5 +57,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with TableScope(spark) as scope:            # what a stage wrote on its way goes with the stage
+            docs = scope.result(materialize(stage(spark, docs, sf_dir)))
     return STAGES[-1][1](spark, docs, sf_dir)
