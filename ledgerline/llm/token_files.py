@@ -29,7 +29,6 @@ are numbers.
 
 from __future__ import annotations
 
-import json
 import os
 import struct
 import zlib
@@ -41,8 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, shuffle_partitions
-from .bpe import PLAIN, PLAIN_WORDS
-from .chunks import encode_batches, gather, ragged
+from .chunks import encode_batches, ragged
 
 MAGIC = b"RPAIR1"
 HEAD = struct.Struct("<6s4I")
@@ -183,115 +181,6 @@ def shard_bounds(docs: DataFrame, id_col: str, shards: int) -> np.ndarray:
     return np.unique(np.array(cuts, np.float64))
 
 
-class WordIds:
-    """Ids of chunks by way of their distinct words.
-
-    The library's cost is one of calls and of its split, so each word is given
-    to it once, many in one text.  Where its split of plain ASCII is the known
-    one (probed) and every word ends in a symbol with the model's suffix, the
-    ids of such a text are cut at those symbols; other chunks are joined by a
-    special token and cut at its id, or go one by one if they may hold one."""
-
-    def __init__(self, lib, model_text: str, words_kept: int = 1_000_000, at_once: int = 1 << 12):
-        self.lib, self.words_kept, self.at_once = lib, words_kept, at_once
-        model = json.loads(model_text)
-        suffix, self.added = model["model"].get("end_of_word_suffix"), {t["content"]: t["id"] for t in model["added_tokens"] if t["special"]}
-        vocab = lib.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(1 + max(lib.get_vocab().values()), bool)
-        self.ends[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
-        self.plain = bool(suffix) and all(self._split(c) == PLAIN_WORDS.findall(c.lower()) for c in _probes())
-        self._new()
-
-    def _split(self, text: str) -> list[str]:
-        if self.lib.normalizer is None or self.lib.pre_tokenizer is None:
-            return []
-        return [w for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(text))]
-
-    def _new(self) -> None:
-        self.place: dict[str, int] = {}
-        self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
-
-    def _singly(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        rows = []
-        for a in range(0, len(texts), 1 << 15):
-            rows += [e.ids for e in self.lib.encode_batch_fast(texts[a:a + (1 << 15)], add_special_tokens=False)]
-        return ragged(rows)
-
-    def _marked(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As :meth:`_singly`, many texts in one, a special token after each."""
-        if not self.added:
-            return self._singly(texts)
-        mark, number = next(iter(self.added.items()))
-        starts, flat = [np.zeros(1, np.int64)], [np.empty(0, np.int32)]
-        for a in range(0, len(texts), 512):
-            part = texts[a:a + 512]
-            ids = np.array(self.lib.encode_batch_fast([mark.join([*part, ""])], add_special_tokens=False)[0].ids, np.int32)
-            cuts = np.flatnonzero(ids == number)
-            if len(cuts) != len(part):
-                one, ids = self._singly(part)
-                cuts = one[1:]
-            else:
-                ids, cuts = np.delete(ids, cuts), cuts - np.arange(len(part))
-            starts.append(cuts + starts[-1][-1])
-            flat.append(ids)
-        return np.concatenate(starts), np.concatenate(flat)
-
-    def _words(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        starts, flat = [np.zeros(1, np.int64)], [np.empty(0, np.int32)]
-        for a in range(0, len(new), self.at_once):
-            part = new[a:a + self.at_once]
-            ids = np.array(self.lib.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part) or cuts[-1] != len(ids):
-                one, ids = self._singly(part)
-                cuts = one[1:]
-            starts.append(cuts + starts[-1][-1])
-            flat.append(ids)
-        return np.concatenate(starts), np.concatenate(flat)
-
-    def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of each chunk, as (starts, flat)."""
-        if len(self.place) > self.words_kept:
-            self._new()
-        place, new, rows, others = self.place, [], [], []
-        for c in chunks:
-            if self.plain and PLAIN.fullmatch(c) and "<|" not in c:
-                row = []
-                for w in PLAIN_WORDS.findall(c.lower()):
-                    at = place.get(w)
-                    if at is None:
-                        at = place[w] = len(place)
-                        new.append(w)
-                    row.append(at)
-                rows.append(row)
-            else:
-                rows.append([-1 - len(others)])
-                others.append(c)
-        starts, flat = self._words(new)
-        self.starts = np.concatenate([self.starts, starts[1:] + self.starts[-1]])
-        self.flat = np.concatenate([self.flat, flat])
-        if any(t in c for c in others for t in self.added):         # rare: this group one by one
-            other_starts, other_flat = self._singly(others)
-        else:
-            other_starts, other_flat = self._marked(others)
-        row_starts, refs = ragged(rows)
-        n = len(self.starts) - 1
-        ids, lengths = gather(np.concatenate([self.starts, other_starts[1:] + self.starts[-1]]),
-                              np.concatenate([self.flat, other_flat]), np.where(refs < 0, n - 1 - refs, refs))
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        return ends[row_starts], ids
-
-
-def _probes() -> Iterator[str]:
-    plain = [chr(c) for c in range(0x21, 0x7f)]
-    yield from (a + b for a in plain for b in plain)
-    yield from ("it's", "don't've", "''ll", "x'd'm're", "'sa12b,.!")
-
-
-#: Per Python worker, by the tokenizer file's checksum.
-_WORDS: dict[int, WordIds] = {}
-
-
 def token_ids(docs: DataFrame, tokenizer_path: str, vocabulary: int, id_col: str = "doc_id", text_col: str = "text",
               end_id: int = 2, shards: int | None = None) -> DataFrame:
     """(shard, id, tokens binary: little-endian ids, the end id last), 2 bytes
@@ -311,9 +200,12 @@ def token_ids(docs: DataFrame, tokenizer_path: str, vocabulary: int, id_col: str
         lib.no_truncation()
         lib.no_padding()
 
-        if crc not in _WORDS:
-            _WORDS[crc] = WordIds(lib, held.value)
-        chunks = _WORDS[crc].encode_chunks
+        def chunks(words, at_once=1 << 15):
+            rows = []
+            for a in range(0, len(words), at_once):
+                rows += [e.ids for e in lib.encode_batch_fast(words[a:a + at_once], add_special_tokens=False)]
+            return ragged(rows)
+
         for keys, ids, lengths in encode_batches(batches, chunks, chunks_kept=CHUNKS_KEPT, name=f"lib {crc}"):
             ends = np.cumsum(lengths + 1)
             flat = np.full(int(ends[-1]), end_id, kind)
