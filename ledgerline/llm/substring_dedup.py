@@ -155,11 +155,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                                               pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))],
                                              ["mz", "doc", "tag", "start", "size"])
 
-    places = slim.select("doc", "tag", "text").mapInArrow(located, "mz long, doc long, tag long, start int, size int").join(often, "mz")
+    places = slim.select("doc", "tag", "text").mapInArrow(located, "mz long, doc long, tag long, start int, size int").join(
+        often.hint("shuffle_hash"), "mz")
     # sets: rows that repeat id and text have the same places, so a list is bounded by one document
     lists = places.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "size", "mz")).alias("l")).select(
         "doc", "tag", F.flatten(F.transform("l", lambda r: F.array(r["start"].cast("long"), r["size"].cast("long"), r["mz"]))).alias("l"))
 
+    lists = materialize(lists)                          # its shuffles end before the texts are dealt
+
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             counts, digests, texts = [], [], []
@@ -173,7 +176,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                                               pa.array(digests, pa.string()), b.column(4)],
                                              ["id", "doc", "tag", "text", "n_words", "kept_sha256", "l"])
 
-    documents = materialize(slim.join(lists, ["doc", "tag"], "left").select("id", "doc", "tag", "text", "l").mapInArrow(
+    documents = materialize(slim.join(lists.hint("shuffle_hash"), ["doc", "tag"], "left").select("id", "doc", "tag", "text", "l").mapInArrow(
         told, "id long, doc long, tag long, text string, n_words long, kept_sha256 string, l array<long>"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +276,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc", "tag", F.flatten(F.transform("l", lambda r: F.array(r["first"], r["stop"]))).alias("l"))
     done = wide_docs.where("kept_sha256 IS NOT NULL").select(
         "id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
-    open_ = wide_docs.where("kept_sha256 IS NULL").join(lists, ["doc", "tag"], "left").select("id", "text", "l")
+    open_ = wide_docs.where("kept_sha256 IS NULL").join(lists.hint("shuffle_hash"), ["doc", "tag"], "left").select("id", "text", "l")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
