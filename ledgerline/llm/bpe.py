@@ -215,7 +215,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, decoder = BpeCodec(held.value), BpeDecoder(held.value)
         decimal = [str(i) for i in range(len(decoder.names))]
-        for keys, ids, lengths in encode_batches(batches, codec.encode_chunks, refs_at_once=1 << 18):
+        for keys, ids, lengths in encode_batches(batches, codec.encode_chunks, chars_at_once=1 << 21):
             for b in id_batches(keys, ids, lengths, 1 << 18):
                 rows = b.column(1)
                 ends, flat = rows.offsets.to_numpy(), rows.values.to_numpy()

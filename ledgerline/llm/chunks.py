@@ -2,8 +2,8 @@
 
 For tokenizers whose pre-tokenizer drops white space, a text's ids are the ids
 of its ASCII-white-space chunks one after another.  A group of texts is split
-once, every distinct chunk is encoded once, and the ids are gathered.  Groups
-are bounded by the number of chunk references, so memory is too.
+once (in Arrow), every distinct chunk is encoded once, and the ids are gathered.
+Groups are bounded by their characters, so memory is too.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def gather(starts: np.ndarray, flat: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -36,9 +37,9 @@ class _Places(dict):
 
     def __init__(self):
         super().__init__()
-        self.new: list[bytes] = []
+        self.new: list[str] = []
 
-    def __missing__(self, chunk: bytes) -> int:
+    def __missing__(self, chunk: str) -> int:
         self.new.append(chunk)
         self[chunk] = at = len(self)
         return at
@@ -56,52 +57,65 @@ class Known:
 _KNOWN: dict[str, Known] = {}
 
 
+def split_words(texts: list) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space, texts one after another, and the number of each text's."""
+    lists = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+    words, owner = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    real = pc.greater(pc.binary_length(words), 0)              # white space at an end gives empty words
+    if not pc.all(real).as_py():
+        words, owner = words.filter(real), owner[real.to_numpy(zero_copy_only=False)]
+    return words, np.bincount(owner, minlength=len(texts))
+
+
 class ChunkedTexts:
-    """Collects texts as references to distinct chunks.  The ids of chunks met
-    before are kept, so each flush encodes new chunks only, also across the
-    tasks of a worker (under ``name``); beyond ``chunks_kept`` the table
-    starts anew."""
+    """Collects texts; a flush turns them into references to distinct chunks.
+    The ids of chunks met before are kept, so each flush encodes new chunks
+    only, also across the tasks of a worker (under ``name``); beyond
+    ``chunks_kept`` the table starts anew."""
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], chunks_kept: int = 300_000,
                  name: str | None = None):
         self.encode, self.chunks_kept, self.name = encode, chunks_kept, name
         self.known = _KNOWN.setdefault(name, Known()) if name else Known()
-        self.refs: list[np.ndarray] = []
+        self.texts: list[str | None] = []
         self.size = 0
 
     def add(self, text: str | None) -> None:
-        words = text.encode("utf-8").split() if text else ()
-        refs = np.fromiter(map(self.known.place.__getitem__, words), np.int32, len(words))
-        self.refs.append(refs)
-        self.size += len(refs)
+        self.texts.append(text)
+        self.size += len(text or "")
 
     def flush(self, refs_at_once: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids one after another, number of ids of each text) for runs of the
         texts added since the last flush, in order."""
-        known, new = self.known, self.known.place.new
+        known = self.known
+        words, counts = split_words(self.texts)
+        self.texts, self.size = [], 0
+        told = words.dictionary_encode()
+        distinct = told.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = np.fromiter(map(known.place.__getitem__, distinct), np.int32, len(distinct))
+        refs = places[told.indices.to_numpy()]
+        del words, told, distinct
+        new = known.place.new
         if new:
-            starts, flat = self.encode([w.decode("utf-8") for w in new])
+            starts, flat = self.encode(new)
             known.starts = np.concatenate([known.starts, starts[1:] + known.starts[-1]])
             known.flat = np.concatenate([known.flat, flat])
-            new.clear()
-        part, n = [], 0
-        for k, refs in enumerate(self.refs):
-            part.append(refs)
-            n += len(refs)
-            if n >= refs_at_once or k + 1 == len(self.refs):
-                ids, lengths = gather(known.starts, known.flat, np.concatenate(part))
-                ends = np.concatenate([[0], np.cumsum(lengths)])
-                cut = np.concatenate([[0], np.cumsum([len(r) for r in part])])
-                yield ids, ends[cut[1:]] - ends[cut[:-1]]
-                part, n = [], 0
-        self.refs, self.size = [], 0
+            known.place.new = []
+        cut = np.concatenate([[0], np.cumsum(counts)])
+        a = 0
+        while a < len(counts):
+            b = max(a + 1, int(np.searchsorted(cut, cut[a] + refs_at_once, "right")) - 1)
+            ids, lengths = gather(known.starts, known.flat, refs[cut[a]:cut[b]])
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            yield ids, np.diff(ends[cut[a:b + 1] - cut[a]])
+            a = b
         if len(known.place) > self.chunks_kept:
             self.known = Known()
             if self.name:
                 _KNOWN[self.name] = self.known
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int = 1 << 20, chunks_kept: int = 300_000,
+def encode_batches(batches: Iterator[pa.RecordBatch], encode, chars_at_once: int = 1 << 23, chunks_kept: int = 300_000,
                    name: str | None = None) -> Iterator[tuple]:
     """Batches of (key, text) -> (keys, ids, lengths) for bounded groups of rows."""
     held, keys = ChunkedTexts(encode, chunks_kept, name), []
@@ -116,7 +130,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], encode, refs_at_once: int
         for key, text in zip(batch.column(0), batch.column(1)):
             keys.append(key)
             held.add(text.as_py())
-            if held.size >= refs_at_once:
+            if held.size >= chars_at_once:
                 yield from out()
                 keys = []
     if keys:

@@ -26,10 +26,10 @@ def test_round_trip_and_random_access(ids, last):
     seq, marks, rules, lengths = token_files.repair(ids, last, 49_408)
     payload = token_files.pack(seq, rules, lengths, 49_408)
     first, r, n, s = token_files.unpack(payload)
-    assert (token_files.expand(s, first, r) == ids).all() and marks.sum() == last.sum()
+    assert (token_files.expand(s, first, r, n) == ids).all() and marks.sum() == last.sum()
     for k, (a, b) in enumerate(r):
         assert a < first + k and b < first + k
-        assert len(token_files.expand(np.array([first + k]), first, r)) == n[k]
+        assert len(token_files.expand(np.array([first + k]), first, r, n)) == n[k]
     rng = np.random.default_rng(0)
     for _ in range(30):
         a, b = sorted(rng.integers(0, len(ids) + 1, 2))
@@ -64,3 +64,49 @@ def test_edges_blocks_and_shards(spark):
         at += len(r.tokens)
     none = token_files.write_blocks(token_files.token_ids(df.where("false"), PATH, 49_408), 49_408)
     assert token_files.read_documents(none).count() == 0
+
+
+def test_joined_words_agree_with_the_library():
+    from test_bpe import texts
+    model = open(PATH, encoding="utf-8").read()
+    lib, words = Tokenizer.from_file(PATH), token_files.WordIds(model, words_at_once=50)
+    assert words.joins
+    chunks = [c for t in texts() for c in t.encode().decode().split()]
+    chunks += ["Then,", "then", "THEN!!", "É.", "İstanbul,", "क़ल", "Ω", "a.b", "...", "word.,!", "É", "'s", "s", "<|ENDOFTEXT|>,"]
+    for part in (chunks, chunks[:1], ["..."], []):
+        starts, flat = words(part)
+        assert [flat[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [
+            lib.encode(c, add_special_tokens=False).ids for c in part]
+    # a tokenizer that keeps case is probed to be another one, and asked chunk by chunk
+    import json
+    told = json.loads(model)
+    told["normalizer"] = None
+    kept = token_files.WordIds(json.dumps(told))
+    assert not kept.joins
+    starts, flat = kept(["The", "the,"])
+    assert flat.tolist() == [i for c in ("The", "the,") for i in Tokenizer.from_str(json.dumps(told)).encode(c).ids]
+
+
+def test_no_pair_is_left_and_wide_symbols(capsys):
+    rng = np.random.default_rng(1)
+    ids = rng.zipf(1.2, 300_000) % 65_400
+    last = np.append(rng.random(299_999) < 0.002, True)
+    seq, marks, rules, lengths = token_files.repair(ids, last, 65_400)
+    assert len(rules) > 200                                     # beyond 16 bits: a bit plane
+    pair = (seq[:-1].astype(np.int64) << 32 | seq[1:])[~marks[:-1]]
+    found, n = np.unique(pair, return_counts=True)
+    runs = found >> 32 == found & 0xFFFFFFFF                    # a run of one symbol holds half as many pairs as places
+    assert n[~runs].max() < 8
+    first, r, n, s = token_files.unpack(token_files.pack(seq, rules, lengths, 65_400))
+    assert (s == seq).all() and (r == rules).all() and (token_files.expand(s, first, r, n) == ids).all()
+
+
+def test_one_id_takes_many_shards(spark):
+    df = spark.range(40_000).selectExpr("case when id % 10 < 9 then null else id end doc_id", "concat('words of ', id % 50) text")
+    tokens = token_files.token_ids(df, PATH, 49_408, shards=16)
+    sizes = [r["count"] for r in tokens.groupBy("shard").count().collect()]
+    assert max(sizes) < 40_000 / 4 and sum(sizes) == 40_000
+    got = token_files.read_documents(token_files.write_blocks(tokens, 49_408, block_ids=5000), with_tokens=False)
+    rows = got.orderBy("start").collect()
+    assert [r.id for r in rows] == [None] * 36_000 + list(range(9, 40_000, 10))
+    assert rows[0].start == 0 and all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:]))
