@@ -4,7 +4,9 @@ The script of a word (by Unicode ranges) narrows the candidates to the
 languages seen with it in training.  Each word gets a score per candidate, the
 log-probability of its letter trigrams and bigrams (naive Bayes).  Viterbi over
 the words of a text, with a penalty for switching, labels every word; equal
-neighbours form spans.  The text's language is the one with most letters.
+neighbours form spans.  The text's language is the one with most letters.  A
+very long text is cut into pieces that are joined by the best scores at their
+ends, which gives a best path of the whole text.
 
 Training counts letter n-grams of about ``docs_per_language`` documents of each
 language, chosen by a hash of their id (a parameter; the rate comes from the
@@ -14,7 +16,7 @@ language's full count); the counts are aggregated by Spark into a table of
 Defined results: a text that is null or has no letter is "und" with score 0
 and has no spans; so is every text if nothing was learned; words without
 letters follow their neighbours; ties go to the first language by name; rows
-that repeat an id are each labelled; an empty table gives an empty result;
+that repeat an id, or have none, are each labelled; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 CELLS = 1 << 15
 WORDS_AT_ONCE = 1 << 20
 CACHED_WORDS = 1 << 18
+PIECE_WORDS = 1 << 12
 UNDECIDED = "und"
 
 # Scripts by their main Unicode ranges; other letters are "other".
@@ -106,9 +109,11 @@ class Model:
         return out, size
 
 
-def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
+def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float, first: np.ndarray | None = None,
+            end: np.ndarray | None = None) -> np.ndarray:
     """Best language number of each word, texts one after another; all texts
-    of the group step together, longest first."""
+    of the group step together, longest first.  ``first`` and ``end`` fix the
+    languages a text begins and ends with (-1: free)."""
     begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     order = np.argsort(-lengths, kind="stable")
     begin, size = begin[order], lengths[order]
@@ -118,6 +123,9 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     label = np.zeros(n_words, np.int32)
     active = int((size > 0).sum())
     best = scores[begin[:active]].astype(np.float64)
+    if first is not None:
+        fixed = first[order][:active]
+        best[(fixed >= 0)[:, None] & (np.arange(n_langs) != fixed[:, None])] = -np.inf
     final = np.zeros(len(size), np.int32)
     for t in range(1, int(size.max(initial=0)) + 1):
         still = int(np.searchsorted(-size, -t))                  # texts with more than t words
@@ -133,6 +141,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
         stay[at], jump[at] = keep, top
         best = np.where(keep, best, other) + scores[at]
     now = final.copy()
+    if end is not None:
+        now = np.where(end[order] >= 0, end[order], now).astype(np.int32)
     for t in range(int(size.max(initial=0)) - 1, -1, -1):
         n = int(np.searchsorted(-size, -t))
         at = begin[:n] + t
@@ -142,6 +152,57 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     return label
 
 
+def piece_ends(scores: np.ndarray, begin: np.ndarray, size: np.ndarray, switch: float) -> np.ndarray:
+    """Best score of each piece by the languages it begins and ends with
+    (pieces, first language, last language); sizes in descending order."""
+    n_langs = scores.shape[1]
+    ends = np.full((len(begin), n_langs, n_langs), -np.inf)
+    ends[:, np.arange(n_langs), np.arange(n_langs)] = scores[begin]
+    for t in range(1, int(size.max(initial=0))):
+        n = int(np.searchsorted(-size, -t))                      # pieces with more than t words
+        now = ends[:n]
+        ends[:n] = np.maximum(now, now.max(axis=2, keepdims=True) - switch) + scores[begin[:n] + t][:, None, :]
+    return ends
+
+
+def label_words(scores: np.ndarray, lengths: np.ndarray, switch: float, piece: int = PIECE_WORDS) -> np.ndarray:
+    """:func:`viterbi` of texts of any length.  A text of more than ``piece``
+    words is cut into pieces that step together: the best scores of each by the
+    languages at its ends (a max-plus product) give the best languages at all
+    cuts, and between fixed ends the pieces are independent."""
+    lengths = np.asarray(lengths, np.int64)
+    if not (lengths > piece).any():
+        return viterbi(scores, lengths, switch)
+    number = np.maximum(-(-lengths // piece), 1)
+    text = np.repeat(np.arange(len(lengths)), number)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)
+    size = np.minimum(lengths[text] - nth * piece, piece)
+    begin = (np.cumsum(lengths) - lengths)[text] + nth * piece
+    cut = np.flatnonzero(number[text] > 1)
+    order = cut[np.argsort(-size[cut], kind="stable")]
+    ends = np.empty((len(cut), scores.shape[1], scores.shape[1]))
+    ends[np.searchsorted(cut, order)] = piece_ends(scores, begin[order], size[order], switch)
+    first, last = np.full(len(text), -1, np.int32), np.full(len(text), -1, np.int32)
+    at = 0
+    for k in number[number > 1]:
+        back, total = [], None
+        for m in ends[at:at + k]:
+            if total is None:
+                come, total = np.arange(len(m)), np.zeros(len(m))
+            else:                                                # a word's language: stay, or switch from the best one
+                top, jump = int(total.argmax()), total.max() - switch
+                come, total = np.where(total >= jump, np.arange(len(m)), top), np.maximum(total, jump)
+            reach = total[:, None] + m
+            back.append((come, reach.argmax(axis=0)))
+            total = reach.max(axis=0)
+        e = int(total.argmax())
+        for i, (come, best) in zip(cut[at:at + k][::-1], back[::-1]):
+            last[i], first[i] = e, best[e]
+            e = int(come[first[i]])
+        at += k
+    return viterbi(scores, size, switch, first, last)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           train_rows: Column | None = None, docs_per_language: int = 2000) -> Model:
     """A model from documents with a language for which ``train_rows`` holds."""
@@ -213,7 +274,7 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             lengths = np.array([len(r) for r in refs], np.int64)
             which = np.concatenate([*refs, np.empty(0, np.int32)])
             letters_ = weight[which]
-            best = viterbi(table[which], lengths, m.switch) if len(which) and n_langs else np.zeros(
+            best = label_words(table[which], lengths, m.switch) if len(which) and n_langs else np.zeros(
                 len(which), np.int32)
             langs, scores, spans = [], [], []
             for a, n in zip(np.cumsum(lengths) - lengths, lengths):

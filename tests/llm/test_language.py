@@ -1,4 +1,5 @@
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -32,6 +33,30 @@ def test_viterbi_against_all_paths():
         a += n
 
 
+def test_long_texts_in_pieces_are_as_good_as_whole():
+    rng = np.random.default_rng(5)
+    for piece in (1, 2, 3, 7):
+        lengths = rng.integers(0, 40, 30)
+        lengths[3] = 0
+        scores = rng.normal(size=(lengths.sum(), 4)).astype(np.float32) * 2
+        scores[rng.random(scores.shape) < 0.1] = -12
+        whole, parts = language.viterbi(scores, lengths, 2.5), language.label_words(scores, lengths, 2.5, piece)
+        a = 0
+        for n in lengths:
+            value = lambda p: scores[np.arange(a, a + n), p].sum(dtype=np.float64) - 2.5 * (p[1:] != p[:-1]).sum()
+            assert abs(value(whole[a:a + n]) - value(parts[a:a + n])) < 1e-6
+            a += n
+
+
+def test_a_text_of_a_million_words():
+    scores = np.zeros((1_000_000, 3), np.float32)
+    want = np.repeat([0, 2, 1, 2], 250_000)
+    scores[np.arange(len(want)), want] = 1
+    began = time.process_time()
+    assert (language.label_words(scores, np.array([len(want)]), 8.0) == want).all()
+    assert time.process_time() - began < 30                   # word by word it takes more than a minute
+
+
 def model(spark):
     en = "the house and the garden are what this river with other things"
     de = "das haus und der garten sind was dieser fluss mit anderen dingen nicht"
