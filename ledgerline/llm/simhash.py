@@ -11,8 +11,9 @@ Nothing is lost and no table is probabilistic.
 
 Equal fingerprints are collapsed first.  A bucket with more than
 ``wide_bucket`` different fingerprints is dealt again by a second covering
-family inside the bucket; the positions free in both families bound what one
-task can meet (:func:`widest`).  A task emits a spanning forest of its links,
+family inside the bucket; a bucket still wider than that (:func:`widest` bounds
+it) is cut into blocks, and every two blocks are a group.  A group thus holds
+about twice ``wide_bucket`` fingerprints at most.  A task emits a spanning forest of its links,
 never all pairs.  Components come from :mod:`components`.
 
 Defined results: null and white-space texts have fingerprint zero and link
@@ -178,9 +179,15 @@ def covering_links(prints: DataFrame, radius: int = 3, wide_bucket: int = 2048)
                        .where(F.col("n") > wide_bucket).drop("n"))
     narrow = cover.join(wide, ["table1", "key1"], "left_anti")
     again = dealt(cover.join(wide, ["table1", "key1"], "left_semi"), covering_masks(radius, 23), 2)
+    # what is still wide goes block against block, every pair of blocks a group of its own
+    keys = ["table1", "key1", "table2", "key2"]
+    sizes = again.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > wide_bucket)
+    cut = again.join(sizes, keys, "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / wide_bucket), F.lit(1))).withColumn(
+        "own", F.pmod(F.xxhash64("fp"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    blocks = cut.select(*keys, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
     return (_links(narrow.select("table1", "key1", "fp"), ["table1", "key1"], radius)
-            .union(_links(again.select("table1", "key1", "table2", "key2", "fp"),
-                          ["table1", "key1", "table2", "key2"], radius)))
+            .union(_links(blocks, [*keys, "lo", "hi"], radius)))
 
 
 def _placed(classes: DataFrame, radius: int, wide_bucket: int = 2048) -> DataFrame:

@@ -87,6 +87,25 @@ def test_a_doubly_dealt_bucket_is_small():
     assert simhash.widest(3) <= 20
 
 
+def test_no_task_compares_a_wide_bucket(spark, monkeypatch):
+    """Fingerprints that no table tells apart go to groups of about two blocks."""
+    free = [i for i in range(64) if not (simhash.covering_masks(3, 1)[0] | simhash.covering_masks(3, 23)[0]) >> i & 1]
+    fps = [sum(1 << b for j, b in enumerate(free[:9]) if k >> j & 1) for k in range(512)]
+    fps = [f - (1 << 64) if f >> 63 else f for f in fps]
+    seen = []
+    links = simhash._links
+
+    def watched(buckets, keys, radius):
+        seen.append(max((r["count"] for r in buckets.groupBy(*keys).count().collect()), default=0))
+        return links(buckets, keys, radius)
+
+    monkeypatch.setattr(simhash, "_links", watched)
+    got = simhash.covering_links(spark.createDataFrame([(f,) for f in fps], "fp long"), wide_bucket=64)
+    roots = {r.node: r.root for r in connected_components(got).collect()}
+    assert len({roots[f] for f in fps}) == 1                  # a cube: all reachable
+    assert seen[0] <= 64 and 64 < seen[1] < 3 * 64
+
+
 def test_links_of_one_hot_bucket(spark):
     rng = np.random.default_rng(0)
     fps = sorted({int(sum(1 << int(b) for b in rng.choice(64, 2, replace=False))) for _ in range(600)})
