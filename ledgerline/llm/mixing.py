@@ -18,8 +18,9 @@ hash buckets, whose totals alone are summed per source.  One row per *source*
 (name, size) comes to the driver, for the targets.
 
 Defined results: null and white-space texts have size 0 and take nothing; a
-null source is a source, last in the order; rows that repeat an id are mixed
-each on its own; an empty table gives an empty result; other columns are kept
+null source is a source, last in the order; rows that repeat an id, or have
+none, are mixed each on its own (copies of one row, equal in id, text and
+source, are numbered in one task); an empty table gives an empty result; other columns are kept
 out of the way.
 """
 
@@ -147,9 +148,10 @@ class Mix:
         spark = docs.sparkSession
         slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                            F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-                           .alias("size"), self._nth_key(F.col(text_col)).alias("h"))
-        one = Window.partitionBy("id").orderBy("h", "source")
-        sized = materialize(slim.withColumn("nth", F.row_number().over(one)).drop("h"))
+                           .alias("size"), self._row_key(F.col(text_col), F.col(source_col)).alias("h"))
+        # rows that share an id are told apart by text and source; only copies of one row are numbered
+        one = Window.partitionBy("id", "h").orderBy("source")
+        sized = materialize(slim.withColumn("nth", F.row_number().over(one)))
         # one row per source
         per = sorted(((r.source, r.size) for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()),
                      key=lambda r: (r[0] is None, r[0] or ""))
@@ -159,30 +161,30 @@ class Mix:
         named = spark.createDataFrame([(i, n, s, t) for i, ((n, s), t) in enumerate(zip(per, aim))],
                                       "sid int, source string, source_size long, target double")
         self.sized = sized.join(named, sized["source"].eqNullSafe(named["source"])).select(
-            "id", "nth", "size", "sid", "source_size", "target")
+            "id", "h", "nth", "size", "sid", "source_size", "target")
         self.pieces = self._pieces(block_words)
         self.slots = self._slots(size, wanted, block_words, shard_slots, seed)
 
     @staticmethod
-    def _nth_key(text: Column) -> Column:
-        return F.xxhash64(text.cast("string"))
+    def _row_key(text: Column, source: Column) -> Column:
+        return F.xxhash64(text.cast("string"), source.cast("string"))
 
     def _pieces(self, block: int) -> DataFrame:
-        """Parts of documents by block: sid, block, at (place in the block), id, nth, from_word, words."""
+        """Parts of documents by block: sid, block, at (place in the block), id, h, nth, from_word, words."""
         buckets = 4 * max(16, shuffle_partitions(self.docs.sparkSession))
         rows = self.sized.where("size > 0").select(
-            "id", "nth", "size", "sid", F.pmod(F.xxhash64("id", "nth"), F.lit(buckets)).alias("bucket"))
+            "id", "h", "nth", "size", "sid", F.pmod(F.xxhash64("id", "h", "nth"), F.lit(buckets)).alias("bucket"))
         before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         heads = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n")).select(       # <= buckets rows a source
             "sid", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("head"))
-        inside = Window.partitionBy("sid", "bucket").orderBy("id", "nth").rowsBetween(Window.unboundedPreceding, -1)
+        inside = Window.partitionBy("sid", "bucket").orderBy("id", "h", "nth").rowsBetween(Window.unboundedPreceding, -1)
         placed = rows.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
             heads, ["sid", "bucket"]).withColumn("start", F.col("start") + F.col("head"))
         split = placed.withColumn("block", F.explode(F.sequence(
             F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
         lo = F.greatest(F.col("block") * block, F.col("start"))
         hi = F.least((F.col("block") + 1) * block, F.col("start") + F.col("size"))
-        return split.select("sid", "block", (lo - F.col("block") * block).alias("at"), "id", "nth",
+        return split.select("sid", "block", (lo - F.col("block") * block).alias("at"), "id", "h", "nth",
                             (lo - F.col("start")).alias("from_word"), (hi - lo).alias("words"))
 
     def _slots(self, size, wanted, block, shard_slots, seed) -> DataFrame:
@@ -217,18 +219,19 @@ class Mix:
             run, "shard long, place long, sid int, pass long, block long, most long")
 
     def drawn(self) -> DataFrame:
-        """Parts of documents in the mix: shard, place, at, pass, id, nth, from_word, words."""
+        """Parts of documents in the mix: shard, place, at, pass, id, h, nth, from_word, words."""
         # Spark sizes the slots by the few shards they are made from: never broadcast them
         hit = self.slots.join(self.pieces.hint("merge"), ["sid", "block"]).withColumn(
             "words", F.least("words", F.col("most") - F.col("at")))
-        return hit.where("words > 0").select("shard", "place", "at", "pass", "id", "nth", "from_word", "words")
+        return hit.where("words > 0").select("shard", "place", "at", "pass", "id", "h", "nth", "from_word", "words")
 
     def taken(self) -> DataFrame:
         """One row per input row: id_col, size, source_size, target, taken."""
-        words = self.drawn().groupBy("id", "nth").agg(F.sum("words").alias("words")).select(
-            F.col("id").alias("t_id"), F.col("nth").alias("t_nth"), "words")
+        words = self.drawn().groupBy("id", "h", "nth").agg(F.sum("words").alias("words")).select(
+            F.col("id").alias("t_id"), F.col("h").alias("t_h"), F.col("nth").alias("t_nth"), "words")
         s = self.sized
-        return s.join(words, s["id"].eqNullSafe(words["t_id"]) & (s["nth"] == words["t_nth"]), "left").select(
+        same = s["id"].eqNullSafe(words["t_id"]) & (s["h"] == words["t_h"]) & (s["nth"] == words["t_nth"])
+        return s.join(words, same, "left").select(
             F.col("id").alias(self.id_col), "size", "source_size", "target",
             F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
 
@@ -238,14 +241,16 @@ class Mix:
         in their order (the text unchanged where all are taken, else joined by
         one space).  Documents of which nothing is taken are not in the mix."""
         docs = self.docs
-        key, key_nth, nth, parts, texts = (fresh(docs, c) for c in ("mix_id", "mix_key", "mix_nth", "mix_parts", "mix_texts"))
+        key, key_h, key_nth, h, nth, parts, texts = (fresh(docs, c) for c in (
+            "mix_id", "mix_row", "mix_key", "mix_hash", "mix_nth", "mix_parts", "mix_texts"))
         part = F.struct("pass", "from_word", "words")
-        lists = self.drawn().groupBy("id", "nth").agg(F.sort_array(F.collect_list(part)).alias("l")).select(
-            F.col("id").alias(key), F.col("nth").alias(key_nth), F.flatten(F.transform("l", lambda p: F.array(
+        lists = self.drawn().groupBy("id", "h", "nth").agg(F.sort_array(F.collect_list(part)).alias("l")).select(
+            F.col("id").alias(key), F.col("h").alias(key_h), F.col("nth").alias(key_nth), F.flatten(F.transform("l", lambda p: F.array(
                 p["pass"], p["from_word"], p["words"]))).alias(parts))
-        one = Window.partitionBy(self.id_col).orderBy(self._nth_key(F.col(self.text_col)), self.source_col)
-        numbered = docs.select(*same_columns(docs)).withColumn(nth, F.row_number().over(one))
-        hit = numbered.join(lists, F.col(self.id_col).eqNullSafe(F.col(key)) & (F.col(nth) == F.col(key_nth)))
+        hashed = docs.select(*same_columns(docs), self._row_key(F.col(self.text_col), F.col(self.source_col)).alias(h))
+        numbered = hashed.withColumn(nth, F.row_number().over(Window.partitionBy(self.id_col, h).orderBy(self.source_col)))
+        hit = numbered.join(lists, F.col(self.id_col).eqNullSafe(F.col(key)) & (F.col(h) == F.col(key_h))
+                            & (F.col(nth) == F.col(key_nth)))
 
         @F.pandas_udf("array<string>")
         def cut(text: pd.Series, flat: pd.Series) -> pd.Series:

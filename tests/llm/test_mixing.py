@@ -124,7 +124,23 @@ def test_parts_of_rows_that_share_an_id_are_apart(spark):
     mix = mixing.Mix(docs)
     out = mix.documents()
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert re.search(r"Aggregate \[id#\d+L?, nth#\d+L?\], .*collect_list", plan)
+    assert re.search(r"Aggregate \[id#\d+L?, h#\d+L?, nth#\d+L?\], .*collect_list", plan)
     got = [r.text.split() for r in out.collect()]
     assert all(len({w.split("w")[0] for w in t}) == 1 for t in got)
     assert sum(map(len, got)) == sum(r.taken for r in mix.taken().collect()) == 360
+
+
+def test_many_rows_without_an_id(spark):
+    """Null ids are told apart by text; the mix is whole and no numbering group holds them all."""
+    df = spark.range(3000).selectExpr("cast(if(id % 3 = 0, id, null) as long) doc_id", "concat('w', id % 900, ' and some words') text",
+                                      "concat('s', id % 2) source", "'x' h", "1 nth")
+    mix = mixing.Mix(df, block_words=16, shard_slots=64)
+    rows = mix.taken().collect()
+    assert len(rows) == 3000 and all(r.taken <= 3 * r.size for r in rows)
+    for target in {(r.source_size, r.target) for r in rows}:
+        taken = sum(r.taken for r in rows if (r.source_size, r.target) == target)
+        assert abs(taken - round(target[1])) <= 1
+    assert mix.sized.groupBy("id", "h").count().agg({"count": "max"}).first()[0] < 10
+    out = mix.documents()
+    assert out.columns == df.columns
+    assert sum(len(r.text.split()) for r in out.collect()) == sum(r.taken for r in rows)
