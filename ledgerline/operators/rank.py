@@ -77,20 +77,15 @@ def range_bounds(df: DataFrame, order_col: str, ranges: int) -> Column:
     return keys.select(F.filter(cuts, lambda c: c.isNotNull())).scalar()
 
 
-def range_number(key: str, bounds: str, ranges: int) -> Column:
-    """How many keys of the column ``bounds`` are at most the key, by binary search."""
-    steps = max(1, ranges).bit_length()
-
-    def halve(at: Column, _: Column) -> Column:
-        middle = F.shiftright(at["low"] + at["high"], 1)
-        above = F.get(at["bounds"], middle) <= F.col(key)
-        more = at["low"] < at["high"]
-        return F.struct(F.when(more & above, middle + 1).otherwise(at["low"]).alias("low"),
-                        F.when(more & ~F.coalesce(above, F.lit(False)), middle).otherwise(at["high"]).alias("high"),
-                        at["bounds"].alias("bounds"))
-
-    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"), F.col(bounds).alias("bounds"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["low"]
+def with_range(df: DataFrame, key: str, bounds: Column, ranges: int, out: str) -> DataFrame:
+    """``df`` plus ``out``: how many of the sorted ``bounds`` (fewer than
+    ``ranges``) are at most the key; 0 for a null key.  A binary search with one
+    projection a step: compiled, which a lambda over an array is not."""
+    found = df.withColumn("_bounds", bounds).withColumn(out, F.lit(0))
+    for k in reversed(range(max(1, ranges).bit_length())):
+        above = F.get("_bounds", F.col(out) + ((1 << k) - 1)) <= F.col(key)         # null past the last bound
+        found = found.withColumn(out, F.col(out) + F.when(above, F.lit(1 << k)).otherwise(F.lit(0)))
+    return found.drop("_bounds")
 
 
 def exclusive_prefix_sum(df: DataFrame, order_col: str, weight, out,
@@ -112,8 +107,7 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, weight, out,
     weights = [weight] if isinstance(weight, str) else list(weight)
     outs = [out] if isinstance(out, str) else list(out)
     ranges = num_ranges or max(2, shuffle_partitions(df.sparkSession))
-    ranged = df.withColumn("_bounds", range_bounds(df, order_col, ranges)).withColumn(
-        "_range", range_number(order_col, "_bounds", ranges)).drop("_bounds")
+    ranged = with_range(df, order_col, range_bounds(df, order_col, ranges), ranges, "_range")
     per_range = ranged.groupBy("_range").agg(*[F.sum(w).alias(f"_range_sum{i}") for i, w in enumerate(weights)])
     before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import contains_any, indent, oracle_concat
 from ledgerline.operators.calendar import calendar
 from ledgerline.operators.densify import densify
-from ledgerline.operators.rank import global_percent_rank, top_k_by_rank
+from ledgerline.operators.rank import exclusive_prefix_sum, global_percent_rank, top_k_by_rank
 from ledgerline.operators.windows import argmax_rows, ratio_to_report
 from ledgerline.functions.dates import month_series
 
@@ -148,3 +148,24 @@ def test_oracle_date_formats_and_truncation(spark):
                   trunc_day("t").alias("d"), trunc_quarter("t").alias("q")).first()
     assert (r.a, r.b, r.d, r.q) == (dt.date(2016, 1, 31), dt.date(2017, 7, 21), dt.date(2014, 8, 15),
                                     dt.date(2014, 7, 1))
+
+
+def test_ranges_of_a_prefix_sum_are_found_by_compiled_code(spark):
+    """A lambda over an array is interpreted: 27 us a row and range lookup on paths."""
+    rows = spark.range(500).select(F.array(F.lit(1).cast("long"), F.col("id") * 7 % 500).alias("key"), (F.col("id") % 3).alias("w"))
+    got = exclusive_prefix_sum(rows, "key", "w", "before", num_ranges=9)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_range" in plan and not [line for line in plan.splitlines() if "_range" in line and "lambda" in line]
+    weights = {r["key"][1]: r["w"] for r in rows.collect()}
+    assert {r["key"][1]: r["before"] for r in got.collect()} == {k: sum(weights[j] for j in range(k)) for k in range(500)}
+
+
+def test_with_range_counts_the_bounds_up_to_a_key(spark):
+    from bisect import bisect_right
+
+    from ledgerline.operators.rank import with_range
+    for bounds, ranges in (([], 4), ([5], 2), ([2, 2, 9], 4), (list(range(0, 30, 2)), 16), (list(range(0, 32, 2)), 17)):
+        keys = [*range(-1, 34), None]
+        held = F.array(*[F.lit(b).cast("long") for b in bounds]).cast("array<long>")
+        got = with_range(spark.createDataFrame([(k,) for k in keys], "k long"), "k", held, ranges, "r").collect()
+        assert {r["k"]: r["r"] for r in got} == {k: 0 if k is None else bisect_right(bounds, k) for k in keys}
