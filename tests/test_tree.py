@@ -80,3 +80,8 @@ def test_a_directory_with_most_of_the_nodes_is_dealt_over_slots(spark):
     slots = max(8, session.shuffle_partitions(spark))
     largest = rows.groupBy("parent_id", F.pmod(F.xxhash64("id"), F.lit(slots))).count().agg(F.max("count")).first()[0]
     assert largest < 1.5 * n / slots
+
+
+def test_subtree_totals_look_ranges_up_without_lambdas(spark):
+    plan = tree_report(spark.createDataFrame(NODES, FILE_SYSTEM))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_range" in plan and not [line for line in plan.splitlines() if "_range" in line and "lambda" in line]
