@@ -48,16 +48,69 @@ from .fm_index import FmIndex
 
 MOST_WINDOWS = 32
 SHARD_WORDS = 1 << 17
-CACHED_WORDS = 1 << 17
+PIECE = 1 << 18                                     # bytes hashed at once
+LONG_WORD = 1 << 16                                 # longer words are hashed one by one
 NULL_ID = -(1 << 63)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word, 7)
-        return h
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+# A word's hash is a polynomial in its bytes, so all words are hashed from running sums over the bytes.
+_BASE = 0x9E3779B97F4A7C15
+_UP, _DOWN = _powers(_BASE, PIECE + LONG_WORD), _powers(pow(_BASE, -1, 1 << 64), PIECE + LONG_WORD)
+_BYTE = np.array([xxhash.xxh64_intdigest(bytes([k]), 7) for k in range(256)], np.uint64)
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[9, 10, 11, 12, 13, 32]] = False
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[start:stop]``; a hash follows from the word's bytes alone."""
+    out = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        if stops[a] - starts[a] > LONG_WORD:
+            out[a] = xxhash.xxh64_intdigest(data[starts[a]:stops[a]], 7)
+            a += 1
+            continue
+        b = int(np.searchsorted(starts, starts[a] + PIECE))
+        long_ = np.flatnonzero(stops[a:b] - starts[a:b] > LONG_WORD)
+        b = a + int(long_[0]) if len(long_) else b
+        part = data[starts[a]:stops[b - 1]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * _UP[:len(part)], out=sums[1:])
+        first, last = starts[a:b] - starts[a], stops[a:b] - starts[a]
+        out[a:b] = (sums[last] - sums[first]) * _DOWN[first]
+        a = b
+    out ^= out >> np.uint64(32)
+    return out
+
+
+def _word_hashes(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, number of words of each text, hashes of their words) for
+    groups of texts of about ``PIECE`` bytes."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    if not len(texts):
+        return
+    _, offsets, held = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    held = np.frombuffer(held, np.uint8) if held else np.empty(0, np.uint8)
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + PIECE, "right")) - 1)
+        cuts, data = ends[a:b + 1] - ends[a], held[ends[a]:ends[b]]
+        inside = _IN_WORD[data]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        seam = cuts[(cuts > 0) & (cuts < len(data))]           # a word ends with its text
+        first[seam], last[seam - 1] = inside[seam], inside[seam - 1]
+        starts = np.flatnonzero(first)
+        yield a, np.diff(np.searchsorted(starts, cuts)), _hashes(data, starts, np.flatnonzero(last) + 1)
+        a = b
 
 
 def _rolled(h: np.ndarray, n: int) -> np.ndarray:
@@ -70,29 +123,40 @@ def _rolled(h: np.ndarray, n: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def runs(words: list[bytes], cache: _Hashes, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of a document: (minimizer, first window, number of windows,
-    whether a window of it occurs twice in the document)."""
-    if len(words) < window:
-        none = np.empty(0, np.int64)
-        return none, none, none, none.astype(bool)
-    h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-    low, span = _rolled(h, gram), 1
-    wide = window - gram + 1
-    while 2 * span <= wide:
-        low, span = np.minimum(low[:-span], low[span:]), 2 * span
-    if span < wide:
-        low = np.minimum(low[:len(low) - (wide - span)], low[wide - span:])
-    k = np.arange(len(low))
-    new = np.concatenate([[True], low[1:] != low[:-1]])
-    start = np.flatnonzero(new | ((k - np.maximum.accumulate(np.where(new, k, 0))) % MOST_WINDOWS == 0))
-    size = np.diff(np.append(start, len(low)))
-    whole = _rolled(h, window)
-    order = np.argsort(whole)
-    same = whole[order][1:] == whole[order][:-1]
-    twice = np.zeros(len(whole), bool)
-    twice[order[1:][same]] = twice[order[:-1][same]] = True
-    return low[start].view(np.int64), start, size, np.logical_or.reduceat(twice, start)
+def runs(texts: pa.Array, window: int, gram: int, twice: bool = False) -> list[np.ndarray]:
+    """Segments of texts: [number of the text, minimizer, first window, number
+    of windows, and with ``twice`` whether a window of it occurs twice in its text]."""
+    got = [[np.empty(0, np.int64)] * 4 + [np.empty(0, bool)] * twice]
+    for base, words, h in _word_hashes(texts):
+        counts = np.maximum(words - window + 1, 0)
+        heads, n = np.cumsum(counts) - counts, int(counts.sum())
+        if not n:
+            continue
+        low, span = _rolled(h, gram), 1
+        wide = window - gram + 1
+        while 2 * span <= wide:
+            low, span = np.minimum(low[:-span], low[span:]), 2 * span
+        if span < wide:
+            low = np.minimum(low[:len(low) - (wide - span)], low[wide - span:])
+        k = np.arange(n)
+        at = k + np.repeat(np.cumsum(words) - words - heads, counts)       # windows over the end of a text are none
+        low = low[at]
+        new = np.empty(n, bool)
+        new[0], new[1:] = True, low[1:] != low[:-1]
+        new[heads[counts > 0]] = True
+        start = np.flatnonzero(new | ((k - np.maximum.accumulate(np.where(new, k, 0))) % MOST_WINDOWS == 0))
+        owner = np.searchsorted(heads + counts, start, "right")
+        rows = [base + owner, low[start].view(np.int64), start - heads[owner], np.diff(np.append(start, n))]
+        if twice:
+            whole = _rolled(h, window)[at] + np.repeat(np.arange(len(counts), dtype=np.uint64) * np.uint64(_BASE), counts)
+            order = np.argsort(whole)
+            whole = whole[order]
+            same = whole[1:] == whole[:-1]
+            again = np.zeros(n, bool)
+            again[order[1:][same]] = again[order[:-1][same]] = True
+            rows.append(np.logical_or.reduceat(again, start))
+        got.append(rows)
+    return [np.concatenate(column) for column in zip(*got)]
 
 
 def shard_repeats(segments: list[bytes], doc: np.ndarray, tag: np.ndarray, start: np.ndarray, window: int) -> tuple:
@@ -131,27 +195,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         "id", F.coalesce("id", F.lit(NULL_ID)).alias("doc"), F.xxhash64("text").alias("tag"), "text")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes()
         for b in batches:
-            got = [(np.empty(0, np.int64),) * 2]
-            for t in b.column(0):
-                key, _, _, twice = runs((t.as_py() or "").encode("utf-8").split(), cache, window, gram)
-                got.append((key, 1 + twice.astype(np.int64)))
-            key, n = map(np.concatenate, zip(*got))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["mz", "n"])
+            _, key, _, _, twice = runs(b.column(0), window, gram, twice=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(1 + twice.astype(np.int64))], ["mz", "n"])
 
     often = materialize(slim.select("text").mapInArrow(grams, "mz long, n long").groupBy("mz")
                         .agg(F.sum("n").alias("n")).where("n > 1").select("mz"))
 
     def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes()
         for b in batches:
-            got = [(np.empty(0, np.int64),) * 5]
-            for d, g, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                key, start, size, _ = runs((t.as_py() or "").encode("utf-8").split(), cache, window, gram)
-                got.append((key, np.full(len(key), d), np.full(len(key), g), start, size))
-            key, d, g, start, size = map(np.concatenate, zip(*got))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(d), pa.array(g),
+            row, key, start, size = runs(b.column(2), window, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)),
                                               pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))],
                                              ["mz", "doc", "tag", "start", "size"])
 

@@ -136,3 +136,27 @@ def test_rows_that_repeat_id_and_text_share_one_list(spark):
     assert lists.count() == 400 and lists.selectExpr("max(size(l))").first()[0] <= 3 * 60
     got = substring_dedup.remove_repeats(df).collect()
     assert sorted(tuple(r)[:3] for r in got) == [(7, 60, 0)] * 200 + [(8, 60, 60)] * 200
+
+
+def test_segments_come_from_the_bytes_of_a_batch_without_a_walk_over_texts():
+    """Words, hashes and segments of a whole Arrow batch: equal to a plain walk, texts never joined at their ends."""
+    import pyarrow as pa
+    rng = random.Random(5)
+    texts = [None, "", " ", "a", *("".join(rng.choice("ab  \t\n\x0b\x0c\x1c\x85é") for _ in range(rng.randrange(300))) for _ in range(200)),
+             "x" * 70_000 + " " + "y " * 40 + "x" * 70_000, "z" * 300_000]
+    for column in (pa.array(texts), pa.array(["cut off", *texts])[1:], pa.array([], pa.string())):
+        words = [(t or "").encode().split() for t in column.to_pylist()]
+        hashes, counts = {}, []
+        for first, n, h in substring_dedup._word_hashes(column):
+            counts += n.tolist()
+            for w, x in zip((w for ws in words[first:first + len(n)] for w in ws), h.tolist()):
+                assert hashes.setdefault(w, x) == x
+        assert counts == [len(w) for w in words] and len(set(hashes.values())) == len(hashes)
+        covered, minimizers = [[] for _ in words], {}
+        for i, mz, start, size, twice in zip(*(c.tolist() for c in substring_dedup.runs(column, 5, 2, twice=True))):
+            assert size <= substring_dedup.MOST_WINDOWS
+            windows = [tuple(words[i][k:k + 5]) for k in range(len(words[i]) - 4)]
+            assert twice == any(windows.count(w) > 1 for w in windows[start:start + size])
+            assert all(minimizers.setdefault(w, mz) == mz for w in windows[start:start + size])
+            covered[i] += range(start, start + size)
+        assert covered == [list(range(max(0, len(w) - 4))) for w in words]
