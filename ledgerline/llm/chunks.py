@@ -52,6 +52,14 @@ class Known:
         self.place = _Places()
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
 
+    def learn(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        """Encodes the chunks asked for since the last time."""
+        if self.place.new:
+            starts, flat = encode(self.place.new)
+            self.starts = np.concatenate([self.starts, starts[1:] + self.starts[-1]])
+            self.flat = np.concatenate([self.flat, flat])
+            self.place.new = []
+
 
 #: Per Python worker, by name: chunks known from earlier tasks.
 _KNOWN: dict[str, Known] = {}
@@ -95,12 +103,7 @@ class ChunkedTexts:
         places = np.fromiter(map(known.place.__getitem__, distinct), np.int32, len(distinct))
         refs = places[told.indices.to_numpy()]
         del words, told, distinct
-        new = known.place.new
-        if new:
-            starts, flat = self.encode(new)
-            known.starts = np.concatenate([known.starts, starts[1:] + known.starts[-1]])
-            known.flat = np.concatenate([known.flat, flat])
-            known.place.new = []
+        known.learn(self.encode)
         cut = np.concatenate([[0], np.cumsum(counts)])
         a = 0
         while a < len(counts):

@@ -34,9 +34,11 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +46,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, shuffle_partitions
-from .chunks import encode_batches, gather, ragged
+from .chunks import Known, encode_batches, gather, ragged
 
 MAGIC = b"RPAIR2"
 HEAD = struct.Struct("<6s4I")
 CHUNKS_KEPT = 1_200_000
+UNITS_KEPT = 600_000                              # words and marks of a worker
 
 
 def _frequent(seq: np.ndarray, pos: np.ndarray, least: int, turn: int) -> tuple[np.ndarray, ...]:
@@ -209,9 +212,10 @@ class WordIds:
     normalising, so words made of letters alone are given to it many in one
     text, each once whatever its case and the marks after it, and the ids are cut
     at the symbols that end a word.  That the tokenizer treats such words so is
-    probed, not assumed; all other chunks go to it one by one."""
+    probed, not assumed; all other chunks go to it one by one.  Ids of words are
+    kept from call to call, ``UNITS_KEPT`` or those of one call."""
 
-    MARKS = ".,;:!?"
+    MARKS = string.punctuation.replace("'", "")
 
     def __init__(self, model_text: str, words_at_once: int = 1 << 12):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -220,7 +224,9 @@ class WordIds:
         self.lib.no_padding()
         told = json.loads(model_text)
         suffix = told["model"].get("end_of_word_suffix")
-        own_way = any(t["content"].isalpha() for t in told.get("added_tokens") or ())
+        bodies = [t["content"].rstrip(self.MARKS) for t in told.get("added_tokens") or ()]
+        own_way = any(not body or body.isalpha() for body in bodies)
+        self._forget()
         ends = [i for t, i in self.lib.get_vocab(with_added_tokens=False).items() if suffix and t.endswith(suffix)]
         self.ends = np.zeros(1 + max(self.lib.get_vocab().values(), default=0), bool)
         self.ends[ends] = True
@@ -239,8 +245,12 @@ class WordIds:
             return []
         return [w for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(text))]
 
+    def _forget(self) -> None:
+        self.units = Known(), Known(), Known()              # single, plain, other
+
     def _splits_marks(self) -> bool:
-        return all(self._pieces(f"{w}{m}") == [w, m] for w in PROBES[:3] for m in (*self.MARKS, ".!", "?!", "...", ";:,"))
+        runs = [*self.MARKS, *(a + b for a in self.MARKS for b in self.MARKS), "...", ";:,", self.MARKS]
+        return all(self._pieces(f"{w}{m}") == [w, m] for w in PROBES[:3] for m in runs)
 
     def _lowers(self) -> bool:
         return all(self._pieces(w.upper()) == [w] for w in PROBES)
@@ -271,21 +281,26 @@ class WordIds:
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not self.joins:
             return self._singly(chunks)
-        plain, other, single = {}, {}, {"": 0}                  # units of each kind: number
+        if sum(len(known.place) for known in self.units) > UNITS_KEPT:
+            self._forget()
+        single, plain, other = (known.place for known in self.units)
+        none = single[""]
         word, marks = [], []                                    # of each chunk: 4 * number + kind; number among the single
         for c in chunks:
             body = c.rstrip(self.MARKS)
             if not body.isalpha():
-                word.append(4 * single.setdefault(c, len(single)))
-                marks.append(0)
+                word.append(4 * single[c])
+                marks.append(none)
                 continue
             if body.isascii():
-                word.append(4 * plain.setdefault(body.lower(), len(plain)) + 1)
+                word.append(4 * plain[body.lower()] + 1)
             else:
-                word.append(4 * other.setdefault(body, len(other)) + 2)
-            marks.append(0 if body is c else single.setdefault(c[len(body):], len(single)))
+                word.append(4 * other[body] + 2)
+            marks.append(none if body is c else single[c[len(body):]])
         word = np.array(word, np.int64)
-        tables = [self._singly(list(single)), self._joined(self.plain, list(plain)), self._joined(self.lib, list(other))]
+        for known, encode in zip(self.units, (self._singly, partial(self._joined, self.plain), partial(self._joined, self.lib))):
+            known.learn(encode)
+        tables = [(known.starts, known.flat) for known in self.units]
         heads = np.cumsum([0, *(len(t[0]) - 1 for t in tables)])[:-1]
         offsets = np.cumsum([0, *(t[0][-1] for t in tables)])
         units = np.stack([(word >> 2) + heads[word & 3], np.array(marks, np.int64)], axis=1)
@@ -294,6 +309,17 @@ class WordIds:
         return np.concatenate([[0], np.cumsum(lengths.reshape(-1, 2).sum(axis=1))]), ids.astype(np.int32)
 
 
+#: Per Python worker: the tokenizer of the last task with the words it knows.
+_WORDS: dict[str, WordIds] = {}
+
+
+def _words(model_text: str) -> WordIds:
+    if model_text not in _WORDS:
+        _WORDS.clear()
+        _WORDS[model_text] = WordIds(model_text)
+    return _WORDS[model_text]
+
+
 # Fixed value: words by which a tokenizer is probed.
 PROBES = ["a", "the", "word", "zebra", "qxjzkv", "abcdefghijklmnopqrstuvwxyz", "s", "t", "re", "ll", "antidisestablishment"]
 
@@ -332,7 +358,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, vocabulary: int, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = WordIds(held.value)
+        words = _words(held.value)
         crc = zlib.crc32(held.value.encode("utf-8"))
         for keys, ids, lengths in encode_batches(batches, words, 1 << 24, CHUNKS_KEPT, f"lib {crc}"):
             ends = np.cumsum(lengths + 1)

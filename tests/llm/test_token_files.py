@@ -110,3 +110,41 @@ def test_one_id_takes_many_shards(spark):
     rows = got.orderBy("start").collect()
     assert [r.id for r in rows] == [None] * 36_000 + list(range(9, 40_000, 10))
     assert rows[0].start == 0 and all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:]))
+
+
+def test_words_are_given_to_the_library_once_a_worker_whatever_marks_follow(monkeypatch):
+    with open(PATH, encoding="utf-8") as f:
+        words = token_files.WordIds(f.read())
+    given = []
+    rows = token_files.WordIds._rows
+    monkeypatch.setattr(words, "_rows", lambda lib, texts: given.extend(w for t in texts for w in t.split()) or rows(lib, texts))
+    lib = Tokenizer.from_file(PATH)
+
+    def check(chunks):
+        starts, flat = words(chunks)
+        for k, c in enumerate(chunks):
+            assert flat[starts[k]:starts[k + 1]].tolist() == lib.encode(c, add_special_tokens=False).ids, c
+
+    check(["thoning%%%", "Thoning***", "garçon", "it's", "a<|endoftext|>**", "x1", "***", "l'", "don't)", "</w>", "a</w>"])
+    assert "thoning" in given and not [w for w in given if w.startswith("thoning") and w != "thoning"]
+    given.clear()
+    check(["thoning", "THONING###", "thoning.", "garçon\")", "it's", "new-one", "'s", "thoning'", "a'\"s"])
+    assert not {"thoning", "garçon", "it's"} & set(given)
+    # more words than are kept: the table starts anew, the ids stay right
+    monkeypatch.setattr(token_files, "UNITS_KEPT", 3)
+    check(["thoning$", "other", "words^_^", "ñandú~", "ñandú"])
+    check(["thoning$", "x" * 300 + "[]", "Ünter&&"])
+
+
+def test_added_tokens_of_words_and_marks_are_left_to_the_library():
+    import json
+    with open(PATH, encoding="utf-8") as f:
+        told = json.load(f)
+    for content in ("***", "stop%"):
+        more = dict(told, added_tokens=[*told["added_tokens"], dict(
+            told["added_tokens"][0], id=49408, content=content, special=False)])
+        text = json.dumps(more)
+        lib, words = Tokenizer.from_str(text), token_files.WordIds(text)
+        chunks = ["nonstop%", "stop%%", "a***", "a*****", "stop"]
+        starts, flat = words(chunks)
+        assert [flat[a:b].tolist() for a, b in zip(starts, starts[1:])] == [lib.encode(c, add_special_tokens=False).ids for c in chunks]
