@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .rank import exclusive_prefix_sum
 from .tree import MAX_ID
 
@@ -28,7 +29,7 @@ def interval_index(walked: DataFrame) -> DataFrame:
     """``walked`` (from :func:`walk_from_roots`) -> its columns but
     ``path_ids``, plus ``pre`` (0 for the first node in pre-order) and ``stop``:
     the descendants of a node, itself included, are those with pre <= p < stop."""
-    ids = F.col("path_ids")
+    walked, ids = materialize(walked), F.col("path_ids")
     event = lambda key, weight, end: F.struct(key.alias("_key"), F.lit(weight).cast("long").alias("_w"), F.lit(end).alias("_is_end"))
     events = walked.select("id", F.explode(F.array(event(ids, 1, False), event(F.concat(ids, F.array(F.lit(MAX_ID))), 0, True))).alias("_e"))
     placed = exclusive_prefix_sum(events.select("id", "_e.*"), "_key", "_w", "_before")

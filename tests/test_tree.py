@@ -85,3 +85,57 @@ def test_a_directory_with_most_of_the_nodes_is_dealt_over_slots(spark):
 def test_subtree_totals_look_ranges_up_without_lambdas(spark):
     plan = tree_report(spark.createDataFrame(NODES, FILE_SYSTEM))._jdf.queryExecution().optimizedPlan().toString()
     assert "_range" in plan and not [line for line in plan.splitlines() if "_range" in line and "lambda" in line]
+
+
+def test_leaves_stay_out_of_the_rounds_and_the_prefix_sum(spark, monkeypatch):
+    """5,000 files in 20 directories: the rounds write directories only, and only these go through the prefix sum."""
+    import ledgerline.operators.tree as tree
+    import ledgerline.session as session
+    dirs, n = 20, 5_000
+    rows = spark.range(n).select(
+        "id", F.when(F.col("id") == 0, None).when(F.col("id") < dirs, F.expr("(id - 1) div 2")).otherwise(
+            F.col("id") % dirs).cast("long").alias("parent_id"),
+        F.concat(F.lit("n"), "id").alias("name"), F.when(F.col("id") < dirs, "dir").otherwise("file").alias("type"),
+        F.when(F.col("id") >= dirs, 1).cast("long").alias("file_size"))
+    rounds, summed, prefix_sum = [], [], tree.exclusive_prefix_sum
+    look = lambda df: rounds.append(df.count()) if "anc" in df.columns else None
+    monkeypatch.setattr(tree, "exclusive_prefix_sum", lambda df, *args: summed.append(df.count()) or prefix_sum(df, *args))
+    session.ON_WRITE.append(look)
+    try:
+        report = tree_report(rows)
+    finally:
+        session.ON_WRITE.remove(look)
+    assert rounds and max(rounds) <= dirs
+    assert summed == [2 * dirs]
+    assert report.count() == n and report.where("id = 0").first().dir_size == n - dirs
+
+
+def test_tree_report_against_a_walk(spark):
+    """Roots without children, chains under a missing parent, null sizes and names, sized directories, and one
+    directory whose leaves are dealt over the slots."""
+    import random
+    rng = random.Random(5)
+    nodes = {i: (None if i < 4 else 10_000 + i if i < 7 else rng.randrange(2, i), f"n{i}" if i % 50 else None,
+                 None if i % 7 == 0 else i) for i in range(120)}
+    nodes |= {i: (12, f"n{i}", i) for i in range(200, 500)} | {i: (5, f"n{i}", i) for i in range(500, 520)}
+    lines = {}
+    for i in nodes:
+        line, at = [i], nodes[i][0]
+        while at is not None and at in nodes:
+            line, at = [at, *line], nodes[at][0]
+        if at is None:
+            lines[i] = line
+    size, family = dict.fromkeys(lines, 0), {}
+    for i, line in lines.items():
+        for above in line:
+            size[above] += nodes[i][2] or 0
+    for i in lines:
+        family[nodes[i][0]] = family.get(nodes[i][0], 0) + size[i]
+    rows = spark.createDataFrame([(i, p, name, "dir", s) for i, (p, name, s) in nodes.items()], FILE_SYSTEM)
+    got = {r.id: r for r in tree_report(rows).collect()}
+    assert set(got) == set(lines) and 12 in lines and 5 not in lines
+    for i, line in lines.items():
+        path = " " * 4 * (len(line) - 1) + "".join("\\" + (nodes[x][1] or "") for x in line)
+        share = size[i] / family[nodes[i][0]] if family[nodes[i][0]] else None
+        assert (got[i].full_name, got[i].dir_size, got[i].dir_ratio) == (path, size[i], pytest.approx(share) if share is not None else None)
+    assert {r.id: r.leaf for r in walk_from_roots(rows).collect()} == {i: i not in {p for p, _, _ in nodes.values()} for i in lines}
